@@ -1,0 +1,78 @@
+import random
+from collections import Counter
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillpanel.operators.dedup import drop_overlap_copies, flag_overlap_copies
+
+
+def brute_force(rows):
+    first = {}
+    for row in rows:
+        first[row[:8]] = min(first.get(row[:8], row[8]), row[8])
+    return Counter(row for row in rows if row[8] == first[row[:8]])
+
+
+def random_rows(seed, count=400):
+    pick = random.Random(seed)
+    some = lambda *values: pick.choice(values)
+    rows = []
+    for _ in range(count):
+        date = some(
+            datetime(2010, 1, 1, 9), datetime(2010, 1, 1, 10), datetime(2010, 1, 2), datetime(2010, 1, 3)
+        )
+        # The third of January occurs in one batch only.
+        sheet = "S1" if date.day == 3 else some("S1", "S2", "S3")
+        rows.append(
+            (
+                some("100001", "100002"),
+                some("10001", "POST"),
+                some("A", None),
+                some(1, 2),
+                date,
+                some(1.0, 2.5),
+                some("11111", None),
+                "UK",
+                sheet,
+            )
+        )
+    return rows
+
+
+def kept(frame):
+    names = [c for c in frame.columns if c not in ("source_file", "loaded_at")]
+    return Counter(tuple(r) for r in frame.select(names).collect())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_matches_brute_force(bronze_frame, seed):
+    rows = random_rows(seed)
+    assert kept(drop_overlap_copies(bronze_frame(rows))) == brute_force(rows)
+
+
+def test_undated_lines_compare_equal(spark, bronze_frame):
+    line = ("100001", "10001", "A", 1, datetime(2010, 1, 1), 1.0, None, "UK")
+    rows = [(*line, "S1"), (*line, "S2"), (*line, "S2")]
+    undated = bronze_frame(rows).withColumn("invoice_date", F.lit(None).cast("timestamp_ntz"))
+    left = drop_overlap_copies(undated).select("source_sheet").collect()
+    assert [r.source_sheet for r in left] == ["S1"]
+
+
+def test_hot_line_keeps_every_copy_of_its_first_batch(spark, bronze_frame):
+    line = ("100001", "10001", "A", 1, datetime(2010, 1, 1), 1.0, "11111", "UK")
+    one = bronze_frame([(*line, "S1"), (*line, "S2")])
+    copies = one.crossJoin(spark.range(5000).withColumnRenamed("id", "n")).drop("n")
+    counts = flag_overlap_copies(copies).groupBy("source_sheet", "is_overlap_copy").count().collect()
+    assert {tuple(r) for r in counts} == {("S1", False, 5000), ("S2", True, 5000)}
+
+
+def test_no_shared_day_drops_nothing(bronze_frame):
+    line = ("100001", "10001", "A", 1)
+    rest = (1.0, "11111", "UK")
+    rows = [
+        (*line, datetime(2010, 1, 1), *rest, "S1"),
+        (*line, datetime(2010, 1, 2), *rest, "S2"),
+    ]
+    assert drop_overlap_copies(bronze_frame(rows)).count() == 2

@@ -172,6 +172,8 @@ class Warehouse:
         return sorted(removed)
 
     def export(self, table: str, path: str) -> str:
-        """A Parquet copy of a table outside the warehouse, one file per task."""
+        """A Parquet copy of a table outside the warehouse, one file per task; replaces ``path``."""
+        if f"{path.rstrip('/')}/".startswith(f"{self.root}/"):
+            raise ValueError(f"{path} is inside the warehouse at {self.root}")
         self.table(table).write.mode("overwrite").parquet(path)
         return path
