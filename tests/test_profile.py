@@ -1,0 +1,49 @@
+from datetime import datetime
+
+from tillpanel.operators.profile import column_profile, data_dictionary, table_inventory
+
+SCHEMA = "code string, amount double, at timestamp_ntz, flag boolean, n bigint"
+ROWS = [
+    ("b", -0.0, datetime(2011, 1, 1, 9), True, 10),
+    ("a", 0.0, datetime(2011, 1, 1, 9), False, 9),
+    (None, 12345678.5, None, True, 9),
+    ("", 0.1, datetime(2010, 1, 1), None, -1),
+]
+
+
+def profile(spark, rows):
+    return {r.column_name: r for r in column_profile(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def test_counts_and_bounds(spark):
+    found = profile(spark, ROWS)
+    facts = {
+        name: (r.data_type, r.nulls, r.distinct_values, r.min_value, r.max_value)
+        for name, r in found.items()
+    }
+    assert facts == {
+        "code": ("VARCHAR", 1, 3, "", "b"),
+        # Negative and positive zero are one value.
+        "amount": ("DOUBLE", 0, 3, "0.0", "12345678.5"),
+        "at": ("TIMESTAMP", 1, 2, "2010-01-01 00:00:00", "2011-01-01 09:00:00"),
+        "flag": ("BOOLEAN", 1, 2, "false", "true"),
+        # Bounds are by number, not by text.
+        "n": ("BIGINT", 0, 3, "-1", "10"),
+    }
+    assert [r.ordinal_position for r in sorted(found.values())] == [1, 2, 3, 4, 5]
+
+
+def test_empty_table(spark):
+    for row in profile(spark, []).values():
+        assert (row.nulls, row.distinct_values, row.min_value) == (0, 0, None)
+
+
+def test_dictionary_and_inventory(spark):
+    frame = spark.createDataFrame([("489434",), ("C1",)], "invoice string")
+    other = spark.createDataFrame([(1,)], "x int")
+    tables = {"bronze.transactions": frame, "gold.other": other}
+    rows = {(r.table_name, r.column_name): r for r in data_dictionary(tables).collect()}
+    assert "cancellation" in rows["bronze.transactions", "invoice"].description
+    assert rows["gold.other", "x"].description == ""
+    inventory = [tuple(r)[:4] for r in table_inventory(tables).collect()]
+    assert inventory == [("bronze", "transactions", 1, 2), ("gold", "other", 1, 1)]
