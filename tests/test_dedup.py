@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tillpanel.operators.dedup import drop_overlap_copies, flag_overlap_copies
+from tillpanel.operators.dedup import OVERLAP_FLAG, drop_overlap_copies, flag_overlap_copies
 
 
 def brute_force(rows):
@@ -52,6 +52,14 @@ def test_matches_brute_force(bronze_frame, seed):
     assert kept(drop_overlap_copies(bronze_frame(rows))) == brute_force(rows)
 
 
+@pytest.mark.parametrize(("lines", "copies"), [(1000, 0), (5, 0), (1000, 6), (3, 6)])
+def test_hot_and_joined_lines_together_match_brute_force(bronze_frame, lines, copies):
+    rows = random_rows(9)
+    flagged = flag_overlap_copies(bronze_frame(rows), lines, copies)
+    assert flagged.count() == len(rows)
+    assert kept(flagged.filter(~F.col(OVERLAP_FLAG)).drop(OVERLAP_FLAG)) == brute_force(rows)
+
+
 def test_undated_lines_compare_equal(spark, bronze_frame):
     line = ("100001", "10001", "A", 1, datetime(2010, 1, 1), 1.0, None, "UK")
     rows = [(*line, "S1"), (*line, "S2"), (*line, "S2")]
@@ -63,9 +71,9 @@ def test_undated_lines_compare_equal(spark, bronze_frame):
 def test_hot_line_keeps_every_copy_of_its_first_batch(spark, bronze_frame):
     line = ("100001", "10001", "A", 1, datetime(2010, 1, 1), 1.0, "11111", "UK")
     one = bronze_frame([(*line, "S1"), (*line, "S2")])
-    copies = one.crossJoin(spark.range(5000).withColumnRenamed("id", "n")).drop("n")
+    copies = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20_000)))).drop("n")
     counts = flag_overlap_copies(copies).groupBy("source_sheet", "is_overlap_copy").count().collect()
-    assert {tuple(r) for r in counts} == {("S1", False, 5000), ("S2", True, 5000)}
+    assert {tuple(r) for r in counts} == {("S1", False, 20_000), ("S2", True, 20_000)}
 
 
 def test_no_shared_day_drops_nothing(bronze_frame):

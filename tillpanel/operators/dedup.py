@@ -10,9 +10,10 @@ most rows where they are:
 1. Identical lines share their date, so only days delivered by several batches can hold overlap. That
    list has one row per calendar day at most and is broadcast.
 2. On such a day only the lines outside its earliest batch can be overlap; all others pass untouched.
-3. Those lines look up the earliest batch of their eight columns. That side is aggregated (copies
-   collapse before the shuffle), one row per distinct line, and left to the optimizer to broadcast
-   or to shuffle; a line with very many copies is then a skewed join key, which AQE splits.
+3. Those lines look up the earliest batch of their eight columns in an aggregate with one row per
+   distinct line, where copies collapse before the shuffle. The few lines with the most copies are
+   looked up by broadcast, so that a line that fills a third of bronze is not shuffled either; the rest
+   is joined however the optimizer sees fit.
 """
 
 from __future__ import annotations
@@ -59,43 +60,85 @@ def _near_shared_days(bronze: DataFrame, days: DataFrame) -> DataFrame:
 
 
 def _with_sheet_rank(lines: DataFrame, days: DataFrame) -> DataFrame:
-    """Adds the day's batches and the rank of the line's batch among them; null on other days."""
+    """Adds the rank of the line's batch among those of its day; null on other days."""
     # At most one row per calendar day, however large bronze is.
     return lines.join(
         F.broadcast(days), F.col("shared_day").eqNullSafe(_day()), "left"
     ).withColumn("sheet_rank", F.array_position("day_sheets", F.col("source_sheet")))
 
 
-def _same_line(key_prefix: str) -> Column:
-    return reduce(and_, (F.col(c).eqNullSafe(F.col(key_prefix + c)) for c in LINE_COLUMNS))
+def _same_line(prefix: str) -> Column:
+    return reduce(and_, (F.col(c).eqNullSafe(F.col(prefix + c)) for c in LINE_COLUMNS))
 
 
-def flag_overlap_copies(bronze: DataFrame) -> DataFrame:
-    """``bronze`` with a flag on the lines that an earlier batch already holds."""
+def _distinct_lines(near: DataFrame) -> DataFrame:
+    """Copies and batches of every distinct line on the shared days."""
+    return (
+        near.filter(F.col("sheet_rank").isNotNull())
+        .groupBy(*LINE_COLUMNS)
+        .agg(
+            F.count("*").alias("copies"),
+            F.min("sheet_rank").alias("first_rank"),
+            F.max("sheet_rank").alias("last_rank"),
+        )
+    )
+
+
+def _prefixed(distinct_lines: DataFrame, condition: Column, prefix: str) -> DataFrame:
+    # Naming all three aggregates keeps them in every use of the distinct lines, which are then
+    # computed once: uses that differ after pruning would not share their shuffle.
+    all_used = (F.col("copies") > 0) & (F.col("first_rank") <= F.col("last_rank"))
+    return distinct_lines.filter(condition & all_used).select(
+        *[F.col(c).alias(prefix + c) for c in LINE_COLUMNS],
+        F.col("first_rank").alias(f"{prefix}rank"),
+        F.col("copies").alias(f"{prefix}copies"),
+    )
+
+
+def flag_overlap_copies(
+    bronze: DataFrame, broadcast_lines: int = 1000, broadcast_copies: int = 10_000
+) -> DataFrame:
+    """``bronze`` with a flag on the lines that an earlier batch already holds.
+
+    Lines with more than ``broadcast_copies`` copies are looked up by broadcast, at most
+    ``broadcast_lines`` of them; what is left over is joined and has smaller groups.
+    """
     columns = [F.col(c) for c in bronze.columns]
     days = shared_days(bronze)
+    near = _with_sheet_rank(_near_shared_days(bronze, days), days)
+    distinct_lines = _distinct_lines(near)
+    # The order is total, so every evaluation picks the same lines.
+    hot_lines = F.broadcast(
+        _prefixed(distinct_lines, F.col("copies") > broadcast_copies, "hot_")
+        .orderBy(F.desc("hot_copies"), *[f"hot_{c}" for c in LINE_COLUMNS])
+        .limit(broadcast_lines)
+    )
     may_be_copy = F.coalesce(F.col("sheet_rank") > 1, F.lit(False))
-    untouched = (
+    is_hot = F.col("hot_rank").isNotNull()
+
+    settled = (
         _with_sheet_rank(bronze, days)
-        .filter(~may_be_copy)
-        .select(*columns, F.lit(False).alias(OVERLAP_FLAG))
+        .join(hot_lines, _same_line("hot_"), "left")
+        .filter(~may_be_copy | is_hot)
+        .select(
+            *columns,
+            F.coalesce(F.col("sheet_rank") > F.col("hot_rank"), F.lit(False)).alias(OVERLAP_FLAG),
+        )
     )
 
-    near = _with_sheet_rank(_near_shared_days(bronze, days), days)
-    first_sheets = (
-        near.filter(F.col("sheet_rank") < F.size("day_sheets"))
-        .groupBy(*[F.col(c).alias(f"first_{c}") for c in LINE_COLUMNS])
-        .agg(F.min("sheet_rank").alias("first_rank"))
+    in_several = _prefixed(
+        distinct_lines, F.col("first_rank") < F.col("last_rank"), "first_"
     )
-    checked = (
-        near.filter(may_be_copy)
-        .join(first_sheets, _same_line("first_"), "left")
+    looked_up = (
+        near.join(hot_lines, _same_line("hot_"), "left")
+        .filter(may_be_copy & ~is_hot)
+        .join(in_several, _same_line("first_"), "left")
         .select(
             *columns,
             F.coalesce(F.col("sheet_rank") > F.col("first_rank"), F.lit(False)).alias(OVERLAP_FLAG),
         )
     )
-    return untouched.unionByName(checked)
+    return settled.unionByName(looked_up)
 
 
 def drop_overlap_copies(bronze: DataFrame) -> DataFrame:
