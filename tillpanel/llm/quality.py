@@ -175,9 +175,9 @@ WITH texts AS (
   FROM documents
 ), windows AS (
   SELECT *, list_transform(range(1, greatest(len(words) - 1, 1)),
-                           i -> words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) AS grams,
+                           lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) AS grams,
          list_filter(string_split(text, chr(10)),
-                     line -> regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+                     lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
   FROM texts
 ), grams AS (
   SELECT *, CASE WHEN len(grams) > 0 THEN histogram_of END AS counts
@@ -189,11 +189,11 @@ WITH texts AS (
   ) ON gram_doc = doc_id
 ), measured AS (
   SELECT doc_id, len(words)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(words, w -> length(w))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          len(lines)::BIGINT AS n_lines,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-         len(list_filter(range(1, len(words) + 1), i ->
+         len(list_filter(range(1, len(words) + 1), lambda i:
              (i <= len(grams) AND counts[grams[i]] > 1)
              OR (i > 1 AND i - 1 <= len(grams) AND counts[grams[i - 1]] > 1)
              OR (i > 2 AND i - 2 <= len(grams) AND counts[grams[i - 2]] > 1)))::BIGINT AS n_repeat_words,

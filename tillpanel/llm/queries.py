@@ -8,9 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillpanel.llm.common import table
 from tillpanel.llm.language import language_query
+from tillpanel.llm.ngram_join import ngram_query, ngram_sql
+from tillpanel.llm.packing import packing_query
 from tillpanel.llm.quality import quality_query, quality_sql
 from tillpanel.llm.token_counts import token_count_query
 from tillpanel.llm.toxicity import toxicity_query
+from tillpanel.llm.warc import warc_query, warc_sql
+
+
+def op1_best_fit_packing(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return packing_query(table(spark, tables_dir, "documents"))
 
 
 def op2_token_counts(spark: SparkSession, tables_dir: str) -> DataFrame:
@@ -25,14 +32,29 @@ def op5_language_id(spark: SparkSession, tables_dir: str) -> DataFrame:
     return language_query(table(spark, tables_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return ngram_query(table(spark, tables_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return warc_query(table(spark, tables_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, tables_dir: str) -> DataFrame:
     return quality_query(table(spark, tables_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    functions = (op2_token_counts, op4_toxicity, op5_language_id, op10_quality_rules)
+    functions = (
+        op1_best_fit_packing, op2_token_counts, op4_toxicity, op5_language_id,
+        op6_ngram_jaccard_join, op8_warc, op10_quality_rules,
+    )
     return {f.__name__: f for f in functions}
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op10_quality_rules": quality_sql()}
+    return {
+        "op6_ngram_jaccard_join": ngram_sql(),
+        "op8_warc": warc_sql(),
+        "op10_quality_rules": quality_sql(),
+    }
