@@ -101,6 +101,16 @@ def arrow_fields(schema: str) -> pa.Schema:
     return pa.schema([pa.field(n, kinds[k]) for n, k in (p.split() for p in schema.split(","))])
 
 
+def kept_columns(frame: DataFrame, keep: tuple[str, ...]) -> list:
+    """Columns that pass through ``in_batches`` beside others, under names of their own."""
+    return [F.col(name).alias(f"kept_{name}") for name in keep]
+
+
+def kept_schema(frame: DataFrame, keep: tuple[str, ...]) -> str:
+    kinds = {name: kind.replace("bigint", "long") for name, kind in frame.dtypes}
+    return "".join(f", {name} {kinds[name]}" for name in keep)
+
+
 def id_bucket(column: str, buckets: int):
     """crc32 of the id as text, modulo ``buckets``: how rows are held out."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % buckets

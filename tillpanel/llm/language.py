@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import id_bucket, in_batches
+from tillpanel.llm.common import id_bucket, in_batches, kept_columns, kept_schema
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -148,8 +148,10 @@ def train(docs: DataFrame, text_column: str = "text", lang_column: str = "lang")
     return LanguageModel(languages, (np.log(smoothed) - np.log(smoothed.sum(axis=0))).astype(np.float32))
 
 
-def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """``docs`` ids with ``lang_pred`` and ``score``."""
+def predict(
+    docs: DataFrame, model: LanguageModel, text_column: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``docs`` ids with ``lang_pred`` and ``score``, beside the columns to ``keep``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
@@ -159,12 +161,16 @@ def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") ->
                 "doc_id": columns["doc_id"],
                 "lang_pred": [lang for lang, _ in found],
                 "score": [score for _, score in found],
-            }
+            } | {name: columns[f"kept_{name}"] for name in keep}
 
         return work
 
-    slim = docs.select(F.col("doc_id").cast("long"), F.col(text_column).alias("text"))
-    return in_batches(slim, "doc_id long, lang_pred string, score double", start)
+    slim = docs.select(
+        F.col("doc_id").cast("long"), F.col(text_column).alias("text"), *kept_columns(docs, keep)
+    )
+    return in_batches(
+        slim, "doc_id long, lang_pred string, score double" + kept_schema(docs, keep), start
+    )
 
 
 def held_out():

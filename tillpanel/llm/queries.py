@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillpanel.llm.common import table
+from tillpanel.llm.fingerprints import fingerprint_query
 from tillpanel.llm.language import language_query
+from tillpanel.llm.line_templates import line_query, line_sql
 from tillpanel.llm.ngram_join import ngram_query, ngram_sql
 from tillpanel.llm.packing import packing_query
 from tillpanel.llm.quality import quality_query, quality_sql
@@ -24,6 +26,10 @@ def op2_token_counts(spark: SparkSession, tables_dir: str) -> DataFrame:
     return token_count_query(table(spark, tables_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return line_query(table(spark, tables_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, tables_dir: str) -> DataFrame:
     return toxicity_query(table(spark, tables_dir, "documents"), table(spark, tables_dir, "labels"))
 
@@ -40,20 +46,25 @@ def op8_warc(spark: SparkSession, tables_dir: str) -> DataFrame:
     return warc_query(table(spark, tables_dir, "pages"))
 
 
+def op9_fingerprints(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return fingerprint_query(table(spark, tables_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, tables_dir: str) -> DataFrame:
     return quality_query(table(spark, tables_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     functions = (
-        op1_best_fit_packing, op2_token_counts, op4_toxicity, op5_language_id,
-        op6_ngram_jaccard_join, op8_warc, op10_quality_rules,
+        op1_best_fit_packing, op2_token_counts, op3_line_dedup, op4_toxicity, op5_language_id,
+        op6_ngram_jaccard_join, op8_warc, op9_fingerprints, op10_quality_rules,
     )
     return {f.__name__: f for f in functions}
 
 
 def llm_sql() -> dict[str, str]:
     return {
+        "op3_line_dedup": line_sql(),
         "op6_ngram_jaccard_join": ngram_sql(),
         "op8_warc": warc_sql(),
         "op10_quality_rules": quality_sql(),

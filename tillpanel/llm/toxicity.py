@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import id_bucket, in_batches, stored
+from tillpanel.llm.common import id_bucket, in_batches, kept_columns, kept_schema, stored
 
 BUCKETS = 1 << 18
 STEMS = (4, 5, 6)
@@ -264,8 +264,10 @@ def evidence(rows: DataFrame, model: ToxicityModel) -> DataFrame:
     )
 
 
-def score(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
-    """Id, score, and the significant passages as token ranges with their E-values."""
+def score(
+    docs: DataFrame, model: ToxicityModel, text_column: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Id, score, and the significant passages as token ranges with their E-values, beside ``keep``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
@@ -289,14 +291,16 @@ def score(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> D
                 "passage_starts": [[a for a, _, _ in told] for _, told in found],
                 "passage_ends": [[b for _, b, _ in told] for _, told in found],
                 "passage_e_values": [[e for _, _, e in told] for _, told in found],
-            }
+            } | {name: columns[f"kept_{name}"] for name in keep}
 
         return work
 
     return in_batches(
-        docs.select(F.col("doc_id").cast("long"), F.col(text_column).alias("text")),
+        docs.select(
+            F.col("doc_id").cast("long"), F.col(text_column).alias("text"), *kept_columns(docs, keep)
+        ),
         "doc_id long, score double, passage_starts array<int>, passage_ends array<int>, "
-        "passage_e_values array<double>",
+        "passage_e_values array<double>" + kept_schema(docs, keep),
         start,
     )
 
