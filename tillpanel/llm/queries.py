@@ -12,6 +12,7 @@ from tillpanel.llm.language import language_query
 from tillpanel.llm.line_templates import line_query, line_sql
 from tillpanel.llm.ngram_join import ngram_query, ngram_sql
 from tillpanel.llm.packing import packing_query
+from tillpanel.llm.piece_codec import codec_query
 from tillpanel.llm.quality import quality_query, quality_sql
 from tillpanel.llm.token_counts import token_count_query
 from tillpanel.llm.toxicity import toxicity_query
@@ -42,6 +43,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, tables_dir: str) -> DataFrame:
     return ngram_query(table(spark, tables_dir, "documents"))
 
 
+def op7_piece_codec(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return codec_query(table(spark, tables_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, tables_dir: str) -> DataFrame:
     return warc_query(table(spark, tables_dir, "pages"))
 
@@ -57,7 +62,7 @@ def op10_quality_rules(spark: SparkSession, tables_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     functions = (
         op1_best_fit_packing, op2_token_counts, op3_line_dedup, op4_toxicity, op5_language_id,
-        op6_ngram_jaccard_join, op8_warc, op9_fingerprints, op10_quality_rules,
+        op6_ngram_jaccard_join, op7_piece_codec, op8_warc, op9_fingerprints, op10_quality_rules,
     )
     return {f.__name__: f for f in functions}
 
