@@ -2,23 +2,23 @@ from datetime import date, datetime
 
 import pytest
 
-from tillpanel.functions.cutoffs import parse_as_of_date
+from tillpanel.functions.cutoffs import cutoff_date
 
 
 @pytest.mark.parametrize(
     "value", ["2011-04-01", date(2011, 4, 1), datetime(2011, 4, 1, 23, 59)]
 )
 def test_accepted_forms(value):
-    parsed = parse_as_of_date(value)
+    parsed = cutoff_date(value)
     assert parsed == date(2011, 4, 1)
     assert type(parsed) is date
 
 
 def test_malformed_text_is_rejected():
     with pytest.raises(ValueError):
-        parse_as_of_date("01/04/2011")
+        cutoff_date("01/04/2011")
 
 
 def test_other_types_are_rejected():
     with pytest.raises(TypeError):
-        parse_as_of_date(20110401)
+        cutoff_date(20110401)

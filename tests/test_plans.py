@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from datetime import date, datetime, timedelta
 
 import pytest
 
-from tillpanel.operators.contracts import silver_contract, violations
+from tillpanel.operators.contracts import customer_360_contract, silver_contract, violations
 from tillpanel.operators.dedup import drop_overlap_copies
+from tillpanel.operators.panel import customer_panel
 from tillpanel.operators.profile import column_profile
 from tillpanel.operators.snapshot import customer_360, history_before
 from tillpanel.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from tillpanel.sources import retail_tables
 
 
 def plan(frame) -> str:
@@ -48,25 +51,57 @@ def test_snapshot_hashes_lines_before_the_first_shuffle(stored):
     assert not re.search(r"SortAggregate|Sort \[", below_first_shuffle)
 
 
-def test_dedup_shuffles_only_lines_of_shared_days(spark, stored, capsys):
-    # The tables here are empty; without this every join would be broadcast for its size.
+@pytest.fixture
+def no_size_broadcasts(spark):
+    # The tables here are small; without this every join would be broadcast for its size.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = formatted(drop_overlap_copies(stored["bronze"]), capsys)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # The first branch of the union goes from the scan to the result by a broadcast join alone.
-    tree = text[: text.index("\n\n\n")]
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def executed(frame, capsys) -> tuple[str, list[str]]:
+    """The plan as it ran, after adaptive execution; first the tree, then the details of its nodes."""
+    frame.collect()
+    text = formatted(frame, capsys)
+    tree = text[text.index("== Final Plan ==") : text.index("== Initial Plan ==")]
+    used = set(re.findall(r"\((\d+)\)", tree))
+    nodes = re.findall(r"\n\n\((\d+)\) (.*?)(?=\n\n)", text, flags=re.S)
+    return tree, [detail for number, detail in nodes if number in used]
+
+
+def test_dedup_shuffles_only_lines_of_shared_days(bronze_frame, spark, tmp_path, capsys, no_size_broadcasts):
+    line = ("500001", "60001", "x", 1, datetime(2010, 1, 5), 1.0, "20001", "Malta")
+    rows = [(*line, "S1"), (*line, "S2"), (*line[:4], datetime(2010, 1, 9), *line[5:], "S2")]
+    bronze_frame(rows).write.parquet(str(tmp_path / "bronze"))
+    bronze = spark.read.schema(BRONZE_SCHEMA).parquet(str(tmp_path / "bronze"))
+    tree, nodes = executed(drop_overlap_copies(bronze), capsys)
+    # The settled lines go from the scan to the result by broadcast joins alone.
     first = tree[tree.index("Union") : tree.index("SortMergeJoin")]
-    assert "BroadcastHashJoin" in first
-    assert first.index("Scan parquet") < first.index("BroadcastExchange")
-    assert "Window" not in tree
-    # Both other reads of the lines are bounded by the shared days.
-    bounded = re.findall(
-        r"PushedFilters: .*GreaterThanOrEqual\(invoice_date,ScalarSubquery.*LessThan\(invoice_date",
-        text,
-    )
+    assert first.count("BroadcastHashJoin") >= 2
+    assert first.index("Scan parquet") < first.index("BroadcastQueryStage")
+    # Of four reads, one is of two columns for the days, and the two for the look-up are bounded by them.
+    scans = [n for n in nodes if n.startswith("Scan parquet")]
+    assert len(scans) == tree.count("Scan parquet") == 4
+    assert sum("ReadSchema: struct<invoice_date:timestamp_ntz,source_sheet:string>" in n for n in scans) == 1
+    bounded = [n for n in scans if "GreaterThanOrEqual(invoice_date" in n and "LessThan(invoice_date" in n]
     assert len(bounded) == 2
+    assert not re.search("Cartesian|NestedLoop", tree)
+
+
+def test_panel_reads_lines_once_for_any_number_of_cutoffs(stored):
+    for n in (3, 365):
+        cutoffs = [date(2010, 1, 1) + timedelta(days=k) for k in range(n)]
+        assert plan(customer_panel(stored["silver"], cutoffs)).count("FileScan") == 1
+
+
+def test_gold_contract_reads_lines_once(stored):
+    counted = violations(customer_360(stored["silver"], "2011-06-01"), customer_360_contract())
+    assert plan(counted).count("FileScan") == 1
+
+
+def test_bronze_is_one_join_tree(spark, no_size_broadcasts):
+    text = plan(retail_tables.raw_deliveries(spark, "/root/testdata/sf0.001"))
+    assert text.count("FileScan") == 5
 
 
 def test_contract_is_one_scan_and_one_aggregate(stored):

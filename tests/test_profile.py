@@ -33,6 +33,12 @@ def test_counts_and_bounds(spark):
     assert [r.ordinal_position for r in sorted(found.values())] == [1, 2, 3, 4, 5]
 
 
+def test_close_doubles_stay_apart_and_keep_their_digits(spark):
+    values = [12345678.123456, 12345678.12345633, 12345678.12345612, 0.5]
+    found = profile(spark, [(None, v, None, None, None) for v in values])["amount"]
+    assert (found.distinct_values, found.min_value, found.max_value) == (4, "0.5", "12345678.12345633")
+
+
 def test_empty_table(spark):
     for row in profile(spark, []).values():
         assert (row.nulls, row.distinct_values, row.min_value) == (0, 0, None)
@@ -43,7 +49,7 @@ def test_dictionary_and_inventory(spark):
     other = spark.createDataFrame([(1,)], "x int")
     tables = {"bronze.transactions": frame, "gold.other": other}
     rows = {(r.table_name, r.column_name): r for r in data_dictionary(tables).collect()}
-    assert "cancellation" in rows["bronze.transactions", "invoice"].description
+    assert "cancellations" in rows["bronze.transactions", "invoice"].description
     assert rows["gold.other", "x"].description == ""
     inventory = [tuple(r)[:4] for r in table_inventory(tables).collect()]
     assert inventory == [("bronze", "transactions", 1, 2), ("gold", "other", 1, 1)]

@@ -18,24 +18,30 @@ from tillpanel.operators.snapshot import (
     net_revenue,
     order_counts,
     snapshot_profile,
+    snapshot_slice,
     trailing_revenue,
 )
 from tillpanel.plans.builds import backfill_customer_360, build_customer_360, snapshot_report
 from tillpanel.schemas import CUSTOMER_360_SCHEMA, GOLD_TABLE, SILVER_SCHEMA, SILVER_TABLE
 
-AS_OF = "2011-06-01"
-UK = "United Kingdom"
+AS_OF = "2011-03-15"
+UK = "Portugal"
+
+
+def days_before(days, hour=12):
+    return datetime(2011, 3, 15, hour) - timedelta(days=days)
+
+
+# Anna: two sales a good year apart, then a service line. Ben: new. Cleo: returns only.
 ROWS = [
-    ("100001", "85123", 10, 2.0, datetime(2010, 1, 15, 9), "11111", UK),
-    ("100002", "85124", 5, 4.0, datetime(2011, 5, 1, 9), "11111", UK),
-    ("100005", "POST", 1, 18.0, datetime(2011, 5, 15, 9), "11111", UK),
-    ("100003", "85125", 2, 50.0, datetime(2011, 5, 20, 9), "22222", "France"),
-    ("C100004", "85126", -3, 5.0, datetime(2011, 4, 1, 9), "33333", UK),
-]
-LEAKS = [
-    ("100099", "85999", 100, 9.0, datetime(2011, 6, 1), "11111", UK),
-    ("100100", "85999", 100, 9.0, datetime(2011, 7, 1, 9), "11111", UK),
+    ("700001", "30001", 4, 2.5, days_before(400), "50001", UK),
+    ("700002", "30002C", 6, 5.0, days_before(50), "50001", UK),
+    ("700003", "CARRIAGE", 1, 9.0, days_before(20), "50001", UK),
+    ("700004", "30003", 8, 3.0, days_before(9), "50002", "Norway"),
+    ("C700005", "30003", -2, 6.0, days_before(100), "50003", UK),
 ]
+AT_CUTOFF = ("700006", "30009", 7, 1.0, datetime(2011, 3, 15), "50001", UK)
+LATER = ("700007", "30009", 7, 1.0, datetime(2011, 4, 2), "50001", UK)
 
 
 @pytest.fixture
@@ -71,83 +77,108 @@ def test_schema(silver_frame):
     assert snapshot.dtypes == [(f.name, f.dataType.simpleString()) for f in CUSTOMER_360_SCHEMA]
 
 
-def test_population_is_everyone_with_history(silver_frame):
-    snapshot = customer_360(silver_frame(ROWS), AS_OF)
-    assert sorted(r.customer_id for r in snapshot.collect()) == ["11111", "22222", "33333"]
+def facts(frame, customer_id, *names):
+    row = customer(frame, customer_id)
+    return tuple(row[n] for n in names)
 
 
-def test_returning_customer(silver_frame):
-    row = customer(customer_360(silver_frame(ROWS), AS_OF), "11111")
-    assert row.first_purchase_date == date(2010, 1, 15)
-    assert row.last_activity_date == date(2011, 5, 15)
-    assert row.last_purchase_date == date(2011, 5, 1)
-    assert (row.recency_days, row.tenure_days) == (17, 502)
-    assert (row.order_count, row.cancelled_order_count) == (3, 0)
-    assert (row.total_net_revenue, row.trailing_12m_net_revenue) == (40.0, 20.0)
-    assert row.cancelled_revenue == 0.0
-    assert row.run_rate_90d == pytest.approx(20.0 * 90 / 365)
-    assert row.country == UK
+def test_everyone_with_history_has_a_row(silver_frame):
+    lines = silver_frame(ROWS)
+    found = {c: [r.customer_id for r in customer_360(lines, c).collect()] for c in ("2010-01-01", AS_OF)}
+    assert {c: sorted(ids) for c, ids in found.items()} == {
+        "2010-01-01": [], AS_OF: ["50001", "50002", "50003"],
+    }
 
 
-def test_thin_history_uses_the_tenure_floor(silver_frame):
-    row = customer(customer_360(silver_frame(ROWS), AS_OF), "22222")
-    assert (row.recency_days, row.tenure_days, row.order_count) == (12, 12, 1)
-    assert (row.total_net_revenue, row.run_rate_90d) == (100.0, 100.0)
+def test_service_lines_are_activity_but_not_purchases(silver_frame):
+    snapshot = customer_360(silver_frame(ROWS), AS_OF)
+    assert facts(
+        snapshot, "50001", "first_purchase_date", "last_purchase_date", "last_activity_date",
+        "recency_days", "tenure_days", "order_count", "cancelled_order_count",
+    ) == (days_before(400).date(), days_before(50).date(), days_before(20).date(), 20, 400, 3, 0)
+    assert facts(
+        snapshot, "50001", "total_net_revenue", "trailing_12m_net_revenue", "cancelled_revenue", "country"
+    ) == (40.0, 30.0, 0.0, UK)
+    # More than a trailing window of history: that window scaled to the horizon.
+    assert customer(snapshot, "50001").run_rate_90d == pytest.approx(30.0 / 365 * 90)
 
 
-def test_cancellation_only_customer(silver_frame):
-    row = customer(customer_360(silver_frame(ROWS), AS_OF), "33333")
-    assert row.last_purchase_date is None
-    assert (row.order_count, row.cancelled_order_count, row.recency_days) == (0, 1, 61)
-    assert (row.total_net_revenue, row.cancelled_revenue, row.run_rate_90d) == (-15.0,) * 3
+def test_a_short_history_counts_as_long_as_the_horizon(silver_frame):
+    lines = silver_frame(ROWS)
+    names = ("tenure_days", "total_net_revenue", "run_rate_90d")
+    assert facts(customer_360(lines, AS_OF), "50002", *names) == (9, 24.0, 24.0)
+    assert facts(customer_360(lines, AS_OF, 6), "50002", *names) == (9, 24.0, 24.0 / 9 * 6)
 
 
-def test_window_lengths_are_parameters(silver_frame):
-    row = customer(customer_360(silver_frame(ROWS), AS_OF, 30, 600), "11111")
-    assert row.trailing_12m_net_revenue == 40.0
-    assert row.run_rate_90d == pytest.approx(40.0 / 502 * 30)
+def test_returns_alone(silver_frame):
+    snapshot = customer_360(silver_frame(ROWS), AS_OF)
+    assert facts(
+        snapshot, "50003", "last_purchase_date", "order_count", "cancelled_order_count",
+        "total_net_revenue", "cancelled_revenue",
+    ) == (None, 0, 1, -12.0, -12.0)
 
 
-def test_trailing_window_includes_its_first_instant(silver_frame):
-    start = datetime(2011, 6, 1) - timedelta(days=365)
+def test_trailing_window_is_half_open(silver_frame):
+    start = datetime(2011, 3, 15) - timedelta(days=365)
     rows = [
-        ("100001", "85123", 1, 1.0, start, "11111", UK),
-        ("100002", "85123", 1, 10.0, start - timedelta(seconds=1), "11111", UK),
+        ("700001", "30001", 1, 3.0, start, "50001", UK),
+        ("700002", "30001", 1, 20.0, start - timedelta(microseconds=1), "50001", UK),
     ]
-    assert customer(customer_360(silver_frame(rows), AS_OF), "11111").trailing_12m_net_revenue == 1.0
+    lines = silver_frame(rows)
+    assert customer(customer_360(lines, AS_OF), "50001").trailing_12m_net_revenue == 3.0
+    assert customer(customer_360(lines, AS_OF, 90, 366), "50001").trailing_12m_net_revenue == 23.0
 
 
-def test_earlier_cutoff_sees_less(silver_frame):
-    snapshot = customer_360(silver_frame(ROWS), "2011-05-10")
-    assert customer(snapshot, "22222") is None
-    early = customer(snapshot, "11111")
-    assert (early.last_activity_date, early.order_count) == (date(2011, 5, 1), 2)
+@pytest.mark.parametrize("later", [AT_CUTOFF, LATER])
+def test_lines_from_the_cutoff_on_change_nothing(silver_frame, later):
+    plain_rows, leaky = silver_frame(ROWS), silver_frame([*ROWS, later])
+    assert customer_360(leaky, AS_OF).exceptAll(customer_360(plain_rows, AS_OF)).count() == 0
+    # A cutoff after them sees them.
+    assert facts(customer_360(leaky, "2011-05-01"), "50001", "order_count", "total_net_revenue") == (4, 47.0)
 
 
-def test_future_lines_change_nothing(silver_frame):
-    before = customer(customer_360(silver_frame(ROWS), AS_OF), "11111")
-    leaked = silver_frame(ROWS + LEAKS)
-    assert customer(customer_360(leaked, AS_OF), "11111") == before
-    assert customer(customer_360(leaked, "2011-08-01"), "11111").order_count == 5
+def test_an_earlier_cutoff_sees_less(silver_frame):
+    snapshot = customer_360(silver_frame(ROWS), days_before(30).date())
+    assert customer(snapshot, "50002") is None
+    assert facts(snapshot, "50001", "order_count", "recency_days") == (2, 20)
 
 
 def test_latest_country_breaks_ties_by_invoice_then_country(silver_frame):
-    noon = datetime(2011, 1, 1, 12)
+    noon = days_before(7)
     rows = [
-        ("100002", "85123", 1, 1.0, noon, "11111", "Spain"),
-        ("100001", "85123", 1, 1.0, noon, "11111", "Sweden"),
-        ("C100001", "85123", -1, 1.0, noon, "22222", "Eire"),
-        ("999999", "85123", 1, 1.0, noon, "22222", "Norway"),
-        ("100003", "85123", 1, 1.0, noon, "33333", "Austria"),
-        ("100003", "85123", 1, 1.0, noon, "33333", "Belgium"),
+        ("700011", "30001", 1, 1.0, noon, "50001", "Cyprus"),
+        ("700012", "30001", 1, 1.0, noon, "50001", "Austria"),
+        ("700099", "30001", 1, 1.0, noon, "50002", "Poland"),
+        ("C700001", "30001", -1, 1.0, noon, "50002", "Greece"),
+        ("700013", "30001", 1, 1.0, noon, "50003", "Iceland"),
+        ("700013", "30001", 1, 1.0, noon, "50003", "Latvia"),
     ]
     lines = silver_frame(rows)
-    expected = {"11111": "Spain", "22222": "Eire", "33333": "Belgium"}
+    expected = {"50001": "Austria", "50002": "Greece", "50003": "Latvia"}
     assert {r.customer_id: r.country for r in latest_country(lines, AS_OF).collect()} == expected
     snapshot = customer_360(lines, AS_OF)
     assert {r.customer_id: r.country for r in snapshot.collect()} == expected
     # An invoice with two countries is still one order.
-    assert customer(snapshot, "33333").order_count == 1
+    assert customer(snapshot, "50003").order_count == 1
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_large_and_tiny_amounts_add_exactly(spark, silver_frame, ansi):
+    rows = [("700001", "30001", 1, 1.0, days_before(3), "50001", UK),
+            ("700002", "30001", 1, 2e12, days_before(3), "50001", UK),
+            ("700003", "30001", 1, 1e18, days_before(3), "50003", UK)]
+    rows += [(f"7{i:05d}", "30001", 1, 4e-7, days_before(2), "50002", UK) for i in range(1000)]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        found = {r.customer_id: r.total_net_revenue for r in customer_360(silver_frame(rows), AS_OF).collect()}
+        assert found == {"50001": 2000000000001.0, "50002": 0.0004, "50003": 1e18}
+        too_much = silver_frame([(*rows[0][:3], 6e19, *rows[0][4:]) for _ in range(2)])
+        with pytest.raises(Exception, match="a total exceeds"):
+            net_revenue(too_much, AS_OF).collect()
+        with pytest.raises(Exception, match="amount: no decimal"):
+            net_revenue(silver_frame([(*rows[0][:3], 6e20, *rows[0][4:])]), AS_OF).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def random_lines(seed, count=300):
@@ -241,70 +272,72 @@ def test_single_metrics_agree_with_the_snapshot(silver_frame):
 
 def test_profile(silver_frame):
     row = snapshot_profile(customer_360(silver_frame(ROWS), AS_OF)).first()
-    assert (row.customers, row.active_customers, row.no_purchase, row.net_negative) == (3, 3, 1, 1)
-    assert (row.median_recency_days, row.max_recency_days) == (17.0, 61)
-    assert (row.median_tenure_days, row.max_tenure_days) == (61.0, 502)
-    assert row.total_net_revenue == 125.0
-    narrow = snapshot_profile(customer_360(silver_frame(ROWS), AS_OF), 30).first()
-    assert (narrow.active_customers, round(narrow.active_percent, 1)) == (2, 66.7)
+    assert (row.customers, row.active_customers, row.no_purchase, row.net_negative) == (3, 2, 1, 1)
+    assert (row.median_recency_days, row.max_recency_days) == (20.0, 100)
+    assert (row.median_tenure_days, row.max_tenure_days) == (100.0, 400)
+    assert row.total_net_revenue == 52.0
+    narrow = snapshot_profile(customer_360(silver_frame(ROWS), AS_OF), 9).first()
+    assert (narrow.active_customers, round(narrow.active_percent, 1)) == (1, 33.3)
 
 
 def test_profile_of_nobody(silver_frame):
-    row = snapshot_profile(customer_360(silver_frame(ROWS), "2009-01-01")).first()
+    row = snapshot_profile(customer_360(silver_frame(ROWS), "2005-01-01")).first()
     assert (row.customers, row.active_percent, row.total_net_revenue) == (0, 0.0, 0.0)
     assert row.median_recency_days is None
 
 
 def test_active_population(silver_frame):
-    active = active_customers(customer_360(silver_frame(ROWS), AS_OF), 17)
-    assert sorted(r.customer_id for r in active.collect()) == ["11111", "22222"]
+    active = active_customers(customer_360(silver_frame(ROWS), AS_OF), 20)
+    assert sorted(r.customer_id for r in active.collect()) == ["50001", "50002"]
 
 
 # ---- builds -------------------------------------------------------------------------------------
 
+EARLIER = "2011-02-01"
 
-def test_rebuild_replaces_its_slice(loaded):
-    build_customer_360(loaded, AS_OF)
-    assert build_customer_360(loaded, AS_OF).customer_rows == 3
-    assert loaded.table(GOLD_TABLE).filter("customer_id = '11111'").count() == 1
 
+def contents(warehouse):
+    return {tuple(r) for r in warehouse.table(GOLD_TABLE).collect()}
 
-def test_cutoffs_accumulate(loaded):
-    build_customer_360(loaded, "2011-05-01")
-    build_customer_360(loaded, AS_OF)
-    dates = loaded.table(GOLD_TABLE).select("as_of_date").distinct().collect()
-    assert {r.as_of_date for r in dates} == {date(2011, 5, 1), date(2011, 6, 1)}
+
+def test_a_slice_is_replaced_and_others_stay(loaded):
+    assert build_customer_360(loaded, EARLIER)[0] == 2
+    first = contents(loaded)
+    for _ in range(2):
+        assert build_customer_360(loaded, AS_OF) == (3, None)
+    assert first < contents(loaded)
+    assert loaded.table(GOLD_TABLE).count() == 5
 
 
 def test_an_empty_slice_clears_the_old_one(loaded, silver_frame):
-    build_customer_360(loaded, "2011-05-01")
+    build_customer_360(loaded, EARLIER)
     build_customer_360(loaded, AS_OF)
-    later = [r for r in ROWS if r[4] >= datetime(2011, 5, 1)]
-    loaded.replace(silver_frame(later), SILVER_TABLE, SILVER_SCHEMA)
-    assert build_customer_360(loaded, "2011-05-01").customer_rows == 0
-    assert loaded.table(GOLD_TABLE).filter("as_of_date = DATE'2011-05-01'").count() == 0
-    assert loaded.table(GOLD_TABLE).count() == 3
-    assert snapshot_report(loaded, "2011-05-01").first().customers == 0
+    recent = [r for r in ROWS if r[4] >= days_before(30)]
+    loaded.replace(silver_frame(recent), SILVER_TABLE, SILVER_SCHEMA)
+    assert build_customer_360(loaded, EARLIER)[0] == 0
+    assert {str(r[1]) for r in contents(loaded)} == {AS_OF}
+    assert snapshot_report(loaded, EARLIER).first().customers == 0
 
 
 def test_a_violation_leaves_the_panel_untouched(loaded, silver_frame):
     build_customer_360(loaded, AS_OF)
-    bad = [*ROWS, ("100200", "85123", 1, 1.0, datetime(2011, 5, 1), "ANON", UK)]
+    before = contents(loaded)
+    bad = [*ROWS, ("700200", "30001", 1, 1.0, days_before(5), "walk-in", UK)]
     loaded.replace(silver_frame(bad), SILVER_TABLE, SILVER_SCHEMA)
     with pytest.raises(ContractViolation, match="customer_id"):
         build_customer_360(loaded, AS_OF)
-    assert loaded.table(GOLD_TABLE).count() == 3
+    assert contents(loaded) == before
 
 
-def test_backfill_equals_replay(loaded, spark, tmp_path):
-    cutoffs = ["2009-06-01", "2011-05-01", "2011-05-10", AS_OF]
-    results = backfill_customer_360(loaded, cutoffs)
-    assert [r.customer_rows for r in results] == [0, 2, 2, 3]
-    backfilled = {tuple(r) for r in loaded.table(GOLD_TABLE).collect()}
+def test_backfill_equals_replay(loaded):
+    cutoffs = ["2009-06-01", EARLIER, "2011-03-10", AS_OF]
+    counted = backfill_customer_360(loaded, cutoffs)
+    assert {str(day): n for day, n in counted.items()} == dict(zip(cutoffs, [0, 2, 3, 3]))
+    backfilled = contents(loaded)
     for cutoff in cutoffs:
         build_customer_360(loaded, cutoff)
-    assert {tuple(r) for r in loaded.table(GOLD_TABLE).collect()} == backfilled
-    assert len(backfilled) == 7
+    assert contents(loaded) == backfilled
+    assert len(backfilled) == 8
 
 
 def test_backfill_is_audited_before_any_slice_is_published(loaded):
@@ -313,28 +346,39 @@ def test_backfill_is_audited_before_any_slice_is_published(loaded):
     assert not loaded.exists(GOLD_TABLE)
 
 
-def test_export_holds_the_whole_panel(loaded, spark, tmp_path):
-    build_customer_360(loaded, "2011-05-01")
-    result = build_customer_360(loaded, AS_OF, export_path=str(tmp_path / "export"))
-    assert spark.read.parquet(result.export_path).count() == 5
+def test_export_holds_the_new_slice(loaded, spark, tmp_path):
+    build_customer_360(loaded, EARLIER)
+    rows, path = build_customer_360(loaded, AS_OF, export_path=str(tmp_path / "export"))
+    exported = spark.read.parquet(path)
+    assert exported.count() == rows == 3
+    assert {str(r.as_of_date) for r in exported.collect()} == {AS_OF}
+
+
+def test_reading_a_slice_reads_its_partition(loaded):
+    backfill_customer_360(loaded, [EARLIER, AS_OF])
+    one = snapshot_slice(loaded.table(GOLD_TABLE), EARLIER)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].splitlines()[0]
+    assert "as_of_date" in filters[: filters.index("PushedFilters")]
+    assert one.count() == 2
 
 
 def test_superseded_versions_can_be_removed(loaded):
-    build_customer_360(loaded, "2011-05-01")
+    build_customer_360(loaded, EARLIER)
     build_customer_360(loaded, AS_OF)
     build_customer_360(loaded, AS_OF)
-    backfill_customer_360(loaded, ["2011-05-10", "2011-05-11"])
-    before = {tuple(r) for r in loaded.table(GOLD_TABLE).collect()}
+    backfill_customer_360(loaded, ["2011-03-10", "2011-03-11"])
+    before = contents(loaded)
     assert len(loaded.remove_superseded(GOLD_TABLE)) == 1
     assert loaded.remove_superseded(GOLD_TABLE) == []
-    assert {tuple(r) for r in loaded.table(GOLD_TABLE).collect()} == before
+    assert contents(loaded) == before
     loaded.replace(loaded.table(SILVER_TABLE), SILVER_TABLE, SILVER_SCHEMA)
     assert len(loaded.remove_superseded(SILVER_TABLE)) == 1
-    assert loaded.table(SILVER_TABLE).count() == 5
+    assert loaded.table(SILVER_TABLE).count() == len(ROWS)
 
 
 def test_rows_of_another_cutoff_are_refused(loaded, silver_frame):
     snapshot = customer_360(silver_frame(ROWS), AS_OF)
     with pytest.raises(Exception, match="row outside the slice"):
-        loaded.upsert_slice(snapshot, date(2011, 5, 1), CUSTOMER_360_SCHEMA)
+        loaded.upsert_slice(snapshot, date(2011, 2, 1), CUSTOMER_360_SCHEMA)
     assert not loaded.exists(GOLD_TABLE)

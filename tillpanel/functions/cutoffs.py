@@ -8,16 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_as_of_date(value: str | date) -> date:
-    """Accept an ISO date string, a date, or a datetime whose time of day is ignored."""
-    match value:
-        case datetime():
-            return value.date()
-        case date():
-            return value
-        case str():
-            return date.fromisoformat(value)
-    raise TypeError(f"a cutoff must be an ISO string, date or datetime, not {type(value).__name__}")
+def cutoff_date(cutoff: str | date) -> date:
+    """The day of a cutoff given as ``YYYY-MM-DD`` or as a date; a time of day is cut off."""
+    if isinstance(cutoff, str):
+        cutoff = date.fromisoformat(cutoff)
+    if not isinstance(cutoff, date):
+        raise TypeError(f"no cutoff date in {cutoff!r}")
+    return date(cutoff.year, cutoff.month, cutoff.day)
 
 
 def midnight(day: date, days_earlier: int = 0) -> Column:

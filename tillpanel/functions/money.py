@@ -1,8 +1,9 @@
 """Money and text forms that do not depend on row order or on the text quirks of doubles.
 
 Adding doubles gives a different last digit for every order of the rows, so on a cluster the same
-query would differ from run to run. Sums are taken over ``DECIMAL(18, 6)`` and turned back to double
-once, at the end.
+query would differ from run to run. Sums are taken over ``DECIMAL(38, 18)``, which holds every digit of a
+price and totals below 1e20, and turned back to double once, at the end. What does not fit stops the job,
+whatever the session's ANSI setting; nothing is lost silently.
 """
 
 from __future__ import annotations
@@ -10,20 +11,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_DECIMAL = "decimal(18,6)"
+from tillpanel.functions.casting import strict_cast
+
+MONEY_DECIMAL = "decimal(38,18)"
 
 
 def exact(amount: Column) -> Column:
     """``amount`` as the decimal in which money is added up."""
-    return amount.cast(MONEY_DECIMAL)
+    return strict_cast(amount, MONEY_DECIMAL, "amount")
+
+
+def checked(total: Column, counted: Column) -> Column:
+    """A ``try_sum`` of money that is null only over nothing: zero there, an error on overflow.
+
+    ``counted`` is the number of amounts in the same group or window.
+    """
+    overflow = F.raise_error(F.lit(f"a total exceeds {MONEY_DECIMAL}")).cast(MONEY_DECIMAL)
+    empty = F.lit(0).cast(MONEY_DECIMAL)
+    return F.when(total.isNull() & (counted > 0), overflow).otherwise(F.coalesce(total, empty))
+
+
+def money_sum(value: Column) -> Column:
+    """Sum of decimals that are money already; zero over nothing."""
+    return checked(F.try_sum(value), F.count(value))
 
 
 def exact_sum(amount: Column, condition: Column | None = None) -> Column:
     """Decimal sum of the rows that meet ``condition``; zero when there are none."""
     value = exact(amount)
-    if condition is not None:
-        value = F.when(condition, value)
-    return F.coalesce(F.sum(value), F.lit(0).cast(MONEY_DECIMAL))
+    return money_sum(value if condition is None else F.when(condition, value))
 
 
 def money(amount: Column) -> Column:
@@ -31,9 +47,16 @@ def money(amount: Column) -> Column:
     return amount.cast("double")
 
 
+def double_key(value: Column) -> Column:
+    """Text of a double, one for each value; negative zero is zero."""
+    return (value + F.lit(0.0)).cast("string")
+
+
 def double_text(value: Column) -> Column:
-    """Plain text of a double: no negative zero, and no exponent where six decimals are enough."""
-    value = value + F.lit(0.0)
+    """Plain text of a double with all its digits: no exponent from 1e7 up to 1e15."""
+    text = double_key(value)
+    plain = F.regexp_replace(
+        text.try_cast("decimal(38,18)").cast("string"), r"(\.[0-9]+?)0+$", "$1"
+    )
     size = F.abs(value)
-    plain = F.regexp_replace(value.cast("decimal(38,6)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
-    return F.when((size >= 1e7) & (size < 1e15), plain).otherwise(value.cast("string"))
+    return F.when((size >= 1e7) & (size < 1e15), plain).otherwise(text)

@@ -7,13 +7,13 @@ The textbook form is ``min(source_sheet)`` over a window of all eight line colum
 sorts every row, and puts all copies of one line into one task. Here, in three steps that each leave
 most rows where they are:
 
-1. Identical lines share their date, so only days delivered by several batches can hold overlap. That
-   list has one row per calendar day at most and is broadcast.
-2. On such a day only the lines outside its earliest batch can be overlap; all others pass untouched.
-3. Those lines look up the earliest batch of their eight columns in an aggregate with one row per
-   distinct line, where copies collapse before the shuffle. The few lines with the most copies are
-   looked up by broadcast, so that a line that fills a third of bronze is not shuffled either; the rest
-   is joined however the optimizer sees fit.
+1. Identical lines share their date, so only days delivered by several batches can hold overlap. One
+   small aggregate (a row per day and batch) gives the rank of each batch and the first batch of
+   each such day; both are broadcast, one row per batch and one per calendar day.
+2. On such a day only the lines outside its first batch can be overlap; all others pass untouched.
+3. Those lines look up the first batch of their eight columns in an aggregate with one row per distinct
+   line, where copies collapse before the shuffle. The looked-up rows are replicated ``SALTS`` times and
+   each probing task uses one of the copies, so a line that fills a third of bronze is spread as well.
 """
 
 from __future__ import annotations
@@ -21,124 +21,106 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpanel.schemas import LINE_COLUMNS
 
 OVERLAP_FLAG = "is_overlap_copy"
+SALTS = 8
 
 
 def _day() -> Column:
     return F.col("invoice_date").cast("date")
 
 
-def shared_days(bronze: DataFrame) -> DataFrame:
-    """Days delivered by more than one batch, with the names of these batches in text order."""
+def batch_days(bronze: DataFrame) -> DataFrame:
+    """The days of every batch."""
+    return bronze.groupBy(_day().alias("day"), "source_sheet").agg(F.count("*").alias("lines"))
+
+
+def batch_ranks(days: DataFrame) -> DataFrame:
+    """Batches by text order of their names: one row per batch."""
+    # The window holds one row per delivered batch. Using the line counts keeps this the same read of
+    # bronze as that of the days.
+    rank = F.row_number().over(Window.orderBy("ranked_sheet"))
     return (
-        bronze.groupBy(_day().alias("shared_day"), "source_sheet")
-        .agg(F.count("*").alias("lines"))
-        .groupBy("shared_day")
-        .agg(F.array_sort(F.collect_list("source_sheet")).alias("day_sheets"))
-        .filter(F.size("day_sheets") > 1)
+        days.groupBy(F.col("source_sheet").alias("ranked_sheet"))
+        .agg(F.sum("lines").alias("lines"))
+        .filter("lines > 0")
+        .select("ranked_sheet", rank.alias("sheet_rank"))
     )
 
 
-def _near_shared_days(bronze: DataFrame, days: DataFrame) -> DataFrame:
-    """Lines dated from the first to the last shared day, and undated ones.
+def shared_days(days: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Days that several batches deliver, with the rank of the first: one row per calendar day."""
+    return (
+        days.filter("lines > 0")
+        .join(F.broadcast(ranks), F.col("source_sheet").eqNullSafe(F.col("ranked_sheet")))
+        .groupBy(F.col("day").alias("shared_day"))
+        .agg(F.min("sheet_rank").alias("day_rank"), F.max("sheet_rank").alias("last_rank"))
+        .filter("day_rank < last_rank")
+        .drop("last_rank")
+    )
+
 
-    Written so that every bound reaches the scan, which then skips files and row groups: two filters
-    rather than one with OR, and the last day by top-1 rather than max, because Catalyst would merge
-    a min and a max subquery into one struct that is no longer pushed down.
-    """
+def _near(bronze: DataFrame, days: DataFrame) -> DataFrame:
+    """Lines dated from the first to the last shared day, and undated ones, in one scan."""
     date = F.col("invoice_date")
     first = days.select(F.min("shared_day").cast("timestamp_ntz")).scalar()
     last_day = days.orderBy(F.desc("shared_day")).limit(1)
     end = last_day.select(F.date_add("shared_day", 1).cast("timestamp_ntz")).scalar()
-    dated = bronze.filter((date >= first) & (date < end))
-    return dated.unionByName(bronze.filter(date.isNull()))
+    # Each bound by itself, so that both reach the scan beside the test for null.
+    return bronze.filter(date.isNull() | (date >= first)).filter(date.isNull() | (date < end))
 
 
-def _with_sheet_rank(lines: DataFrame, days: DataFrame) -> DataFrame:
-    """Adds the rank of the line's batch among those of its day; null on other days."""
-    # At most one row per calendar day, however large bronze is.
-    return lines.join(
-        F.broadcast(days), F.col("shared_day").eqNullSafe(_day()), "left"
-    ).withColumn("sheet_rank", F.array_position("day_sheets", F.col("source_sheet")))
-
-
-def _same_line(prefix: str) -> Column:
-    return reduce(and_, (F.col(c).eqNullSafe(F.col(prefix + c)) for c in LINE_COLUMNS))
+def _on_days(lines: DataFrame, ranks: DataFrame, days: DataFrame, how: str) -> DataFrame:
+    ranked = lines.join(
+        F.broadcast(ranks), F.col("source_sheet").eqNullSafe(F.col("ranked_sheet")), "left"
+    )
+    return ranked.join(F.broadcast(days), F.col("shared_day").eqNullSafe(_day()), how)
 
 
-def _distinct_lines(near: DataFrame) -> DataFrame:
-    """Copies and batches of every distinct line on the shared days."""
+def _first_ranks(lines: DataFrame) -> DataFrame:
+    """The first batch of every line that several batches hold, once per salt."""
     return (
-        near.filter(F.col("sheet_rank").isNotNull())
-        .groupBy(*LINE_COLUMNS)
-        .agg(
-            F.count("*").alias("copies"),
-            F.min("sheet_rank").alias("first_rank"),
-            F.max("sheet_rank").alias("last_rank"),
-        )
+        lines.groupBy(*[F.col(c).alias(f"first_{c}") for c in LINE_COLUMNS])
+        .agg(F.min("sheet_rank").alias("first_rank"), F.max("sheet_rank").alias("last_rank"))
+        .filter("first_rank < last_rank")
+        .drop("last_rank")
+        .withColumn("first_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
 
 
-def _prefixed(distinct_lines: DataFrame, condition: Column, prefix: str) -> DataFrame:
-    # Naming all three aggregates keeps them in every use of the distinct lines, which are then
-    # computed once: uses that differ after pruning would not share their shuffle.
-    all_used = (F.col("copies") > 0) & (F.col("first_rank") <= F.col("last_rank"))
-    return distinct_lines.filter(condition & all_used).select(
-        *[F.col(c).alias(prefix + c) for c in LINE_COLUMNS],
-        F.col("first_rank").alias(f"{prefix}rank"),
-        F.col("copies").alias(f"{prefix}copies"),
-    )
-
+def _same_line() -> Column:
+    return reduce(and_, (F.col(c).eqNullSafe(F.col(f"first_{c}")) for c in LINE_COLUMNS))
 
-def flag_overlap_copies(
-    bronze: DataFrame, broadcast_lines: int = 1000, broadcast_copies: int = 10_000
-) -> DataFrame:
-    """``bronze`` with a flag on the lines that an earlier batch already holds.
 
-    Lines with more than ``broadcast_copies`` copies are looked up by broadcast, at most
-    ``broadcast_lines`` of them; what is left over is joined and has smaller groups.
-    """
+def flag_overlap_copies(bronze: DataFrame) -> DataFrame:
+    """``bronze`` with a flag on the lines that an earlier batch already holds."""
     columns = [F.col(c) for c in bronze.columns]
-    days = shared_days(bronze)
-    near = _with_sheet_rank(_near_shared_days(bronze, days), days)
-    distinct_lines = _distinct_lines(near)
-    # The order is total, so every evaluation picks the same lines.
-    hot_lines = F.broadcast(
-        _prefixed(distinct_lines, F.col("copies") > broadcast_copies, "hot_")
-        .orderBy(F.desc("hot_copies"), *[f"hot_{c}" for c in LINE_COLUMNS])
-        .limit(broadcast_lines)
-    )
-    may_be_copy = F.coalesce(F.col("sheet_rank") > 1, F.lit(False))
-    is_hot = F.col("hot_rank").isNotNull()
-
-    settled = (
-        _with_sheet_rank(bronze, days)
-        .join(hot_lines, _same_line("hot_"), "left")
-        .filter(~may_be_copy | is_hot)
-        .select(
-            *columns,
-            F.coalesce(F.col("sheet_rank") > F.col("hot_rank"), F.lit(False)).alias(OVERLAP_FLAG),
-        )
-    )
+    by_day = batch_days(bronze)
+    ranks = batch_ranks(by_day)
+    days = shared_days(by_day, ranks)
+    may_be_copy = F.col("sheet_rank") > F.col("day_rank")
 
-    in_several = _prefixed(
-        distinct_lines, F.col("first_rank") < F.col("last_rank"), "first_"
+    settled = _on_days(bronze, ranks, days, "left").filter(
+        ~F.coalesce(may_be_copy, F.lit(False))
     )
+    near = _near(bronze, days)
+    firsts = _first_ranks(_on_days(near, ranks, days, "inner"))
+    # Which copy of the looked-up rows a task uses does not matter; all are alike.
     looked_up = (
-        near.join(hot_lines, _same_line("hot_"), "left")
-        .filter(may_be_copy & ~is_hot)
-        .join(in_several, _same_line("first_"), "left")
+        _on_days(near, ranks, days, "inner")
+        .filter(may_be_copy)
+        .withColumn("salt", F.spark_partition_id() % SALTS)
+        .join(firsts, _same_line() & (F.col("salt") == F.col("first_salt")), "left")
         .select(
             *columns,
             F.coalesce(F.col("sheet_rank") > F.col("first_rank"), F.lit(False)).alias(OVERLAP_FLAG),
         )
     )
-    return settled.unionByName(looked_up)
+    return settled.select(*columns, F.lit(False).alias(OVERLAP_FLAG)).unionByName(looked_up)
 
 
 def drop_overlap_copies(bronze: DataFrame) -> DataFrame:

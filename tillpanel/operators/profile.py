@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillpanel.functions.money import double_text
+from tillpanel.functions.money import double_key, double_text
 from tillpanel.schemas import BRONZE_TABLE, GOLD_TABLE, SILVER_TABLE
 
 # Names under which types appear in the dictionary.
@@ -38,13 +38,13 @@ TABLE_DESCRIPTIONS = {
 }
 
 _LINE_DESCRIPTIONS = {
-    "invoice": "Invoice number as text; a leading 'C' marks a cancellation.",
+    "invoice": "Number printed on the invoice; those of cancellations begin with 'C'.",
     "stock_code": "Code of the article or service.",
     "description": "Name of the article.",
     "quantity": "Units on the line; negative on cancellations.",
     "invoice_date": "Time of the invoice.",
     "unit_price": "Price of one unit, in GBP.",
-    "customer_id": "Customer identifier as text; null on anonymous sales.",
+    "customer_id": "Who bought, as text; not known for anonymous sales.",
     "country": "Country of the customer.",
     "source_file": "Lineage: name of the delivered file.",
     "source_sheet": "Lineage: name of the batch.",
@@ -55,13 +55,13 @@ COLUMN_DESCRIPTIONS = {
     BRONZE_TABLE: _LINE_DESCRIPTIONS,
     SILVER_TABLE: _LINE_DESCRIPTIONS
     | {
-        "customer_id": "Customer identifier as text; never null here.",
-        "line_revenue": "quantity * unit_price; negative on cancellations.",
-        "is_cancellation": "Whether the invoice is a cancellation.",
+        "customer_id": "Who bought, as text; known on every line of this table.",
+        "line_revenue": "Value of the line: units times price of one; below zero when goods come back.",
+        "is_cancellation": "True on lines of cancellation invoices.",
         "is_product": "Whether the stock code is merchandise rather than a service or adjustment.",
     },
     GOLD_TABLE: {
-        "customer_id": "Customer identifier.",
+        "customer_id": "The customer the row is about.",
         "as_of_date": "Cutoff; only earlier lines count.",
         "first_purchase_date": "Date of the first line of any kind; tenure starts here.",
         "last_activity_date": "Date of the last line of any kind; recency starts here.",
@@ -69,8 +69,8 @@ COLUMN_DESCRIPTIONS = {
         "null without one.",
         "recency_days": "Days from last_activity_date to the cutoff.",
         "tenure_days": "Days from first_purchase_date to the cutoff.",
-        "order_count": "Distinct invoices that are not cancellations.",
-        "cancelled_order_count": "Distinct cancellation invoices.",
+        "order_count": "How many different sales invoices the customer had.",
+        "cancelled_order_count": "How many different cancellation invoices the customer had.",
         "total_net_revenue": "Product revenue to date, net of cancellations.",
         "trailing_12m_net_revenue": "Product revenue of the trailing window.",
         "cancelled_revenue": "Revenue of all cancelled lines; never positive.",
@@ -84,6 +84,11 @@ def type_name(dtype: T.DataType) -> str:
     return TYPE_NAMES.get(dtype.simpleString(), dtype.simpleString().upper())
 
 
+def _key(column: Column, dtype: T.DataType) -> Column:
+    """Text that is one to one with the values."""
+    return double_key(column) if isinstance(dtype, T.DoubleType) else column.cast("string")
+
+
 def _text(column: Column, dtype: T.DataType) -> Column:
     return double_text(column) if isinstance(dtype, T.DoubleType) else column.cast("string")
 
@@ -98,7 +103,7 @@ def column_profile(frame: DataFrame) -> DataFrame:
                 *[
                     F.struct(
                         F.lit(i).alias("ordinal_position"),
-                        _text(F.col(f.name), f.dataType).alias("value"),
+                        _key(F.col(f.name), f.dataType).alias("value"),
                     )
                     for i, f in fields
                 ]

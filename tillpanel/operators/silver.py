@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.functions.money import exact, exact_sum, money
-from tillpanel.operators.dedup import OVERLAP_FLAG, drop_overlap_copies, flag_overlap_copies
+from tillpanel.functions.money import exact_sum, money, money_sum
+from tillpanel.operators.dedup import OVERLAP_FLAG, flag_overlap_copies
 from tillpanel.schemas import PRODUCT_CODE_PATTERN, SILVER_SCHEMA
 
 
@@ -18,8 +18,8 @@ def is_cancellation() -> Column:
     return F.col("invoice").startswith("C")
 
 
-def is_product() -> Column:
-    return F.col("stock_code").rlike(PRODUCT_CODE_PATTERN)
+def is_product(product_code_pattern: str = PRODUCT_CODE_PATTERN) -> Column:
+    return F.col("stock_code").rlike(product_code_pattern)
 
 
 def drop_anonymous(lines: DataFrame) -> DataFrame:
@@ -27,33 +27,47 @@ def drop_anonymous(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("customer_id").isNotNull())
 
 
-def with_derived_columns(lines: DataFrame) -> DataFrame:
+def with_derived_columns(
+    lines: DataFrame, product_code_pattern: str = PRODUCT_CODE_PATTERN
+) -> DataFrame:
     return lines.withColumns(
         {
             "line_revenue": line_revenue(),
             "is_cancellation": is_cancellation(),
-            "is_product": is_product(),
+            "is_product": is_product(product_code_pattern),
         }
     )
 
 
-def silver_lines(bronze: DataFrame) -> DataFrame:
+def silver_of_flagged(
+    flagged: DataFrame, product_code_pattern: str = PRODUCT_CODE_PATTERN
+) -> DataFrame:
     """The silver table: overlap dropped first, then anonymous lines, then columns derived."""
-    cleaned = drop_anonymous(drop_overlap_copies(bronze))
-    return with_derived_columns(cleaned).select(SILVER_SCHEMA.fieldNames())
+    cleaned = drop_anonymous(flagged.filter(~F.col(OVERLAP_FLAG)))
+    return with_derived_columns(cleaned, product_code_pattern).select(SILVER_SCHEMA.fieldNames())
 
 
-def row_accounting(bronze: DataFrame) -> DataFrame:
-    """One row: where every bronze row went on its way to silver."""
+def silver_lines(bronze: DataFrame, product_code_pattern: str = PRODUCT_CODE_PATTERN) -> DataFrame:
+    """The silver table from bronze."""
+    return silver_of_flagged(flag_overlap_copies(bronze), product_code_pattern)
+
+
+def accounting_columns() -> list[Column]:
+    """Where every flagged bronze row goes on its way to silver, as aggregates."""
     dropped = F.col(OVERLAP_FLAG)
     anonymous = F.col("customer_id").isNull()
-    return flag_overlap_copies(bronze).agg(
+    return [
         F.count("*").alias("bronze_rows"),
         F.count_if(dropped).alias("duplicate_rows_dropped"),
         F.count_if(~dropped).alias("deduped_rows"),
         F.count_if(~dropped & anonymous).alias("anonymous_rows_dropped"),
         F.count_if(~dropped & ~anonymous).alias("silver_rows"),
-    )
+    ]
+
+
+def row_accounting(bronze: DataFrame) -> DataFrame:
+    """One row: where every bronze row went on its way to silver."""
+    return flag_overlap_copies(bronze).agg(*accounting_columns())
 
 
 def silver_summary(silver: DataFrame) -> DataFrame:
@@ -68,7 +82,7 @@ def silver_summary(silver: DataFrame) -> DataFrame:
         F.count_if("is_cancellation").alias("cancelled"),
         F.count_if(~F.col("is_product")).alias("non_product"),
         F.count_if(F.col("unit_price") == 0).alias("zero_price"),
-        F.sum(F.when(F.col("is_product"), exact(F.col("line_revenue")))).alias("revenue"),
+        exact_sum(F.col("line_revenue"), F.col("is_product")).alias("revenue"),
     )
 
     def total(column: str) -> Column:
@@ -82,7 +96,7 @@ def silver_summary(silver: DataFrame) -> DataFrame:
         total("cancelled").alias("cancellation_lines"),
         total("non_product").alias("non_product_lines"),
         total("zero_price").alias("zero_price_lines"),
-        money(total("revenue")).alias("net_product_revenue"),
+        money(money_sum(F.col("revenue"))).alias("net_product_revenue"),
     )
 
 

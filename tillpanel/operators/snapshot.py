@@ -17,8 +17,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpanel.functions.cutoffs import days_until, midnight, parse_as_of_date
-from tillpanel.functions.money import MONEY_DECIMAL, exact, exact_sum, money
+from tillpanel.functions.cutoffs import days_until, midnight, cutoff_date
+from tillpanel.functions.money import exact, exact_sum, money, money_sum
 from tillpanel.schemas import CHURN_WINDOW_DAYS, CUSTOMER_360_SCHEMA, TRAILING_WINDOW_DAYS
 
 INVOICE_KEY = ("customer_id", "invoice", "is_cancellation")
@@ -26,7 +26,7 @@ INVOICE_KEY = ("customer_id", "invoice", "is_cancellation")
 
 def history_before(silver: DataFrame, as_of: str | date) -> DataFrame:
     """Lines strictly before midnight at the start of the cutoff date."""
-    return silver.filter(F.col("invoice_date") < midnight(parse_as_of_date(as_of)))
+    return silver.filter(F.col("invoice_date") < midnight(cutoff_date(as_of)))
 
 
 def is_purchase() -> Column:
@@ -51,7 +51,7 @@ def fold_invoices(history: DataFrame, period: Column) -> DataFrame:
             F.min("invoice_date").alias("first_ts"),
             F.max("invoice_date").alias("last_ts"),
             F.max(F.when(is_purchase(), F.col("invoice_date"))).alias("purchase_ts"),
-            F.sum("amount").alias("amount"),
+            money_sum(F.col("amount")).alias("amount"),
         )
     )
     within_invoice = Window.partitionBy(*INVOICE_KEY).orderBy("period")
@@ -64,17 +64,14 @@ def customer_fold() -> list[Column]:
     amount, cancelled = F.col("amount"), F.col("is_cancellation")
     opens = F.col("opens_invoice")
 
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0).cast(MONEY_DECIMAL))
-
     return [
         F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
         F.max("purchase_ts").alias("purchase_ts"),
         F.count_if(opens & ~cancelled).alias("orders"),
         F.count_if(opens & cancelled).alias("cancelled_orders"),
-        total(F.col("is_product")).alias("net"),
-        total(cancelled).alias("cancelled"),
+        money_sum(F.when(F.col("is_product"), amount)).alias("net"),
+        money_sum(F.when(cancelled, amount)).alias("cancelled"),
         F.max(F.struct("last_ts", "invoice", "country")).alias("latest"),
     ]
 
@@ -125,14 +122,14 @@ def customer_360(
     trailing_days: int = TRAILING_WINDOW_DAYS,
 ) -> DataFrame:
     """The snapshot of every customer with history before ``as_of``."""
-    day = parse_as_of_date(as_of)
+    day = cutoff_date(as_of)
     trailing = F.when(F.col("is_product") & (F.col("period") == 1), F.col("amount"))
     return (
         fold_invoices(history_before(silver, day), in_trailing_window(day, trailing_days).cast("int"))
         .groupBy("customer_id")
         .agg(
             *customer_fold(),
-            F.coalesce(F.sum(trailing), F.lit(0).cast(MONEY_DECIMAL)).alias("trailing"),
+            money_sum(trailing).alias("trailing"),
         )
         .select(snapshot_columns(F.lit(day), churn_window_days, trailing_days))
     )
@@ -174,7 +171,7 @@ def trailing_revenue(
     silver: DataFrame, as_of: str | date, trailing_days: int = TRAILING_WINDOW_DAYS
 ) -> DataFrame:
     """Product revenue of the trailing window, its first day included."""
-    recent = in_trailing_window(parse_as_of_date(as_of), trailing_days)
+    recent = in_trailing_window(cutoff_date(as_of), trailing_days)
     return _revenue(silver, as_of, F.col("is_product") & recent, "trailing_12m_net_revenue")
 
 
@@ -208,7 +205,7 @@ def active_customers(snapshot: DataFrame, churn_window_days: int = CHURN_WINDOW_
 
 def snapshot_slice(panel: DataFrame, as_of: str | date) -> DataFrame:
     """One cutoff of the panel; a partition filter on the stored table."""
-    return panel.filter(F.col("as_of_date") == F.lit(parse_as_of_date(as_of)))
+    return panel.filter(F.col("as_of_date") == F.lit(cutoff_date(as_of)))
 
 
 def snapshot_profile(snapshot: DataFrame, churn_window_days: int = CHURN_WINDOW_DAYS) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
-from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tillpanel.functions.cutoffs import parse_as_of_date
+from tillpanel.functions.cutoffs import cutoff_date
 from tillpanel.operators.contracts import (
     Contract,
     bronze_contract,
@@ -18,9 +17,16 @@ from tillpanel.operators.contracts import (
     enforce,
     silver_contract,
 )
+from tillpanel.operators.dedup import flag_overlap_copies
 from tillpanel.operators.panel import customer_panel
 from tillpanel.operators.profile import data_dictionary
-from tillpanel.operators.silver import non_product_codes, row_accounting, silver_lines, silver_summary
+from tillpanel.operators.silver import (
+    accounting_columns,
+    non_product_codes,
+    row_accounting,
+    silver_of_flagged,
+    silver_summary,
+)
 from tillpanel.operators.snapshot import customer_360, snapshot_profile, snapshot_slice
 from tillpanel.schemas import (
     BRONZE_SCHEMA,
@@ -28,6 +34,7 @@ from tillpanel.schemas import (
     CHURN_WINDOW_DAYS,
     CUSTOMER_360_SCHEMA,
     GOLD_TABLE,
+    PRODUCT_CODE_PATTERN,
     SILVER_SCHEMA,
     SILVER_TABLE,
     TRAILING_WINDOW_DAYS,
@@ -36,48 +43,28 @@ from tillpanel.storage.warehouse import Warehouse
 
 logger = logging.getLogger(__name__)
 
-
-@dataclass(frozen=True)
-class RowAccounting:
-    """Where the bronze rows went."""
-
-    bronze_rows: int
-    duplicate_rows_dropped: int
-    anonymous_rows_dropped: int
-    silver_rows: int
-
-
-@dataclass(frozen=True)
-class IngestResult:
-    rows_loaded: int
-    export_path: str | None
-
-
-@dataclass(frozen=True)
-class SilverResult:
-    accounting: RowAccounting
-    export_path: str | None
-
-
-@dataclass(frozen=True)
-class SnapshotResult:
-    as_of_date: date
-    customer_rows: int
-    export_path: str | None
+ACCOUNTING = (
+    "bronze_rows",
+    "duplicate_rows_dropped",
+    "deduped_rows",
+    "anonymous_rows_dropped",
+    "silver_rows",
+)
 
 
-def _export(warehouse: Warehouse, table: str, path: str | None) -> str | None:
-    return warehouse.export(table, path) if path else None
+def _exported(
+    warehouse: Warehouse, table: str, path: str | None, frame: DataFrame | None = None
+) -> str | None:
+    return warehouse.export(table, path, frame) if path else None
 
 
 def ingest_bronze(
     warehouse: Warehouse, bronze: DataFrame, export_path: str | None = None
-) -> IngestResult:
-    """Replace bronze with the rows of ``read_batches`` or ``bronze_from_frames``."""
-    loaded = warehouse.replace(bronze, BRONZE_TABLE, BRONZE_SCHEMA)
-    rows = loaded.count()
-    logger.info("loaded %d rows into %s", rows, BRONZE_TABLE)
-    return IngestResult(rows, _export(warehouse, BRONZE_TABLE, export_path))
+) -> tuple[int, str | None]:
+    """Replace bronze with the rows of ``read_batches``; gives the row count and the export."""
+    rows = warehouse.replace(bronze, BRONZE_TABLE, BRONZE_SCHEMA).count()
+    logger.info("%s: %d rows", BRONZE_TABLE, rows)
+    return rows, _exported(warehouse, BRONZE_TABLE, export_path)
 
 
 def build_silver(
@@ -85,21 +72,29 @@ def build_silver(
     input_contract: Contract | None = None,
     output_contract: Contract | None = None,
     export_path: str | None = None,
-) -> SilverResult:
-    """Replace silver from bronze; a violated contract raises and leaves silver as it was."""
+    product_code_pattern: str = PRODUCT_CODE_PATTERN,
+) -> tuple[DataFrame, str | None]:
+    """Replace silver from bronze; a violated contract raises and leaves silver as it was.
+
+    Gives the row accounting, one row, and the export. The rows are counted while silver is written, so
+    the overlap is looked for once.
+    """
     bronze = warehouse.table(BRONZE_TABLE)
     enforce(bronze, input_contract or bronze_contract())
 
-    staged_path = warehouse.stage(silver_lines(bronze), SILVER_TABLE)
+    counted = Observation("silver rows")
+    flagged = flag_overlap_copies(bronze).observe(counted, *accounting_columns())
+    lines = silver_of_flagged(flagged, product_code_pattern)
+    staged_path = warehouse.stage(lines, SILVER_TABLE)
     staged = warehouse.read_staged(staged_path, SILVER_SCHEMA)
     enforce(staged, output_contract or silver_contract())
-    counts = row_accounting(bronze).first().asDict()
-    counts.pop("deduped_rows")
-    accounting = RowAccounting(**counts)
 
     warehouse.publish(staged_path, SILVER_TABLE, SILVER_SCHEMA)
-    logger.info("published %s: %s", SILVER_TABLE, accounting)
-    return SilverResult(accounting, _export(warehouse, SILVER_TABLE, export_path))
+    logger.info("%s: %s", SILVER_TABLE, counted.get)
+    accounting = warehouse.spark.createDataFrame(
+        [tuple(counted.get[name] for name in ACCOUNTING)], list(ACCOUNTING)
+    )
+    return accounting, _exported(warehouse, SILVER_TABLE, export_path)
 
 
 def build_customer_360(
@@ -109,9 +104,12 @@ def build_customer_360(
     trailing_days: int = TRAILING_WINDOW_DAYS,
     contract: Contract | None = None,
     export_path: str | None = None,
-) -> SnapshotResult:
-    """Replace one cutoff of the panel; a violated contract raises and leaves the panel as it was."""
-    day = parse_as_of_date(as_of)
+) -> tuple[int, str | None]:
+    """Replace one cutoff of the panel; a violated contract raises and leaves the panel as it was.
+
+    Gives the number of customers and the export, which holds the new slice.
+    """
+    day = cutoff_date(as_of)
     silver = warehouse.table(SILVER_TABLE)
     snapshot = customer_360(silver, day, churn_window_days, trailing_days)
 
@@ -121,8 +119,8 @@ def build_customer_360(
     rows = staged.count()
 
     warehouse.publish_slice(path, day, CUSTOMER_360_SCHEMA)
-    logger.info("published %s at %s: %d rows", GOLD_TABLE, day, rows)
-    return SnapshotResult(day, rows, _export(warehouse, GOLD_TABLE, export_path))
+    logger.info("%s at %s: %d rows", GOLD_TABLE, day, rows)
+    return rows, _exported(warehouse, GOLD_TABLE, export_path, staged)
 
 
 def _staged_slice(warehouse: Warehouse, path: str, as_of: date) -> DataFrame:
@@ -140,12 +138,14 @@ def backfill_customer_360(
     churn_window_days: int = CHURN_WINDOW_DAYS,
     trailing_days: int = TRAILING_WINDOW_DAYS,
     contract: Contract | None = None,
-) -> list[SnapshotResult]:
-    """Replace many cutoffs of the panel from one pass over silver.
+) -> dict[date, int]:
+    """Replace many cutoffs of the panel from one pass over silver; gives the customers of each.
 
-    All slices are audited before the first one is published.
+    All slices are audited before the first one is published. They are published one by one: each slice
+    is whole at any time, but after a failure in between some cutoffs are new and some old; running
+    the backfill again completes it.
     """
-    days = sorted({parse_as_of_date(c) for c in cutoffs})
+    days = sorted({cutoff_date(c) for c in cutoffs})
     panel = customer_panel(
         warehouse.table(SILVER_TABLE), days, churn_window_days, trailing_days
     )
@@ -157,7 +157,7 @@ def backfill_customer_360(
 
     for day, path in paths.items():
         warehouse.publish_slice(path, day, CUSTOMER_360_SCHEMA)
-    return [SnapshotResult(day, rows.get(day, 0), None) for day in days]
+    return {day: rows.get(day, 0) for day in days}
 
 
 # ---- reports, as frames -------------------------------------------------------------------------

@@ -15,8 +15,9 @@ from threading import Lock
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpanel.functions.cutoffs import parse_as_of_date
+from tillpanel.functions.cutoffs import cutoff_date
 from tillpanel.operators import contracts, dedup, panel, profile, silver, snapshot
+from tillpanel.plans import builds
 from tillpanel.schemas import (
     BRONZE_SCHEMA,
     BRONZE_TABLE,
@@ -26,7 +27,7 @@ from tillpanel.schemas import (
     SILVER_TABLE,
 )
 from tillpanel.sources import batches, retail_tables
-from tillpanel.storage.shared import new_folder
+from tillpanel.storage.shared import new_folder, remove_folder
 from tillpanel.storage.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,12 +45,11 @@ class RetailLayers:
         self._lock = Lock()
         self._written: set[str] = set()
 
-    def raw_batches(self) -> dict[str, DataFrame]:
-        return retail_tables.raw_batches(self.spark, self.tables_dir)
-
     def derived_bronze(self) -> DataFrame:
-        return batches.bronze_from_frames(
-            self.raw_batches(), retail_tables.SOURCE_FILE, retail_tables.LOADED_AT
+        return batches.bronze_from_deliveries(
+            retail_tables.raw_deliveries(self.spark, self.tables_dir),
+            retail_tables.SOURCE_FILE,
+            retail_tables.LOADED_AT,
         )
 
     def path(self, layer: str) -> str:
@@ -71,18 +71,40 @@ class RetailLayers:
     def silver(self) -> DataFrame:
         with self._lock:
             return self._stored(
-                "silver", lambda: silver.silver_lines(self._bronze()), SILVER_SCHEMA
+                "silver", lambda: retail_silver(self._bronze()), SILVER_SCHEMA
             )
 
 
+SOURCE_TABLES = ("lineitem", "orders", "customer", "part", "nation")
+
+
+def _source_state(spark: SparkSession, tables_dir: str) -> tuple:
+    """Sizes and times of the source files: layers are derived anew when these change."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    found = []
+    for name in SOURCE_TABLES:
+        path = hadoop.Path(f"{tables_dir}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in files.listStatus(path):
+            found.append((name, status.getPath().getName(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
 @cache
-def _layers_of(application: str, tables_dir: str, spark: SparkSession) -> RetailLayers:
+def _layers_of(application: str, tables_dir: str, state: tuple, spark: SparkSession) -> RetailLayers:
     return RetailLayers(spark, tables_dir)
 
 
 def layers(spark: SparkSession, tables_dir: str) -> RetailLayers:
     """The layers of ``tables_dir`` in this Spark application."""
-    return _layers_of(spark.conf.get("spark.app.id"), tables_dir.rstrip("/"), spark)
+    tables_dir = tables_dir.rstrip("/")
+    return _layers_of(
+        spark.conf.get("spark.app.id"), tables_dir, _source_state(spark, tables_dir), spark
+    )
+
+
+def retail_silver(bronze: DataFrame) -> DataFrame:
+    return silver.silver_lines(bronze, retail_tables.RETAIL_PRODUCT_CODE_PATTERN)
 
 
 def retail_bronze_contract() -> contracts.Contract:
@@ -94,6 +116,7 @@ def retail_silver_contract() -> contracts.Contract:
         retail_tables.RETAIL_WINDOW,
         retail_tables.RETAIL_INVOICE_PATTERN,
         retail_tables.RETAIL_CUSTOMER_ID_PATTERN,
+        retail_tables.RETAIL_PRODUCT_CODE_PATTERN,
     )
 
 
@@ -119,17 +142,46 @@ def with_wrong_revenue(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line_revenue", F.col("line_revenue") + off)
 
 
-def _bronze_files(spark: SparkSession, tables_dir: str) -> DataFrame:
-    """Bronze by way of delivered CSV folders, one per batch."""
+def with_text_numbers(bronze: DataFrame) -> DataFrame:
+    """Bronze with numbers as text, some of which are no numbers."""
+    price, code = F.col("unit_price").cast("string"), F.col("stock_code")
+    return bronze.withColumns(
+        {
+            "quantity": F.when(F.col("quantity") == 7, "seven").otherwise(
+                F.col("quantity").cast("string")
+            ),
+            "unit_price": F.when(code.endswith("3"), F.concat(price, F.lit(" GBP"))).otherwise(price),
+        }
+    )
+
+
+def _delivered(spark: SparkSession, tables_dir: str) -> dict[str, str]:
+    """CSV folders as they are delivered, one per batch, written in one pass."""
     folder = new_folder(spark, "batches")
-    paths = {}
-    for name, raw in layers(spark, tables_dir).raw_batches().items():
-        paths[name] = f"{folder}/{name}"
-        raw.write.options(header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(
-            paths[name]
-        )
+    retail_tables.raw_deliveries(spark, tables_dir).write.partitionBy("batch").options(
+        header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss"
+    ).csv(folder)
+    names = (retail_tables.FIRST_BATCH, retail_tables.SECOND_BATCH)
+    return {name: f"{folder}/batch={name}" for name in names}
+
+
+def _bronze_files(spark: SparkSession, tables_dir: str) -> DataFrame:
+    """Bronze by way of delivered CSV folders."""
     return batches.read_batches(
-        spark, paths, retail_tables.LOADED_AT, source_file=retail_tables.SOURCE_FILE
+        spark,
+        _delivered(spark, tables_dir),
+        retail_tables.LOADED_AT,
+        source_file=retail_tables.SOURCE_FILE,
+    )
+
+
+def _file_lineage(spark: SparkSession, tables_dir: str) -> DataFrame:
+    """Lines per batch of delivered folders, and whether each names the file it was read from."""
+    read = batches.read_batches(spark, _delivered(spark, tables_dir), retail_tables.LOADED_AT)
+    return read.groupBy("source_sheet").agg(
+        F.count("*").alias("lines"),
+        F.count_if(F.col("source_file").rlike(r"^part-[^/]*\.csv\z")).alias("lines_with_file_name"),
+        (F.count_distinct("source_file") > 0).alias("has_files"),
     )
 
 
@@ -139,32 +191,85 @@ def _export_roundtrip(spark: SparkSession, tables_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _warehouse(spark: SparkSession, tables_dir: str) -> Warehouse:
-    """A warehouse of its own over the stored layers, with two gold slices.
-
-    The early slice is first built with another churn window and then replaced.
-    """
+def _in_warehouse(
+    spark: SparkSession, tables_dir: str, work: Callable[[Warehouse, RetailLayers], DataFrame]
+) -> DataFrame:
+    """The result of ``work`` in a warehouse of its own, which is gone afterwards."""
     stored = layers(spark, tables_dir)
-    lines = stored.silver()
+    stored.silver()
     folder = new_folder(spark, "warehouse")
     warehouse = Warehouse(spark, folder, prefix=f"tillpanel_{uuid.uuid4().hex[:12]}_")
-    warehouse.publish(stored.path("bronze"), BRONZE_TABLE, BRONZE_SCHEMA)
+    try:
+        warehouse.publish(stored.path("bronze"), BRONZE_TABLE, BRONZE_SCHEMA)
+        result = work(warehouse, stored)
+        path = new_folder(spark, "result")
+        result.write.parquet(path)
+    finally:
+        warehouse.drop()
+        remove_folder(spark, folder)
+    return spark.read.schema(result.schema).parquet(path)
+
+
+def _with_gold(warehouse: Warehouse, stored: RetailLayers) -> None:
+    """Silver and two gold slices; the early slice is first built with another window, then replaced."""
+    lines = stored.silver()
     warehouse.publish(stored.path("silver"), SILVER_TABLE, SILVER_SCHEMA)
     for cutoff, churn_window in ((EARLY, 30), (MIDDLE, 90), (EARLY, 90)):
         warehouse.upsert_slice(
             snapshot.customer_360(lines, cutoff, churn_window),
-            parse_as_of_date(cutoff),
+            cutoff_date(cutoff),
             CUSTOMER_360_SCHEMA,
         )
-    return warehouse
 
 
-def _upserted(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return _warehouse(spark, tables_dir).table(GOLD_TABLE).select(CUSTOMER_360_SCHEMA.fieldNames())
+def _upserted(warehouse: Warehouse, stored: RetailLayers) -> DataFrame:
+    _with_gold(warehouse, stored)
+    return warehouse.table(GOLD_TABLE).select(CUSTOMER_360_SCHEMA.fieldNames())
+
+
+def _inventory(warehouse: Warehouse, stored: RetailLayers) -> DataFrame:
+    _with_gold(warehouse, stored)
+    return profile.table_inventory(warehouse.tables())
+
 
+def _slice_read(warehouse: Warehouse, stored: RetailLayers) -> DataFrame:
+    """One cutoff of a panel that a backfill and a later build have left."""
+    warehouse.publish(stored.path("silver"), SILVER_TABLE, SILVER_SCHEMA)
+    contract = retail_customer_360_contract()
+    builds.backfill_customer_360(warehouse, (EARLY, MIDDLE), contract=contract)
+    builds.build_customer_360(warehouse, LATE, contract=contract)
+    panel_table = warehouse.table(GOLD_TABLE).select(CUSTOMER_360_SCHEMA.fieldNames())
+    return snapshot.snapshot_slice(panel_table, MIDDLE)
+
+
+def _build_silver(warehouse: Warehouse) -> DataFrame:
+    accounting, _ = builds.build_silver(
+        warehouse,
+        retail_bronze_contract(),
+        retail_silver_contract(),
+        product_code_pattern=retail_tables.RETAIL_PRODUCT_CODE_PATTERN,
+    )
+    return accounting
+
+
+def _build_accounting(warehouse: Warehouse, stored: RetailLayers) -> DataFrame:
+    """What a silver build reports, beside the rows of the table that it left."""
+    return _build_silver(warehouse).crossJoin(
+        warehouse.table(SILVER_TABLE).agg(F.count("*").alias("published_rows"))
+    )
 
-def _inventory(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return profile.table_inventory(_warehouse(spark, tables_dir).tables())
+
+def _rejected_build(warehouse: Warehouse, stored: RetailLayers) -> DataFrame:
+    """Silver after a build that its contract rejected: that of the build before."""
+    _build_silver(warehouse)
+    warehouse.replace(with_dirt(stored.bronze()), BRONZE_TABLE, BRONZE_SCHEMA)
+    try:
+        _build_silver(warehouse)
+    except contracts.ContractViolation as violation:
+        rejected = len(violation.violations)
+    else:
+        rejected = 0
+    return warehouse.table(SILVER_TABLE).withColumn("violated_rules", F.lit(rejected))
 
 
 def _run_rates(lines: DataFrame) -> DataFrame:
@@ -192,6 +297,10 @@ def _on_silver(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, tables_dir: operator(layers(spark, tables_dir).silver())
 
 
+def _warehoused(work: Callable[[Warehouse, RetailLayers], DataFrame]) -> Query:
+    return lambda spark, tables_dir: _in_warehouse(spark, tables_dir, work)
+
+
 def _on_slice(operator: Callable[[DataFrame], DataFrame], cutoff: str = MIDDLE) -> Query:
     return _on_silver(lambda lines: operator(snapshot.customer_360(lines, cutoff)))
 
@@ -206,11 +315,14 @@ def retail_queries() -> dict[str, Query]:
         .groupBy("customer_id")
         .agg(F.count("*").alias("lines")),
         "bronze_typed": _bronze_files,
+        "bronze_file_lineage": _file_lineage,
         # silver
         "silver_cross_batch_dedup": _on_bronze(dedup.drop_overlap_copies),
         "silver_anonymous_filter": _on_bronze(silver.drop_anonymous),
         "silver_derived_columns": _on_bronze(
-            lambda b: silver.with_derived_columns(b).select(
+            lambda b: silver.with_derived_columns(
+                b, retail_tables.RETAIL_PRODUCT_CODE_PATTERN
+            ).select(
                 "invoice",
                 "stock_code",
                 "quantity",
@@ -220,8 +332,10 @@ def retail_queries() -> dict[str, Query]:
                 "is_product",
             )
         ),
-        "silver_transactions": _on_bronze(silver.silver_lines),
+        "silver_transactions": _on_bronze(retail_silver),
         "silver_row_accounting": _on_bronze(silver.row_accounting),
+        "silver_build_accounting": _warehoused(_build_accounting),
+        "silver_after_rejected_build": _warehoused(_rejected_build),
         "silver_summary": _on_silver(silver.silver_summary),
         "silver_non_product_codes": _on_silver(silver.non_product_codes),
         # contracts
@@ -233,15 +347,18 @@ def retail_queries() -> dict[str, Query]:
         ),
         "contract_silver_dirty": _on_bronze(
             lambda b: contracts.violations(
-                with_wrong_revenue(silver.silver_lines(with_dirt(b))), retail_silver_contract()
+                with_wrong_revenue(retail_silver(with_dirt(b))), retail_silver_contract()
             )
         ),
+        "contract_coercion": _on_bronze(
+            lambda b: contracts.violations(with_text_numbers(b), retail_bronze_contract())
+        ),
         "contract_gold": _on_slice(
             lambda s: contracts.violations(s, retail_customer_360_contract())
         ),
         "contract_schema_diff": _on_bronze(
             lambda b: contracts.schema_difference_report(
-                b.withColumn("surprise", F.lit(1)), retail_silver_contract()
+                b.withColumn("surprise", F.col("customer_id")), retail_silver_contract()
             )
         ),
         "contract_describe": _on_silver(
@@ -259,7 +376,8 @@ def retail_queries() -> dict[str, Query]:
         "customer_360_panel": _on_silver(
             lambda s: panel.customer_panel(s, (EARLY, MIDDLE, LATE))
         ),
-        "customer_360_upsert": _upserted,
+        "customer_360_upsert": _warehoused(_upserted),
+        "customer_360_slice_read": _warehoused(_slice_read),
         "customer_360_profile": _on_slice(snapshot.snapshot_profile),
         "active_population": _on_slice(snapshot.active_customers),
         # dictionary
@@ -267,6 +385,6 @@ def retail_queries() -> dict[str, Query]:
         "profile_silver": _on_silver(profile.column_profile),
         "profile_gold": _on_slice(profile.column_profile),
         "data_dictionary": _dictionary,
-        "table_inventory": _inventory,
+        "table_inventory": _warehoused(_inventory),
         "export_roundtrip": _export_roundtrip,
     }

@@ -70,18 +70,25 @@ def with_customer_id_text(batch: DataFrame) -> DataFrame:
     )
 
 
-def bronze_batch(raw: DataFrame, batch: str, source_file: Column | str, loaded_at: datetime) -> DataFrame:
-    """One checked batch in the bronze shape, with its lineage."""
-    check_source_columns(raw.columns, batch)
+def _bronze_shape(
+    raw: DataFrame, batch: Column, source_file: Column | str, loaded_at: datetime
+) -> DataFrame:
+    """Checked raw lines in the bronze columns and types, with their lineage."""
     file_name = F.lit(source_file) if isinstance(source_file, str) else source_file
     lineage = {
         "source_file": file_name,
-        "source_sheet": F.lit(batch),
+        "source_sheet": batch,
         "loaded_at": F.lit(loaded_at.isoformat(sep=" ")),
     }
     return typed_bronze(with_customer_id_text(rename_source_columns(raw.withColumns(lineage))))
 
 
+def bronze_batch(raw: DataFrame, batch: str, source_file: Column | str, loaded_at: datetime) -> DataFrame:
+    """One checked batch in the bronze shape, with its lineage."""
+    check_source_columns(raw.columns, batch)
+    return _bronze_shape(raw, F.lit(batch), source_file, loaded_at)
+
+
 def typed_bronze(frame: DataFrame) -> DataFrame:
     """Project to the bronze columns and types; a value that does not fit fails the load."""
     have = dict(frame.dtypes)
@@ -98,13 +105,13 @@ def union_batches(batches: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, batches)
 
 
-def bronze_from_frames(
-    batches: Mapping[str, DataFrame], source_file: str, loaded_at: datetime
-) -> DataFrame:
-    """Bronze rows of raw batches that are already DataFrames."""
-    return union_batches(
-        bronze_batch(raw, name, source_file, loaded_at) for name, raw in batches.items()
-    )
+def bronze_from_deliveries(raw: DataFrame, source_file: str, loaded_at: datetime) -> DataFrame:
+    """Bronze rows of several batches in one DataFrame that names each line's ``batch``.
+
+    The batches are read in one pass; their union needs no second one.
+    """
+    check_source_columns([c for c in raw.columns if c != "batch"], "all batches")
+    return _bronze_shape(raw, F.col("batch"), source_file, loaded_at)
 
 
 def read_batches(

@@ -27,6 +27,7 @@ RETAIL_WINDOW = (datetime(1995, 1, 1), datetime(2002, 1, 1))
 # Ids grow past the usual widths on large tables, so here the widths are minimums.
 RETAIL_INVOICE_PATTERN = r"^C?[0-9]{6,}\z"
 RETAIL_CUSTOMER_ID_PATTERN = r"^[0-9]{5,}\z"
+RETAIL_PRODUCT_CODE_PATTERN = r"^[0-9]{5,}[A-Za-z]*\z"
 
 
 def _padded(number: Column, width: int) -> Column:
@@ -40,18 +41,22 @@ def raw_lines(spark: SparkSession, tables_dir: str) -> DataFrame:
     read = lambda name: spark.read.parquet(f"{tables_dir}/{name}.parquet")
     nation = read("nation").select("n_nationkey", "n_name").alias("n")
     buyer_nation = (F.col("c_nationkey") + F.col("o_orderkey") % 3) % 25
-    lines = (
-        read("lineitem")
-        .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # Orders meet their customer before the lines come in: the lines are then shuffled by order and by part only.
+    buyers = (
+        read("orders")
         .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         # One row per nation, 25 at every scale.
         .join(F.broadcast(nation), F.col("n_nationkey") == buyer_nation)
     )
+    lines = (
+        read("lineitem")
+        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
+    )
     returned = F.col("l_returnflag") == "R"
     part_key = F.col("l_partkey")
     merchandise = F.concat(
-        _padded(part_key % 100000, 5), F.when(part_key % 7 == 0, "A").otherwise("")
+        _padded(part_key, 5), F.when(part_key % 7 == 0, "A").otherwise("")
     )
     return lines.select(
         F.concat(F.when(returned, "C").otherwise(""), _padded(F.col("l_orderkey"), 6)).alias("Invoice"),
@@ -68,15 +73,23 @@ def raw_lines(spark: SparkSession, tables_dir: str) -> DataFrame:
     )
 
 
-def raw_batches(spark: SparkSession, tables_dir: str) -> dict[str, DataFrame]:
-    """The two raw batches, in text order of their names = time order of their rows."""
-    lines = raw_lines(spark, tables_dir)
+def raw_deliveries(spark: SparkSession, tables_dir: str) -> DataFrame:
+    """The raw lines of both batches, each line as often as it is delivered, with its ``batch``.
+
+    Batch names are in text order = time order of their rows.
+    """
     date = F.col("InvoiceDate")
     end = F.lit(FIRST_BATCH_END).cast("timestamp_ntz")
     start = F.lit(SECOND_BATCH_START).cast("timestamp_ntz")
-    copies = F.when((date >= end) & (F.col("order_key") % 50 == 0), 2).otherwise(1)
-    second = lines.filter(date >= start).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    return {
-        FIRST_BATCH: lines.filter(date < end).drop("order_key"),
-        SECOND_BATCH: second.drop("order_key", "copy"),
-    }
+    second = F.lit(SECOND_BATCH)
+    deliveries = (
+        F.when(date < start, F.array(F.lit(FIRST_BATCH)))
+        .when(date < end, F.array(F.lit(FIRST_BATCH), second))
+        .when(F.col("order_key") % 50 == 0, F.array(second, second))
+        .otherwise(F.array(second))
+    )
+    return (
+        raw_lines(spark, tables_dir)
+        .withColumn("batch", F.explode(deliveries))
+        .drop("order_key")
+    )

@@ -171,9 +171,14 @@ class Warehouse:
                 removed.append(version.getName())
         return sorted(removed)
 
-    def export(self, table: str, path: str) -> str:
-        """A Parquet copy of a table outside the warehouse, one file per task; replaces ``path``."""
+    def drop(self) -> None:
+        """Remove the catalog entries; the files stay."""
+        for layer in LAYERS:
+            self.spark.sql(f"DROP DATABASE IF EXISTS `{self.prefix}{layer}` CASCADE")
+
+    def export(self, table: str, path: str, frame: DataFrame | None = None) -> str:
+        """A Parquet copy of a table, or of ``frame`` out of it, outside the warehouse; replaces ``path``."""
         if f"{path.rstrip('/')}/".startswith(f"{self.root}/"):
             raise ValueError(f"{path} is inside the warehouse at {self.root}")
-        self.table(table).write.mode("overwrite").parquet(path)
+        (self.table(table) if frame is None else frame).write.mode("overwrite").parquet(path)
         return path
