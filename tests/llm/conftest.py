@@ -1,0 +1,6 @@
+import sys
+from pathlib import Path
+
+for folder in (Path(__file__).parent, Path(__file__).parents[1], Path(__file__).parents[2]):
+    if str(folder) not in sys.path:
+        sys.path.insert(0, str(folder))

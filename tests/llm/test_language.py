@@ -1,0 +1,72 @@
+import random
+
+import cases
+import numpy as np
+
+from tillpanel.llm import language
+from tillpanel.llm.language import (
+    UNDETERMINED,
+    buckets_of,
+    count_buckets,
+    language_query,
+    letters_of,
+    train,
+)
+
+SYLLABLES = {"aa": "la lo ri tu mo".split(), "bb": "sch rk öt ung zeh".split(), "cc": "ção ñu ei xau lh".split()}
+
+
+def corpus(n, seed=0):
+    pick = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = pick.choice(sorted(SYLLABLES))
+        words = ["".join(pick.choices(SYLLABLES[lang], k=pick.randint(1, 3))) for _ in range(pick.randint(4, 30))]
+        rows.append((i, " ".join(words), lang, "s", 1))
+    return rows
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.createDataFrame(corpus(600), cases.SCHEMA)
+    found = language_query(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert 100 < len(found) < 300
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.99 * len(found)
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_odd_rows(spark):
+    docs = cases.frame(spark, cases.odd_rows() + corpus(60, 3))
+    rows = language_query(docs).collect()
+    assert len(rows) == len(cases.odd_rows()) + 60
+    by_id = {}
+    for r in rows[: len(cases.odd_rows())]:
+        by_id.setdefault(r.doc_id, r)
+    for odd in (1, 2, 3):
+        found = next(r for r in rows if r.doc_id == odd and r.score == 0)
+        assert found.lang_pred == UNDETERMINED
+    assert language_query(cases.frame(spark, [])).count() == 0
+
+
+def test_without_labels_everything_is_undetermined(spark):
+    docs = spark.createDataFrame([(1, "la la", None, "s", 1)], cases.SCHEMA)
+    assert [tuple(r)[2:] for r in language_query(docs).collect()] == [(UNDETERMINED, 0.0)]
+
+
+def test_pieces_count_like_the_whole(monkeypatch):
+    points = letters_of(cases.prose(5, 3000))
+    whole = np.bincount(buckets_of(points), minlength=language.BUCKETS)
+    for piece in (7, 100, 4096):
+        monkeypatch.setattr(language, "PIECE", piece)
+        assert (count_buckets(points) == whole).all()
+
+
+def test_model_is_the_same_however_rows_are_split(spark):
+    docs = spark.createDataFrame(corpus(80), cases.SCHEMA)
+    one, many = train(docs.repartition(1)), train(docs.repartition(7))
+    assert one.languages == many.languages == sorted(SYLLABLES)
+    assert (one.matrix == many.matrix).all()
+
+
+def test_letters():
+    assert "".join(map(chr, letters_of("Ab, cd--É 12"))) == " ab cd é "
+    assert not language.has_letters(letters_of("12 ?! \n"))

@@ -1,0 +1,104 @@
+import itertools
+import random
+
+import cases
+import numpy as np
+import pytest
+
+from tillpanel.llm import toxicity
+from tillpanel.llm.toxicity import maximal_segments, score, toxicity_query, train
+
+
+def brute_segments(scores):
+    """Take the best segment (the first and shortest among equals), then the same on either side."""
+    scores = [float(s) for s in scores]
+
+    def within(a, b):
+        best = None
+        for i, j in itertools.combinations(range(a, b + 1), 2):
+            s = sum(scores[i:j])
+            if s > 1e-9 and (best is None or s > best[2] + 1e-9 or (abs(s - best[2]) <= 1e-9 and j - i < best[1] - best[0])):
+                best = (i, j, s)
+        if best is None:
+            return []
+        return within(a, best[0]) + [best] + within(best[1], b)
+
+    return within(0, len(scores))
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_segments_match_brute_force(seed):
+    pick = random.Random(seed)
+    scores = np.array([pick.choice([-2.13, -1.07, -0.51, 0.77, 1.39, 2.71]) for _ in range(pick.randint(0, 14))])
+    found = maximal_segments(scores)
+    expected = brute_segments(scores)
+    assert [(a, b) for a, b, _ in found] == [(a, b) for a, b, _ in expected]
+    assert np.allclose([s for _, _, s in found], [s for _, _, s in expected])
+
+
+def corpus(n=900, seed=1):
+    pick = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        words = cases.prose(1000 + i, pick.randint(5, 120)).split()
+        toxic = int(pick.random() < 0.25)
+        if toxic:
+            for _ in range(pick.randint(1, 4)):
+                words.insert(pick.randrange(len(words)), pick.choice(["grumtosh", "vilekk", "snarbogged", "snarboggy"]))
+        rows.append((i, " ".join(words), "en", "s", 1))
+        if i % 3:
+            labels.append((i, 1, toxic))
+    return rows, labels
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_held_out_accuracy_and_passages(spark):
+    rows, labels = corpus()
+    docs, marked = spark.createDataFrame(rows, cases.SCHEMA), spark.createDataFrame(labels, LABELS)
+    found = toxicity_query(docs, marked).join(marked, "doc_id").filter("held_out").collect()
+    assert len(found) > 60
+    assert sum(r.toxic == r.predicted for r in found) >= 0.97 * len(found)
+    assert all(r.predicted == (r.score >= 0.5) for r in found)
+
+    model = train(docs, marked)
+    for r in score(docs, model).collect():
+        words = rows[r.doc_id][1].split()
+        told = {i for a, b in zip(r.passage_starts, r.passage_ends) for i in range(a, b)}
+        insults = {i for i, w in enumerate(words) if w[:4] in ("grum", "vile", "snar")}
+        first = {words.index(words[i]) for i in insults}
+        if r.score >= 0.5:
+            assert first & told
+        assert all(e <= toxicity.SIGNIFICANT for e in r.passage_e_values)
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark):
+    rows, labels = corpus(300)
+    docs = spark.createDataFrame(rows, cases.SCHEMA)
+    import zlib
+
+    flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, q, t in labels]
+    one = toxicity_query(docs, spark.createDataFrame(labels, LABELS))
+    two = toxicity_query(docs, spark.createDataFrame(flipped, LABELS))
+    assert one.exceptAll(two).count() == 0
+
+
+def test_odd_rows(spark):
+    rows, labels = corpus(200)
+    odd = [(None if r[0] is None else r[0] + 10_000, *r[1:]) for r in cases.odd_rows()]
+    docs = cases.frame(spark, odd + rows)
+    marked = spark.createDataFrame([*labels, (None, 1, 1), (3, 1, None)], LABELS)
+    found = toxicity_query(docs, marked).collect()
+    assert len(found) == len(odd) + len(rows)
+    assert all(0 <= r.score <= 1 for r in found)
+    by_id = {r.doc_id: r for r in found}
+    assert by_id[10_001].predicted == by_id[10_002].predicted == 0
+    assert toxicity_query(cases.frame(spark, []), marked).count() == 0
+
+
+def test_without_both_classes_nothing_is_toxic(spark):
+    rows, labels = corpus(30)
+    marked = spark.createDataFrame([(i, q, 0) for i, q, _ in labels], LABELS)
+    found = toxicity_query(spark.createDataFrame(rows, cases.SCHEMA), marked).collect()
+    assert {r.predicted for r in found} == {0}

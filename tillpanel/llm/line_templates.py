@@ -122,27 +122,28 @@ def drop_recurring_lines(docs: DataFrame, text_column: str = "text") -> DataFram
         .groupBy(F.col("doc_id").alias("line_doc"), F.col("text_hash").alias("line_text"))
         .agg(F.sort_array(F.collect_set("line_no")).alias("drops"))
     )
-    text = F.col(text_column)
+    # By frame, so that columns of these names in the input do no harm.
+    text, drops = docs[text_column], touched["drops"]
     joined = docs.drop("n_dropped_lines").join(
         touched,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("line_doc"))
-        & (F.xxhash64(text) == F.col("line_text")),
+        docs["doc_id"].cast("long").eqNullSafe(touched["line_doc"])
+        & (F.xxhash64(text) == touched["line_text"]),
         "left",
     )
     # Flags by line number, in one pass each: kept numbers are those that drops lacks.
     numbered = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("i"), line.alias("line")))
     kept = F.filter(
-        F.arrays_zip(numbered.alias("numbered"), _flags(text, F.col("drops")).alias("flags")),
+        F.arrays_zip(numbered.alias("numbered"), _flags(text, drops).alias("flags")),
         lambda z: ~z["flags"],
     )
     cleaned = F.array_join(F.transform(kept, lambda z: z["numbered"]["line"]), "\n")
     return joined.select(
         *[
-            F.when(F.col("drops").isNull(), text).otherwise(cleaned).alias(text_column)
-            if name == text_column else F.col(name)
+            F.when(drops.isNull(), text).otherwise(cleaned).alias(text_column)
+            if name == text_column else docs[name]
             for name in docs.columns if name != "n_dropped_lines"
         ],
-        F.coalesce(F.size("drops"), F.lit(0)).alias("n_dropped_lines"),
+        F.coalesce(F.size(drops), F.lit(0)).alias("n_dropped_lines"),
     )
 
 
