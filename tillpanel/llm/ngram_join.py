@@ -2,16 +2,20 @@
 
 1. Each text becomes a sorted array of 64-bit shingle hashes. Texts with equal sets are one class, known by
    a 128-bit digest, so a group of copies costs one member from here on.
-2. Prefix index: two sets within the threshold share one of the first n - ceil(t n) + 1 shingles of any common
-   order. Shingles that stand in many texts of a batch come last in that order, the rest goes by hash. Which
-   shingles come last only steers the work (at most ``LATE_SHINGLES``); every order finds every link.
-3. Per index key all classes are compared with two of them (least and greatest digest). Most groups of near
+2. A set of n with more than n - ceil(t n) shingles that no other class has cannot reach the threshold t with
+   any. The classes of every shingle in a fixed share (``PROBED``) of the hash range are counted, which rules
+   out most texts at the price of one aggregate; the rest are candidates.
+3. Prefix index of the candidates: two sets within the threshold share one of the first n - ceil(t n) + 1
+   shingles of any common order. Shingles that stand in many texts of a batch come last in that order, the
+   rest goes by hash. Which shingles come last only steers the work (at most ``LATE_SHINGLES``); every order
+   finds every link.
+4. Per index key all classes are compared with two of them (least and greatest digest). Most groups of near
    copies are connected after that, at a cost linear in their size.
-4. Where a key still holds classes of several components, tiles finish the job: classes of one size band
+5. Where a key still holds classes of several components, tiles finish the job: classes of one size band
    and the next above, in blocks of bounded size. In a tile, hashed bitmaps bound the overlap from above:
    |A n B| <= |A| - bits only in A. Only pairs of different components that pass the bound get the exact
    sorted-array intersection, so no link between components is missed.
-5. Components by star contraction; the result names each by its smallest id.
+6. Components by star contraction; the result names each by its smallest id.
 
 Defined results: a null text or one without words has an empty set and links with nothing; fewer words
 than n form one shingle. Rows that repeat an id each get a row. A null id takes part like any other; a component of
@@ -34,6 +38,8 @@ from tillpanel.llm.graph import connected_components
 
 WORDS = 3
 PERCENT = 90
+#: Share of the hash range whose shingles are counted over all classes.
+PROBED = 0.25
 #: Shingles seen in this many texts of one batch are put late in the order.
 LATE_COUNT = 3
 LATE_SHINGLES = 1 << 17
@@ -100,14 +106,24 @@ def enough(overlap, size_a, size_b, percent: int):
 # ---- passes over the texts ---------------------------------------------------------------------
 
 
+def prefix_length(n, percent: int):
+    """Shingles of which a set of n shares at least one with any set within the threshold."""
+    return n - (percent * n + 99) // 100 + 1
+
+
 def _classes_and_common(docs: DataFrame, n_words: int) -> DataFrame:
-    """Rows of two kinds: each document's set size and digest, and shingles common in a batch."""
+    """Rows of two kinds: each document's set size, digest and probed shingles; shingles common in a batch.
+
+    ``class`` is the first half of the digest.
+    """
+    probed = np.uint64(int(PROBED * 2**64))
 
     def start():
         hashes = _WordHashes()
 
         def work(columns):
             sets = [shingles(text, hashes, n_words) for text in columns["text"]]
+            digests = [digest_of(s) if len(s) else None for s in sets]
             n = len(sets)
             common, seen = np.unique(np.concatenate(sets), return_counts=True)
             late = seen >= LATE_COUNT
@@ -117,69 +133,72 @@ def _classes_and_common(docs: DataFrame, n_words: int) -> DataFrame:
                 "is_doc": [True] * n + [False] * rest,
                 "doc_id": columns["doc_id"] + [None] * rest,
                 "n": [len(s) for s in sets] + seen.tolist(),
-                "digest": [digest_of(s) if len(s) else None for s in sets] + [None] * rest,
-                "shingle": [None] * n + common.tolist(),
-            }
+                "digest": digests + [None] * rest,
+                "class": [
+                    None if d is None else int.from_bytes(d[:8], "little", signed=True) for d in digests
+                ] + common.tolist(),
+                "probes": [s[: np.searchsorted(s, probed)].view(np.int64) for s in sets] + [None] * rest,
+            }
 
         return work
 
-    return in_batches(docs, "is_doc boolean, doc_id long, n long, digest binary, shingle long", start)
+    schema = "is_doc boolean, doc_id long, n long, digest binary, class long, probes array<long>"
+    return in_batches(docs, schema, start)
+
 
+def _candidates(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All classes, and those with too few shingles of their own to be ruled out."""
+    owners = (
+        rows.select("class", F.explode("probes").alias("probe"))
+        .groupBy("probe").agg(F.min("class").alias("class"), F.max("class").alias("other"))
+        .filter(F.col("class") == F.col("other"))
+        .groupBy("class").agg(F.count("*").alias("own"))
+    )
+    classes = rows.filter("n > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("class").alias("class")
+    )
+    prefix = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
+    left = classes.join(owners, "class", "left").filter(F.coalesce("own", F.lit(0)) < prefix)
+    return classes.select("digest", "doc_id"), left.select("digest", "doc_id")
 
-def _index(docs: DataFrame, late: np.ndarray, n_words: int, percent: int) -> DataFrame:
-    """(key, digest, n) of every prefix shingle; copies repeat."""
+
+def _sets(docs: DataFrame, members: DataFrame, late: np.ndarray, n_words: int, percent: int) -> DataFrame:
+    """Shingles, bitmap and index keys of the classes in ``members`` (doc_id, digest)."""
+    texts = docs.join(
+        members.select(F.col("doc_id").alias("member_id"), F.col("digest").alias("member")),
+        F.col("doc_id").eqNullSafe(F.col("member_id")),
+    ).select("text", "member")
     shared = docs.sparkSession.sparkContext.broadcast(late)
 
     def start():
         hashes, late = _WordHashes(), shared.value
 
         def keys(found):
-            prefix = len(found) - (percent * len(found) + 99) // 100 + 1
+            prefix = prefix_length(len(found), percent)
             if len(late):
                 is_late = late[np.minimum(np.searchsorted(late, found), len(late) - 1)] == found
                 found = np.concatenate((found[~is_late], found[is_late]))
             return found[:prefix].view(np.int64)
 
-        def work(columns):
-            sets = [s for s in (shingles(text, hashes, n_words) for text in columns["text"]) if len(s)]
-            return {
-                "digest": [digest_of(s) for s in sets],
-                "n": [len(s) for s in sets],
-                "keys": [keys(s) for s in sets],
-            }
-
-        return work
-
-    found = in_batches(docs.select("text"), "digest binary, n long, keys array<long>", start)
-    return found.select(F.explode("keys").alias("key"), "digest", "n")
-
-
-def _sets(docs: DataFrame, members: DataFrame, n_words: int) -> DataFrame:
-    """Shingles and bitmap of the classes in ``members`` (doc_id, digest)."""
-    texts = docs.join(
-        members.select(F.col("doc_id").alias("member_id"), F.col("digest").alias("member")),
-        F.col("doc_id").eqNullSafe(F.col("member_id")),
-    ).select("text", "member")
-
-    def start():
-        hashes = _WordHashes()
-
         def work(columns):
             sets = [shingles(text, hashes, n_words) for text in columns["text"]]
             # An id that repeats with another text is not this class.
             rows = [
-                (m, s) for m, s in zip(columns["member"], sets, strict=True) if digest_of(s) == m
-            ]
+                (m, s) for m, s in zip(columns["member"], sets, strict=True)
+                if len(s) and digest_of(s) == m
+            ]
             return {
                 "digest": [m for m, _ in rows],
+                "n": [len(s) for _, s in rows],
                 "shingles": [s.tobytes() for _, s in rows],
                 "bits": [bitmap(s) for _, s in rows],
+                "keys": [keys(s) for _, s in rows],
             }
 
         return work
 
-    found = in_batches(texts, "digest binary, shingles binary, bits binary", start, chunk_rows=256)
-    return found.dropDuplicates(["digest"])
+    schema = "digest binary, n long, shingles binary, bits binary, keys array<long>"
+    return in_batches(texts, schema, start, chunk_rows=256).dropDuplicates(["digest"])
 
 
 # ---- pairs --------------------------------------------------------------------------------------
@@ -337,16 +356,17 @@ def ngram_groups(
     """Per document: set size, class digest, and the smallest id of its component."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col(text_column).alias("text"))
     first = stored(_classes_and_common(docs, n_words), "ngram-classes")
-    rows = first.filter("is_doc").select("doc_id", "n", "digest")
+    rows = first.filter("is_doc").drop("is_doc")
     # At most LATE_SHINGLES numbers; they steer the order of the index only.
     common = (
-        first.filter(~F.col("is_doc")).groupBy("shingle").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "shingle").limit(LATE_SHINGLES).toPandas()
+        first.filter(~F.col("is_doc")).groupBy("class").agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "class").limit(LATE_SHINGLES).toPandas()
     )
-    late = np.sort(common["shingle"].to_numpy(np.int64).view(np.uint64))
+    late = np.sort(common["class"].to_numpy(np.int64).view(np.uint64))
+    classes, members = _candidates(rows, percent)
+    sets = stored(_sets(docs, members, late, n_words, percent), "ngram-sets")
 
-    index = _index(docs, late, n_words, percent).groupBy("key", "digest").agg(F.max("n").alias("n"))
-    index = stored(index, "ngram-index")
+    index = sets.select("digest", "n", F.explode("keys").alias("key"))
     keys = (
         index.groupBy("key")
         .agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
@@ -354,11 +374,7 @@ def ngram_groups(
     )
     entries = stored(index.join(keys, "key"), "ngram-entries")
 
-    classes = rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    members = classes.join(entries.select("digest").distinct(), "digest", "left_semi")
-    sets = stored(_sets(docs, members, n_words), "ngram-sets")
-
-    sizes = entries.select(F.col("digest").alias("hub"), F.col("n").alias("hub_n")).distinct()
+    sizes = sets.select(F.col("digest").alias("hub"), F.col("n").alias("hub_n"))
     stars = (
         entries.select("digest", "n", F.explode(F.array("least", "most")).alias("hub"))
         .filter("digest <> hub").distinct().join(sizes, "hub")
