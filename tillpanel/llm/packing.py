@@ -18,8 +18,13 @@ each. Only longer documents are cut; pieces of the full capacity are sequences o
 from __future__ import annotations
 
 import bisect
+import json
+import re
 from collections import defaultdict
 from functools import cache
+from itertools import accumulate, chain, compress, pairwise, repeat
+from operator import is_
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -30,7 +35,7 @@ from tillpanel.llm.common import in_batches, stored
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 1_000_000
 #: Pieces ranked together.
 RANKED_TOGETHER = 100_000
 
@@ -54,28 +59,108 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@cache
+def _prepared_tokenizer(path: str):
+    """The same vocabulary and merges for text that ``_prepared`` has brought into their form."""
+    from tokenizers import Tokenizer
+
+    parts = json.loads(Path(path).read_text(encoding="utf-8"))
+    changes = {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+    return Tokenizer.from_str(json.dumps(parts | changes))
+
+
+# The part pattern of this tokenizer, here for ASCII and the Latin-1 letters, and the letters that
+# byte-level vocabularies use for bytes: printable bytes are themselves, the others follow from U+0100.
+_LETTER = "a-zß-öø-ÿ"
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\s{_LETTER}0-9]+")
+_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {
+    byte: 0x100 + k for k, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)
+} | {0x20: 0x20}
+_MARKS = "\u2665\u2605\u2713\u266b\u2192\u2022"
+_AS_BYTES = [
+    (c, c.encode("utf-8").decode("latin-1").translate(_BYTE_LETTERS))
+    for c in _MARKS + "".join(map(chr, (*range(0xDF, 0xF7), *range(0xF8, 0x100))))
+]
+
+
+def _prepared(text: str) -> str:
+    """Lower case, parts with blanks between them, bytes as letters; for ``_SIMPLE`` chunks and marks."""
+    parts = " ".join(_PARTS.findall(text.lower()))
+    # A letter's bytes may look like letters that are still to come, so each goes by way of a number.
+    for k, (letter, _) in enumerate(_AS_BYTES):
+        parts = parts.replace(letter, chr(0xE000 + k))
+    for k, (_, form) in enumerate(_AS_BYTES):
+        parts = parts.replace(chr(0xE000 + k), form)
+    return parts
+
+
 class ChunkIds:
     """Token ids of whole texts from those of their blank-separated chunks.
 
     This tokenizer drops white space and never joins across it, so a text's ids are those of its chunks
-    in turn; the ids of frequent chunks are remembered.
+    in turn; the ids of frequent chunks are remembered. New chunks are encoded many at a time, with a mark of
+    one id between them that none of them holds. Most chunks are of ASCII and Latin-1 letters; for them lower
+    case and parts are found here at once, all others take the tokenizer's own way.
     """
 
+    TOGETHER = 256
+
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        self.tokenizer, self.prepared = _tokenizer(path), _prepared_tokenizer(path)
         self.known: dict[bytes, bytes] = {}
+        single = ((m, self._ids(m)) for m in _MARKS)
+        self.mark, self.mark_id = next(((m, ids[0]) for m, ids in single if len(ids) == 1), ("", -1))
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        if not chunks:
+            return
+        texts = b"\n".join(chunks).decode("utf-8").split("\n")
+        simple, other, alone = [], [], []
+        for pair in zip(chunks, texts, strict=True):
+            if not self.mark or self.mark in pair[1]:
+                alone.append(pair)
+            elif _SIMPLE.fullmatch(pair[1]) and "<|" not in pair[1]:
+                simple.append(pair)
+            else:
+                other.append(pair)
+        for chunk, text in alone:
+            self.known[chunk] = np.array(self._ids(text), "<u4").tobytes()
+        self._learn_together(other, self.tokenizer, lambda text: text)
+        self._learn_together(simple, self.prepared, _prepared)
+
+    def _learn_together(self, pairs, tokenizer, form) -> None:
+        known = self.known
+        groups = [pairs[i : i + self.TOGETHER] for i in range(0, len(pairs), self.TOGETHER)]
+        between = f" {self.mark} "
+        texts = [form(between.join([text for _, text in group])) for group in groups]
+        encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for group, found in zip(groups, encoded, strict=True):
+            ids = np.array(found.ids, "<u4")
+            raw, at = ids.tobytes(), 0
+            ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
+            for (chunk, _), end in zip(group, ends, strict=True):
+                known[chunk] = raw[4 * at : 4 * end]
+                at = end + 1
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > CACHED_CHUNKS:
             self.known.clear()
-        known = self.known
         split = [(text or "").encode("utf-8").split() for text in texts]
-        new = list({chunk for chunks in split for chunk in chunks if chunk not in known})
-        found = self.tokenizer.encode_batch([c.decode("utf-8") for c in new], add_special_tokens=False)
-        for chunk, encoded in zip(new, found, strict=True):
-            known[chunk] = np.array(encoded.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        chunks = list(chain.from_iterable(split))
+        known = self.known
+        found = list(map(known.get, chunks))
+        new = set(compress(chunks, map(is_, found, repeat(None))))
+        if new:
+            self._learn(list(new))
+            found = [known[c] if ids is None else ids for c, ids in zip(chunks, found, strict=True)]
+        ends = list(accumulate(map(len, split), initial=0))
+        return [b"".join(found[a:b]) for a, b in pairwise(ends)]
 
 
 def token_pieces(
