@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
 Every step is a grouped minimum and a join back; nothing is collected. Each round is written to the
-shared folder, so a lost executor costs one round at most. The number of rounds grows with the logarithm
-of the longest path, and is two or three for star-shaped groups.
+shared folder, so a lost executor costs one round at most. The number of rounds grows with the
+logarithm of the longest path, and is two or three for star-shaped groups.
 """
 
 from __future__ import annotations

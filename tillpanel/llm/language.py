@@ -1,13 +1,14 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Training counts hashed n-grams per language over every labelled text (no sample): each task adds up its
-own counts, so one row per language, bucket and task is shuffled. The log-probability matrix has one
-row per language and ``BUCKETS`` columns whatever the corpus; it goes to the tasks as a broadcast
-variable. Languages are label values, limited to ``MAX_LANGUAGES``, more is an error. A text is scored as
-a sparse product of its bucket counts and the matrix.
-
-Defined results: a null text, or one without letters, is ``und`` with score 0. With no labelled text at
-all every text is ``und``. Ties go to the first language in text order. Repeated rows each get their row.
+Training counts hashed n-grams per language over every labelled text (no sample): each task adds up
+its own counts, so one row per language, bucket and task is shuffled. The log-probability matrix has
+one row per language and ``BUCKETS`` columns whatever the corpus; it goes to the tasks as a
+broadcast variable. Languages are label values, limited to ``MAX_LANGUAGES``, more is an error. A
+text is scored as a sparse product of its bucket counts and the matrix.
+
+Defined results: a null text, or one without letters, is ``und`` with score 0. With no labelled text
+at all every text is ``und``. Ties go to the first language in text order. Repeated rows each get
+their row.
 """
 
 from __future__ import annotations

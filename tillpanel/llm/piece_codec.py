@@ -1,18 +1,20 @@
 """SentencePiece merge models: encoding with seeded merge-dropout, and lossless decoding.
 
-A merge-type model turns a text into letters and merges neighbours, best score first. Here each candidate
-(two neighbouring symbols that make a piece) is taken from the agenda in that order, the leftmost first among
-equals, and is skipped for good when a keyed hash of (seed, document, word, place in the word, the two
-symbols) falls below the dropout rate. A seed thus gives one segmentation, another seed another, and
-rate 0 the model's own. Letters without a piece become byte pieces, so every text decodes exactly.
-
-Words: pieces hold the word mark only at their start or consist of it, so a text is cut before each run
-of marks and every part is an agenda of its own. Parts of one length are processed together, one candidate of
-each part per round; long parts have a heap each. Without dropout equal parts share their result. A word
-mark that stands in the text itself is kept apart from blanks by its bytes' pieces.
-
-Defined results: a null text encodes like an empty one, to no pieces, and decodes to ''. Rows that repeat an id encode alike
-where their texts are equal. Texts of any length are encoded whole.
+A merge-type model turns a text into letters and merges neighbours, best score first. Here each
+candidate (two neighbouring symbols that make a piece) is taken from the agenda in that order, the
+leftmost first among equals, and is skipped for good when a keyed hash of (seed, document, word,
+place in the word, the two symbols) falls below the dropout rate. A seed thus gives one
+segmentation, another seed another, and rate 0 the model's own. Letters without a piece become byte
+pieces, so every text decodes exactly.
+
+Words: pieces hold the word mark only at their start or consist of it, so a text is cut before each
+run of marks and every part is an agenda of its own. Parts of one length are processed together, one
+candidate of each part per round; long parts have a heap each. Without dropout equal parts share
+their result. A word mark that stands in the text itself is kept apart from blanks by its bytes'
+pieces.
+
+Defined results: a null text encodes like an empty one, to no pieces, and decodes to ''. Rows that
+repeat an id encode alike where their texts are equal. Texts of any length are encoded whole.
 """
 
 from __future__ import annotations

@@ -4,8 +4,8 @@ Every rule is evaluated once per document. The ledger stores the measurements an
 bit ``r`` is set when rule ``r`` failed; a policy is a mask of the rules it applies, so a new policy
 version, or the question what one rule costs, is bitwise work on the ledger and never reads a text.
 
-Defined results: a null text has no words (and fails the word count); repeated rows each get their row;
-other columns of the input are ignored.
+Defined results: a null text has no words (and fails the word count); repeated rows each get their
+row; other columns of the input are ignored.
 """
 
 from __future__ import annotations

@@ -1,16 +1,16 @@
 """Greedy longest-match token counts by a linear automaton (no pieces are built).
 
-The vocabulary is a trie with two roots: word starts and word continuations. Each node has a failure link
-to the node that the scan continues from when no child fits, and the number of pieces that are thereby
-complete ("popped"). A word is read once, letter by letter; its count is the sum of the popped counts.
-A word that the vocabulary cannot cover is one unknown token.
+The vocabulary is a trie with two roots: word starts and word continuations. Each node has a failure
+link to the node that the scan continues from when no child fits, and the number of pieces that are
+thereby complete ("popped"). A word is read once, letter by letter; its count is the sum of the
+popped counts. A word that the vocabulary cannot cover is one unknown token.
 
-Words are the runs between blanks (\\x20, \\x09-\\x0D). The vocabulary is that of a public SentencePiece
-model: pieces with the word mark start words, the others continue them; control and byte pieces are
-left out.
+Words are the runs between blanks (\\x20, \\x09-\\x0D). The vocabulary is that of a public
+SentencePiece model: pieces with the word mark start words, the others continue them; control and
+byte pieces are left out.
 
-Defined results: a null or blank text has 0 words and tokens. Repeated rows each get their row. Word counts are
-remembered per task for the latest ``CACHED_WORDS`` words only.
+Defined results: a null or blank text has 0 words and tokens. Repeated rows each get their row. Word
+counts are remembered per task for the latest ``CACHED_WORDS`` words only.
 """
 
 from __future__ import annotations

@@ -1,26 +1,27 @@
 """Toxic passages as maximum-scoring segments over token log-odds.
 
 1. From labelled rows, the documents that hold a token are counted per class, in ``BUCKETS`` hashed
-   buckets (each word, and its first letters, so that inflected forms share evidence). Log-odds take an
-   informative Dirichlet prior of ``PRIOR`` pseudo-documents split by the class shares.
-2. A text becomes a sequence of log-odds less a drift. One linear scan (Ruzzo-Tompa) finds all its maximal
-   segments.
-3. In clean text the best of n tokens' segments follows an extreme-value law: E = K n exp(-lambda S) are
-   expected by chance. Lambda solves the Karlin-Altschul equation of the clean token scores, K is fitted
-   on clean rows kept apart from the counts. Segments with E <= ``SIGNIFICANT`` are reported.
+   buckets (each word, and its first letters, so that inflected forms share evidence). Log-odds take
+   an informative Dirichlet prior of ``PRIOR`` pseudo-documents split by the class shares.
+2. A text becomes a sequence of log-odds less a drift. One linear scan (Ruzzo-Tompa) finds all its
+   maximal segments.
+3. In clean text the best of n tokens' segments follows an extreme-value law: E = K n exp(-lambda S)
+   are expected by chance. Lambda solves the Karlin-Altschul equation of the clean token scores, K
+   is fitted on clean rows kept apart from the counts. Segments with E <= ``SIGNIFICANT`` are
+   reported.
 4. A document's evidence pools its segments by the Karlin-Altschul sum statistic: the r best have
    calibrated scores -ln E that add up to T, which clean text reaches with a probability of about
-   exp(-T) T^(r-1) / (r! (r-1)!); the least likely r counts. The score is a logistic function of the logarithm of
-   that evidence, fitted on those same rows.
+   exp(-T) T^(r-1) / (r! (r-1)!); the least likely r counts. The score is a logistic function of the
+   logarithm of that evidence, fitted on those same rows.
 
 A token is evidence where it first stands in a text; its repeats only carry the drift.
 
 The fit takes at most ``TRAINING_ROWS`` labelled rows (those with the smallest hash of the id), so
-the list of ids joined to the texts is bounded; every text is then scored. Counts and the broadcast table
-have ``BUCKETS`` entries whatever the corpus.
+the list of ids joined to the texts is bounded; every text is then scored. Counts and the broadcast
+table have ``BUCKETS`` entries whatever the corpus.
 
-Defined results: a null or empty text has no segment and the score of E = 1 or above, which is low. Repeated rows
-each get their row. With no labelled rows of both classes every score is 0.
+Defined results: a null or empty text has no segment and the score of E = 1 or above, which is low.
+Repeated rows each get their row. With no labelled rows of both classes every score is 0.
 """
 
 from __future__ import annotations

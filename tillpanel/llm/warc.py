@@ -1,19 +1,19 @@
 """WARC archives with a two-level capture index.
 
-Writing: payloads are compared by SHA-1; of equal ones the largest id is the response, the others are
-revisits of it. Captures are range-partitioned and sorted by reversed-host URL key; each task writes one
-archive (a gzip member per record), its capture lines in compressed blocks, and a sparse directory with the
-first key of each block. File names carry the task attempt, and only files in the committed block table count,
-so a repeated task does no harm.
+Writing: payloads are compared by SHA-1; of equal ones the largest id is the response, the others
+are revisits of it. Captures are range-partitioned and sorted by reversed-host URL key; each task
+writes one archive (a gzip member per record), its capture lines in compressed blocks, and a sparse
+directory with the first key of each block. File names carry the task attempt, and only files in the
+committed block table count, so a repeated task does no harm.
 
-Reading back goes the same way: block table, capture lines, byte range of the archive, records. A look-up
-searches the list of archives (one row per writing task), then that archive's directory, then the
-block, all by bisection, and reads only the ranges it needs.
+Reading back goes the same way: block table, capture lines, byte range of the archive, records. A
+look-up searches the list of archives (one row per writing task), then that archive's directory,
+then the block, all by bisection, and reads only the ranges it needs.
 
 Archives are written and read through a file system that Python tasks reach, in the folder given.
 
-Defined results: a null html is an empty payload, a null url has an empty key. Rows that repeat an id and a payload are all
-responses where they are the largest.
+Defined results: a null html is an empty payload, a null url has an empty key. Rows that repeat an
+id and a payload are all responses where they are the largest.
 """
 
 from __future__ import annotations
