@@ -1,7 +1,7 @@
 """Cross-batch deduplication of identical invoice lines.
 
-Identical lines keep every copy of the earliest batch that holds them (text order of the batch name);
-the copies in later batches are overlap and go. Nulls compare equal.
+Identical lines keep every copy of the earliest batch that holds them (text order of the batch
+name); the copies in later batches are overlap and go. Nulls compare equal.
 
 The textbook form is ``min(source_sheet)`` over a window of all eight line columns. It shuffles and
 sorts every row, and puts all copies of one line into one task. Here, in three steps that each leave
@@ -11,9 +11,10 @@ most rows where they are:
    small aggregate (a row per day and batch) gives the rank of each batch and the first batch of
    each such day; both are broadcast, one row per batch and one per calendar day.
 2. On such a day only the lines outside its first batch can be overlap; all others pass untouched.
-3. Those lines look up the first batch of their eight columns in an aggregate with one row per distinct
-   line, where copies collapse before the shuffle. The looked-up rows are replicated ``SALTS`` times and
-   each probing task uses one of the copies, so a line that fills a third of bronze is spread as well.
+3. Those lines look up the first batch of their eight columns in an aggregate with one row per
+   distinct line, where copies collapse before the shuffle. The looked-up rows are replicated
+   ``SALTS`` times and each probing task uses one of the copies, so a line that fills a third of
+   bronze is spread as well.
 """
 
 from __future__ import annotations

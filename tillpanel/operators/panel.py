@@ -1,10 +1,11 @@
 """Snapshots of many cutoffs in one job.
 
-Replaying the single-cutoff job reads all of silver once per cutoff. Here every line is read once: the
-cutoffs and the starts of their trailing windows divide time into periods, lines are folded per
+Replaying the single-cutoff job reads all of silver once per cutoff. Here every line is read once:
+the cutoffs and the starts of their trailing windows divide time into periods, lines are folded per
 customer and period, and each cutoff adds up the periods before it. Periods start at midnight, so a
-calendar with one row per day gives a line its period. After the fold a customer has at most two rows per cutoff
-plus one, whatever the number of lines; the rows to be filled, one per cutoff, are made from the customer's first.
+calendar with one row per day gives a line its period. After the fold a customer has at most two
+rows per cutoff plus one, whatever the number of lines; the rows to be filled, one per cutoff, are
+made from the customer's first.
 """
 
 from __future__ import annotations

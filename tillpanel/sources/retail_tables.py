@@ -41,7 +41,8 @@ def raw_lines(spark: SparkSession, tables_dir: str) -> DataFrame:
     read = lambda name: spark.read.parquet(f"{tables_dir}/{name}.parquet")
     nation = read("nation").select("n_nationkey", "n_name").alias("n")
     buyer_nation = (F.col("c_nationkey") + F.col("o_orderkey") % 3) % 25
-    # Orders meet their customer before the lines come in: the lines are then shuffled by order and by part only.
+    # Orders meet their customer before the lines come in; the lines are then shuffled by order and
+    # by part only.
     buyers = (
         read("orders")
         .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
