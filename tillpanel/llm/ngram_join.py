@@ -1,25 +1,27 @@
 """Exact Jaccard join of word n-gram sets, and the groups that its links form.
 
-1. Each text becomes a sorted array of 64-bit shingle hashes. Texts with equal sets are one class, known by
-   a 128-bit digest, so a group of copies costs one member from here on.
-2. A set of n with more than n - ceil(t n) shingles that no other class has cannot reach the threshold t with
-   any. The classes of every shingle in a fixed share (``PROBED``) of the hash range are counted, which rules
-   out most texts at the price of one aggregate; the rest are candidates.
-3. Prefix index of the candidates: two sets within the threshold share one of the first n - ceil(t n) + 1
-   shingles of any common order. Shingles that stand in many texts of a batch come last in that order, the
-   rest goes by hash. Which shingles come last only steers the work (at most ``LATE_SHINGLES``); every order
-   finds every link.
-4. Per index key all classes are compared with two of them (least and greatest digest). Most groups of near
-   copies are connected after that, at a cost linear in their size.
-5. Where a key still holds classes of several components, tiles finish the job: classes of one size band
-   and the next above, in blocks of bounded size. In a tile, hashed bitmaps bound the overlap from above:
-   |A n B| <= |A| - bits only in A. Only pairs of different components that pass the bound get the exact
-   sorted-array intersection, so no link between components is missed.
+1. Each text becomes a sorted array of 64-bit shingle hashes. Texts with equal sets are one class,
+   known by a 128-bit digest, so a group of copies costs one member from here on.
+2. A set of n with more than n - ceil(t n) shingles that no other class has cannot reach the
+   threshold t with any. The classes of every shingle in a fixed share (``PROBED``) of the hash
+   range are counted, which rules out most texts at the price of one aggregate; the rest are
+   candidates.
+3. Prefix index of the candidates: two sets within the threshold share one of the first n - ceil(t
+   n) + 1 shingles of any common order. Shingles that stand in many texts of a batch come last in
+   that order, the rest goes by hash. Which shingles come last only steers the work (at most
+   ``LATE_SHINGLES``); every order finds every link.
+4. Per index key and size band all classes, and those of the next bands, are compared with one of
+   them: the one with the fewest index keys of its own. An original shares all its keys with its
+   near copies, so most groups are connected after that, at a cost linear in their size.
+5. Where a key still holds classes of several components, tiles finish the job: classes of one size
+   band and the next above, in blocks of bounded size. In a tile, hashed bitmaps bound the overlap
+   from above: |A n B| <= |A| - bits only in A. Only pairs of different components that pass the
+   bound get the exact sorted-array intersection, so no link between components is missed.
 6. Components by star contraction; the result names each by its smallest id.
 
-Defined results: a null text or one without words has an empty set and links with nothing; fewer words
-than n form one shingle. Rows that repeat an id each get a row. A null id takes part like any other; a component of
-null ids only has a null component.
+Defined results: a null text or one without words has an empty set and links with nothing; fewer
+words than n form one shingle. Rows that repeat an id each get a row. A null id takes part like any
+other; a component of null ids only has a null component.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ LATE_SHINGLES = 1 << 17
 #: Members per block of a tile.
 BLOCK = 1024
 CACHED_WORDS = 500_000
-MIN_BITS, MAX_BITS = 64, 1 << 16
+MIN_BITS, MAX_BITS = 64, 1 << 17
 
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -84,8 +86,8 @@ def digest_of(found: np.ndarray) -> bytes:
 
 
 def bitmap(found: np.ndarray) -> bytes:
-    """Bit ``hash mod width`` of each shingle; the width is a power of two, about twice the set."""
-    width = max(MIN_BITS, min(MAX_BITS, 1 << (2 * len(found) - 1).bit_length()))
+    """Bit ``hash mod width`` of each shingle; the width is a power of two, 4 to 8 times the set."""
+    width = max(MIN_BITS, min(MAX_BITS, 1 << (4 * len(found) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[(found & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -204,6 +206,27 @@ def _sets(docs: DataFrame, members: DataFrame, late: np.ndarray, n_words: int, p
 # ---- pairs --------------------------------------------------------------------------------------
 
 
+def size_band(n: Column, percent: int) -> Column:
+    """Number of the size band; sets within the threshold are in one band or in neighbouring ones."""
+    step = float(np.log(100 / percent)) + 0.0005
+    return F.floor(F.log(n.cast("double")) / step)
+
+
+def _hub_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """Each class with the hub of its key in its own and the neighbouring size bands, as (a, b)."""
+    hubs = (
+        entries.groupBy("key", F.col("band").alias("at"))
+        .agg(F.min(F.struct("own", "n", "digest")).alias("hub"))
+        .select("key", "at", F.col("hub.digest").alias("hub"), F.col("hub.n").alias("hub_n"))
+    )
+    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("at")
+    return (
+        entries.select("key", "digest", "n", near).join(hubs, ["key", "at"])
+        .filter((F.col("digest") != F.col("hub")) & _close_in_size(F.col("n"), F.col("hub_n"), percent))
+        .select(F.least("digest", "hub").alias("a"), F.greatest("digest", "hub").alias("b")).distinct()
+    )
+
+
 def _close_in_size(size_a: Column, size_b: Column, percent: int) -> Column:
     return F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent
 
@@ -309,10 +332,8 @@ def _tiles(entries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low <> high").select("key")
     )
-    step = float(np.log(100 / percent)) + 0.0005
-    band = F.floor(F.log(F.col("n").cast("double")) / step)
     # Side 3: own band, linked among themselves and with the band above (side 2).
-    banded = entries.join(open_keys, "key").withColumn("band", band).select(
+    banded = entries.join(open_keys, "key").select(
         "*", F.inline(F.array(
             F.struct(F.col("band").alias("at"), F.lit(3).alias("role")),
             F.struct((F.col("band") - 1).alias("at"), F.lit(2).alias("role")),
@@ -366,26 +387,23 @@ def ngram_groups(
     classes, members = _candidates(rows, percent)
     sets = stored(_sets(docs, members, late, n_words, percent), "ngram-sets")
 
-    index = sets.select("digest", "n", F.explode("keys").alias("key"))
+    index = sets.select(
+        "digest", "n", size_band(F.col("n"), percent).alias("band"),
+        F.size("keys").alias("n_keys"), F.explode("keys").alias("key"),
+    )
     keys = (
         index.groupBy("key")
         .agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
-        .filter("least <> most")
-    )
-    entries = stored(index.join(keys, "key"), "ngram-entries")
-
-    sizes = sets.select(F.col("digest").alias("hub"), F.col("n").alias("hub_n"))
-    stars = (
-        entries.select("digest", "n", F.explode(F.array("least", "most")).alias("hub"))
-        .filter("digest <> hub").distinct().join(sizes, "hub")
-        .filter(_close_in_size(F.col("n"), F.col("hub_n"), percent))
-        .select(F.least("digest", "hub").alias("a"), F.greatest("digest", "hub").alias("b")).distinct()
+        .filter("least <> most").select("key")
     )
-    stars = stored(stars, "ngram-stars")
+    shared = stored(index.join(keys, "key"), "ngram-entries")
+    own = shared.groupBy("digest").agg((F.max("n_keys") - F.count("*")).alias("own"))
+    entries = shared.join(own, "digest")
+    stars = stored(_hub_pairs(entries, percent), "ngram-stars")
     edges = stored(_links(stars, sets, percent), "ngram-links")
     labels = connected_components(edges)
 
-    open_entries = entries.select("key", "digest", "n").join(
+    open_entries = entries.select("key", "digest", "n", "band").join(
         labels.withColumnRenamed("node", "digest"), "digest", "left"
     ).withColumn("component", F.coalesce("component", "digest"))
     tiles = _tiles(open_entries, sets.select("digest", "bits"), percent)
