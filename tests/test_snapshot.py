@@ -315,7 +315,7 @@ def test_an_empty_slice_clears_the_old_one(loaded, silver_frame):
     recent = [r for r in ROWS if r[4] >= days_before(30)]
     loaded.replace(silver_frame(recent), SILVER_TABLE, SILVER_SCHEMA)
     assert build_customer_360(loaded, EARLIER)[0] == 0
-    assert {str(r[1]) for r in contents(loaded)} == {AS_OF}
+    assert {str(r.as_of_date) for r in loaded.table(GOLD_TABLE).collect()} == {AS_OF}
     assert snapshot_report(loaded, EARLIER).first().customers == 0
 
 
