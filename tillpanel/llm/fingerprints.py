@@ -1,21 +1,23 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
-A text is a weighted set: its words, hashed to ``TERMS`` terms, weighted by their counts S. Sample i draws, per
-term, r and c from Gamma(2, 1) and b from the uniform distribution, all fixed by a hash of term and i:
+A text is a weighted set: its words, hashed to ``TERMS`` terms, weighted by their counts S. Sample i
+draws, per term, r and c from Gamma(2, 1) and b from the uniform distribution, all fixed by a hash
+of term and i:
 
     t = floor(ln S / r + b),   ln a = ln c - r (t - b + 1)
 
 and keeps the (term, t) with the least a. Two texts agree in a sample with the probability of their
-generalised Jaccard similarity, sum of min weights over sum of max weights, so the share of equal samples
-estimates it. The draws are a table of ``TERMS`` rows, whatever the corpus, and are looked up.
+generalised Jaccard similarity, sum of min weights over sum of max weights, so the share of equal
+samples estimates it. The draws are a table of ``TERMS`` rows, whatever the corpus, and are looked
+up.
 
-Order of documents: rows are dealt to ranges of ids ("buckets", at most ``MAX_BUCKETS``) by quantiles; the first
-document of the next bucket visits the one before it, so that each bucket knows all successors. Texts
-are shuffled once; everything per term happens where they then are.
+Order of documents: rows are dealt to ranges of ids ("buckets", at most ``MAX_BUCKETS``) by
+quantiles; the first document of the next bucket visits the one before it, so that each bucket knows
+all successors. Texts are shuffled once; everything per term happens where they then are.
 
-Defined results: a null text is an empty one; texts without words share one fingerprint. Rows that repeat an id follow
-each other in text order. Rows without an id come first; the last row is followed by that with the least id.
-A single row follows itself.
+Defined results: a null text is an empty one; texts without words share one fingerprint. Rows that
+repeat an id follow each other in text order. Rows without an id come first; the last row is
+followed by that with the least id. A single row follows itself.
 """
 
 from __future__ import annotations
@@ -164,7 +166,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, text_column: str = "te
     slim = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
-    ordered = _in_order(slim)
+    # The filter is in both uses of the ordered rows, which then share their shuffle.
+    ordered = _in_order(slim).filter(F.col("bucket").isNotNull())
     versions = F.when(
         F.col("guest") == 0,
         F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("body")),
