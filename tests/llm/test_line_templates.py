@@ -7,6 +7,7 @@ import pytest
 
 from tillpanel.llm.line_templates import (
     DEPTH,
+    FIELDS,
     GENERAL_TOKENS,
     SIMILARITY,
     drop_recurring_lines,
@@ -15,6 +16,11 @@ from tillpanel.llm.line_templates import (
 )
 
 
+def fields(line):
+    n = len(line)
+    return [(j, line[n * j // FIELDS : n * (j + 1) // FIELDS]) for j in range(FIELDS)]
+
+
 def brute(rows):
     """Kept text per (id, text), by building the tree in memory."""
     parsed = []
@@ -31,11 +37,12 @@ def brute(rows):
     for leaf, lines in leaves.items():
         count = defaultdict(int)
         for line in lines:
-            for cell in enumerate(line):
+            for cell in fields(line):
                 count[cell] += 1
         for line in lines:
-            constant = tuple(c for c in enumerate(line) if count[c] > 1)
-            general = len(line) >= GENERAL_TOKENS and 100 * len(constant) >= SIMILARITY * len(line)
+            constant = tuple(c for c in fields(line) if count[c] > 1)
+            held = sum(len(tokens) for _, tokens in constant)
+            general = len(line) >= GENERAL_TOKENS and 100 * held >= SIMILARITY * len(line)
             template[line] = (leaf, constant) if general else (leaf, line, "exact")
     first = {}
     for doc_id, _, _, _, masked in parsed:

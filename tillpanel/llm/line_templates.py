@@ -1,19 +1,21 @@
 """Line deduplication by a log-template tree, in DataFrame operations only.
 
-Lines are parsed like log messages. The tree has a fixed depth: the number of tokens, then the ``DEPTH``
-leading tokens; a token with a digit is a variable field ``<*>`` from the start. In a leaf, a token is constant
-when several different lines have it at that position; the other tokens are variable fields too. A line
-of ``GENERAL_TOKENS`` tokens or more, of which ``SIMILARITY`` percent are constant, stands for its template with all
-variable fields open; any other line's template has only its digit fields open.
-
-A template in the lines of several documents recurs: its lines stay in the document with the least id and are
-dropped from all others. Repeats within one document are left.
-
-Copies of a line become one row before its tokens are looked at, and tokens are only looked at in leaves with
-several different lines. Templates travel as pairs of 64-bit hashes.
-
-Defined results: blank lines and null texts are left as they are. Rows that repeat an id are one document. Rows without an
-id come after all others.
+Lines are parsed like log messages. The tree has a fixed depth: the number of tokens, then the
+``DEPTH`` leading tokens; a token with a digit is a variable field ``<*>`` from the start. In a
+leaf, a line of ``GENERAL_TOKENS`` tokens or more is seen as ``FIELDS`` fields of neighbouring
+tokens. A field is constant when several different lines of the leaf have it at that place; the
+others are variable. A line whose constant fields hold ``SIMILARITY`` percent of its tokens stands
+for its template with all variable fields open; any other line's template has only its digit fields
+open.
+
+A template in the lines of several documents recurs: its lines stay in the document with the least
+id and are dropped from all others. Repeats within one document are left.
+
+Every text is parsed once. Copies of a line become one row before templates are made, and fields are
+only looked at in leaves with several different lines. Templates travel as pairs of 64-bit hashes.
+
+Defined results: blank lines and null texts are left as they are. Rows that repeat an id are one
+document. Rows without an id come after all others.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from tillpanel.llm.common import stored
 
 DEPTH = 4
 GENERAL_TOKENS = 12
+FIELDS = 8
 SIMILARITY = 75
 
 _BLANK = r"\x20\x09-\x0D"
@@ -35,56 +38,70 @@ _SECOND = 7
 
 def masked(line: Column) -> Column:
     """Tokens of a line, one blank apart, with ``<*>`` for each that has a digit."""
-    fields = F.regexp_replace(line, _DIGIT_TOKEN, "<*>")
-    return F.trim(F.regexp_replace(fields, rf"[{_BLANK}]+", " "))
+    # Most lines have neither digits nor odd blanks; the patterns run on the others only.
+    fields = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _DIGIT_TOKEN, "<*>")).otherwise(line)
+    odd = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    for blank in "\t\r\x0b\x0c":
+        odd = odd | line.contains(blank)
+    single = F.trim(F.regexp_replace(fields, rf"[{_BLANK}]+", " "))
+    return F.when(odd, single).otherwise(fields)
+
+
+def _field(j: int) -> Column:
+    """Hash of the tokens in the j-th of ``FIELDS`` equal parts."""
+    first, end = (F.floor(F.col("n_tokens") * k / FIELDS).cast("int") for k in (j, j + 1))
+    return F.xxhash64(F.slice("tokens", first + 1, end - first))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Every line that is not blank, masked, with its leaf and hashes."""
-    tokens = F.split("masked", " ")
+    """Every line that is not blank, with its leaf, hashes and, if it is long enough, fields."""
+    blanks = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit("")))
     return (
         docs.filter(F.col("text").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")))
+        .filter(F.col("col").rlike(rf"[^{_BLANK}]"))
         .select("doc_id", "text_hash", F.col("pos").alias("line_no"), masked(F.col("col")).alias("masked"))
-        .filter("masked <> ''")
-        .withColumn("n_tokens", F.size(tokens))
-        .withColumn("leaf", F.xxhash64("n_tokens", F.slice(tokens, 1, DEPTH)))
-        .withColumn("h1", F.xxhash64("masked"))
-        .withColumn("h2", F.xxhash64(F.lit(_SECOND), "masked"))
-    )
+        .select("*", (blanks + 1).alias("n_tokens"), F.split("masked", " ").alias("tokens"))
+        .select("*", F.array(*[_field(j) for j in range(FIELDS)]).alias("fields"))
+        .select(
+            "doc_id", "text_hash", "line_no", "n_tokens",
+            F.xxhash64("n_tokens", F.substring_index("masked", " ", DEPTH)).alias("leaf"),
+            F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(_SECOND), "masked").alias("h2"),
+            F.when(F.col("n_tokens") >= GENERAL_TOKENS, F.col("fields")).alias("fields"),
+        )
+    )
 
 
-def _general(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+def _general(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2, first): the least id over the general template of a line, where it has one."""
     leaves = (
         distinct.filter(F.col("n_tokens") >= GENERAL_TOKENS)
         .groupBy("leaf").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
         .filter("low <> high").select("leaf")
     )
-    texts = (
-        _lines(docs).filter(F.col("n_tokens") >= GENERAL_TOKENS)
-        .join(leaves, "leaf")
-        .groupBy("leaf", "h1", "h2").agg(F.max("masked").alias("masked"))
-    )
-    tokens = stored(
-        texts.select("leaf", "h1", "h2", F.posexplode(F.split("masked", " ")))
-        .select("leaf", "h1", "h2", "pos", F.xxhash64("col").alias("token")),
-        "line-tokens",
+    several = (
+        lines.filter(F.col("fields").isNotNull()).select("leaf", "h1", "h2", "n_tokens", "fields")
+        .join(leaves, "leaf").dropDuplicates(["leaf", "h1", "h2"])
     )
+    cells = stored(
+        several.select("leaf", "h1", "h2", "n_tokens", F.posexplode("fields").alias("pos", "field")),
+        "line-fields",
+    )
     constant = (
-        tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("n"))
+        cells.groupBy("leaf", "pos", "field").agg(F.count("*").alias("n"))
         .filter("n > 1").drop("n")
     )
+    ends = [F.floor(F.col("n_tokens") * (F.col("pos") + k) / FIELDS) for k in (0, 1)]
     templates = (
-        tokens.join(constant, ["leaf", "pos", "token"])
-        .groupBy("leaf", "h1", "h2")
+        cells.join(constant, ["leaf", "pos", "field"])
+        .groupBy("leaf", "h1", "h2", "n_tokens")
         .agg(
-            F.count("*").alias("n_constant"),
-            F.bit_xor(F.xxhash64("pos", "token")).alias("t1"),
-            F.bit_xor(F.xxhash64(F.lit(_SECOND), "pos", "token")).alias("t2"),
+            F.sum(ends[1] - ends[0]).alias("n_constant"),
+            F.bit_xor(F.xxhash64("pos", "field")).alias("t1"),
+            F.bit_xor(F.xxhash64(F.lit(_SECOND), "pos", "field")).alias("t2"),
         )
-        .join(distinct.select("h1", "h2", "n_tokens", "first"), ["h1", "h2"])
         .filter(F.col("n_constant") * 100 >= F.col("n_tokens") * SIMILARITY)
+        .join(distinct.select("h1", "h2", "first"), ["h1", "h2"])
     )
     named = stored(templates.select("leaf", "t1", "t2", "h1", "h2", "first"), "line-templates")
     first = named.groupBy("leaf", "t1", "t2").agg(F.min("first").alias("first"))
@@ -93,14 +110,14 @@ def _general(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, line_no, dropped) of every line that is not blank."""
-    lines = stored(_lines(docs).drop("masked"), "lines")
+    lines = stored(_lines(docs), "lines")
     distinct = stored(
         lines.groupBy("h1", "h2").agg(
             F.min("doc_id").alias("first"), F.max("leaf").alias("leaf"), F.max("n_tokens").alias("n_tokens")
         ),
         "distinct-lines",
     )
-    general = _general(docs, distinct).withColumnRenamed("first", "general_first")
+    general = _general(lines, distinct).withColumnRenamed("first", "general_first")
     firsts = distinct.select("h1", "h2", "first").join(general, ["h1", "h2"], "left").select(
         "h1", "h2", F.least("first", "general_first").alias("first")
     )
@@ -180,14 +197,14 @@ WITH lines AS (
 ), filled AS (SELECT *, len(tokens) AS n, tokens[1:{DEPTH}] AS lead FROM parsed WHERE len(tokens) > 0),
 uniq AS (SELECT tokens, n, lead, min(doc_id) AS first FROM filled GROUP BY tokens, n, lead),
 cells AS (
-  SELECT tokens, n, lead, unnest(tokens) AS token, unnest(range(1, n + 1)) AS pos
-  FROM uniq WHERE n >= {GENERAL_TOKENS}
+  SELECT tokens, n, lead, pos, tokens[n * pos // {FIELDS} + 1 : n * (pos + 1) // {FIELDS}] AS token
+  FROM (SELECT *, unnest(range({FIELDS})) AS pos FROM uniq WHERE n >= {GENERAL_TOKENS})
 ), constant AS (
   SELECT n, lead, pos, token FROM cells GROUP BY n, lead, pos, token HAVING count(*) > 1
 ), templates AS (
   SELECT c.tokens, c.n, c.lead, list((c.pos, c.token) ORDER BY c.pos) AS fields
   FROM cells c JOIN constant k ON c.n = k.n AND c.lead = k.lead AND c.pos = k.pos AND c.token = k.token
-  GROUP BY c.tokens, c.n, c.lead HAVING 100 * count(*) >= {SIMILARITY} * c.n
+  GROUP BY c.tokens, c.n, c.lead HAVING 100 * sum(len(c.token)) >= {SIMILARITY} * c.n
 ), general AS (
   SELECT tokens, min(first) OVER (PARTITION BY n, lead, fields) AS first
   FROM templates JOIN uniq USING (tokens, n, lead)
