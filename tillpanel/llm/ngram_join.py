@@ -47,7 +47,7 @@ LATE_COUNT = 3
 LATE_SHINGLES = 1 << 17
 #: Members per block of a tile.
 BLOCK = 1024
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 MIN_BITS, MAX_BITS = 64, 1 << 17
 
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tillpanel.llm.common import in_batches
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 WORD_MARK = "▁"
 VOCABULARY = "piece_bpe_32k.model"
 

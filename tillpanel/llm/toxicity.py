@@ -42,7 +42,7 @@ PRIOR = 4.0
 DRIFT = 1.0
 SIGNIFICANT = 0.01
 TRAINING_ROWS = 50_000
-CACHED_TOKENS = 500_000
+CACHED_TOKENS = 200_000
 EULER = 0.5772156649
 
 _STRIPPED = string.punctuation + "«»“”„’‘…¡¿"
