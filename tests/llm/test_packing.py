@@ -115,6 +115,13 @@ def test_chunks_give_the_ids_of_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == expected
 
 
+def test_a_tokenizer_that_keeps_blanks_is_refused():
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="chunks apart"):
+        ChunkIds(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_query_matches_a_plain_version(spark):
     docs = cases.frame(spark)
     rows = packing_query(docs).collect()

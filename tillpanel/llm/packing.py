@@ -1,18 +1,19 @@
 """Best-fit packing of token sequences, planned on the histogram of their lengths.
 
-Only lengths decide a packing, and there are at most ``capacity`` of them, so the plan is made on (length,
-count) pairs, whatever the number of documents:
+Only lengths decide a packing, and there are at most ``capacity`` of them, so the plan is made on
+(length, count) pairs, whatever the number of documents:
 
-* Lengths above a third of the capacity fit at most twice in a sequence. From the longest down, each is
-  matched with the longest partner that still fits.
+* Lengths above a third of the capacity fit at most twice in a sequence. From the longest down, each
+  is matched with the longest partner that still fits.
 * Shorter lengths, longest first, go to the smallest gap that takes them, as often as it does.
 
-Sequences with equal contents are runs in the plan, so its size is bounded by the capacity, not by the
-corpus. A piece finds its place by its rank among the pieces of its length. Ranks are counted in salted
-parts, since one length (a full sequence) may hold most pieces.
+Sequences with equal contents are runs in the plan, so its size is bounded by the capacity, not by
+the corpus. A piece finds its place by its rank among the pieces of its length. Ranks are counted in
+salted parts, since one length (a full sequence) may hold most pieces.
 
-Defined results: a null text has no ids but the end id, as an empty one has. Rows that repeat an id are packed
-each. Only longer documents are cut; pieces of the full capacity are sequences of their own.
+Defined results: a null text has no ids but the end id, as an empty one has. Rows that repeat an id
+are packed each. Only longer documents are cut; pieces of the full capacity are sequences of their
+own.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from tillpanel.llm.common import in_batches, stored
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 800_000
 #: Pieces ranked together.
 RANKED_TOGETHER = 100_000
 
@@ -69,11 +70,13 @@ def _prepared_tokenizer(path: str):
     return Tokenizer.from_str(json.dumps(parts | changes))
 
 
-# The part pattern of this tokenizer, here for ASCII and the Latin-1 letters, and the letters that
-# byte-level vocabularies use for bytes: printable bytes are themselves, the others follow from U+0100.
+# The part pattern of this tokenizer, here for ASCII and the Latin-1 letters, and the
+# letters that byte-level vocabularies use for bytes: printable bytes are themselves, the others
+# follow from U+0100.
 _LETTER = "a-zß-öø-ÿ"
 _PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\s{_LETTER}0-9]+")
-_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_ALL_SIMPLE = re.compile(r"[\n!-~À-ÖØ-öø-ÿ]+")
+_SPECIAL = "<|"  # how this tokenizer's special tokens begin
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {
     byte: 0x100 + k for k, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)
@@ -86,7 +89,7 @@ _AS_BYTES = [
 
 
 def _prepared(text: str) -> str:
-    """Lower case, parts with blanks between them, bytes as letters; for ``_SIMPLE`` chunks and marks."""
+    """Lower case, parts with blanks between them, bytes as letters; for simple chunks and marks."""
     parts = " ".join(_PARTS.findall(text.lower()))
     # A letter's bytes may look like letters that are still to come, so each goes by way of a number.
     for k, (letter, _) in enumerate(_AS_BYTES):
@@ -106,59 +109,72 @@ class ChunkIds:
     """
 
     TOGETHER = 256
+    PROBE = "It's A test,  of\tÉCOLES naïve't 42nd!! \u65e5\u672c x.y\n\u2665"
 
     def __init__(self, path: str):
         self.tokenizer, self.prepared = _tokenizer(path), _prepared_tokenizer(path)
         self.known: dict[bytes, bytes] = {}
         single = ((m, self._ids(m)) for m in _MARKS)
         self.mark, self.mark_id = next(((m, ids[0]) for m, ids in single if len(ids) == 1), ("", -1))
+        found = np.frombuffer(self([self.PROBE])[0], "<u4").tolist()
+        if found != self._ids(self.PROBE):
+            raise ValueError(f"the tokenizer at {path} does not treat blank-separated chunks apart")
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, chunks: list[bytes]) -> None:
-        if not chunks:
-            return
-        texts = b"\n".join(chunks).decode("utf-8").split("\n")
-        simple, other, alone = [], [], []
-        for pair in zip(chunks, texts, strict=True):
-            if not self.mark or self.mark in pair[1]:
-                alone.append(pair)
-            elif _SIMPLE.fullmatch(pair[1]) and "<|" not in pair[1]:
-                simple.append(pair)
-            else:
-                other.append(pair)
-        for chunk, text in alone:
-            self.known[chunk] = np.array(self._ids(text), "<u4").tobytes()
+        simple, other = [], []
+        for i in range(0, len(chunks), self.TOGETHER):
+            group = chunks[i : i + self.TOGETHER]
+            joined = b"\n".join(group).decode("utf-8")
+            if self.mark and _ALL_SIMPLE.fullmatch(joined) and _SPECIAL not in joined:
+                simple.append((group, joined))
+                continue
+            plain, odd = [], []
+            for chunk, text in zip(group, joined.split("\n"), strict=True):
+                if not self.mark or self.mark in text:
+                    self.known[chunk] = np.array(self._ids(text), "<u4").tobytes()
+                elif _ALL_SIMPLE.fullmatch(text) and _SPECIAL not in text:
+                    plain.append(chunk)
+                else:
+                    odd.append(chunk)
+            simple += [(plain, b"\n".join(plain).decode("utf-8"))] if plain else []
+            other += [(odd, b"\n".join(odd).decode("utf-8"))] if odd else []
         self._learn_together(other, self.tokenizer, lambda text: text)
         self._learn_together(simple, self.prepared, _prepared)
 
-    def _learn_together(self, pairs, tokenizer, form) -> None:
-        known = self.known
-        groups = [pairs[i : i + self.TOGETHER] for i in range(0, len(pairs), self.TOGETHER)]
-        between = f" {self.mark} "
-        texts = [form(between.join([text for _, text in group])) for group in groups]
+    def _learn_together(self, groups: list[tuple[list[bytes], str]], tokenizer, form) -> None:
+        """Groups of chunks, each also as one text with a line per chunk."""
+        known, between = self.known, f" {self.mark} "
+        texts = [form(joined.replace("\n", between)) for _, joined in groups]
         encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for group, found in zip(groups, encoded, strict=True):
+        for (group, _), found in zip(groups, encoded, strict=True):
             ids = np.array(found.ids, "<u4")
             raw, at = ids.tobytes(), 0
-            ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
-            for (chunk, _), end in zip(group, ends, strict=True):
-                known[chunk] = raw[4 * at : 4 * end]
-                at = end + 1
+            ends = (4 * np.append(np.flatnonzero(ids == self.mark_id), len(ids))).tolist()
+            for chunk, end in zip(group, ends, strict=True):
+                known[chunk] = raw[at:end]
+                at = end + 4
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > CACHED_CHUNKS:
             self.known.clear()
-        split = [(text or "").encode("utf-8").split() for text in texts]
+        # bytes.lower() changes A-Z alone, which the tokenizer would do; special tokens are told by case.
+        split = [
+            (raw if _SPECIAL in text else raw.lower()).split()
+            for text in (t or "" for t in texts)
+            for raw in [text.encode("utf-8")]
+        ]
         chunks = list(chain.from_iterable(split))
         known = self.known
         found = list(map(known.get, chunks))
-        new = set(compress(chunks, map(is_, found, repeat(None))))
-        if new:
-            self._learn(list(new))
-            found = [known[c] if ids is None else ids for c, ids in zip(chunks, found, strict=True)]
+        missing = list(compress(range(len(chunks)), map(is_, found, repeat(None))))
+        if missing:
+            self._learn(list({chunks[i] for i in missing}))
+            for i in missing:
+                found[i] = known[chunks[i]]
         ends = list(accumulate(map(len, split), initial=0))
         return [b"".join(found[a:b]) for a, b in pairwise(ends)]
 
