@@ -63,20 +63,47 @@ def url_key(url: Column) -> Column:
     return F.when(url == "", F.lit("")).otherwise(F.regexp_replace(key, r"[\s]", "%20"))
 
 
-def with_revisits(pages: DataFrame, min_bytes: int) -> DataFrame:
-    """(page_id, url, payload, sha1, refers_to): the response that a capture repeats, else null."""
+def packed_captures(pages: DataFrame) -> DataFrame:
+    """Each page as a response record, compressed before it is moved, with its SHA-1 and size."""
+
+    def start():
+        def work(columns):
+            out = {name: [] for name in ("page_id", "url", "sha1", "n_bytes", "member")}
+            for page_id, url, html in zip(*(columns[n] for n in ("page_id", "url", "html")), strict=True):
+                payload = (html or "").encode("utf-8")
+                sha1 = hashlib.sha1(payload).hexdigest()
+                raw = make_record(page_id, url, payload, base32(sha1), len(payload), None)
+                row = (page_id, url, sha1, len(payload), gzip.compress(raw, 6, mtime=0))
+                for name, value in zip(out, row, strict=True):
+                    out[name].append(value)
+            return out
+
+        return work
+
+    slim = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+    return in_batches(slim, "page_id long, url string, sha1 string, n_bytes long, member binary", start)
+
+
+def repeated_payloads(pages: DataFrame, min_bytes: int) -> DataFrame:
+    """(digest, response): the largest id of each payload that several pages hold."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    captures = pages.select(
-        F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload")
-    ).withColumn("sha1", F.sha1("payload"))
-    groups = (
-        captures.filter(F.octet_length("payload") >= min_bytes)
-        .groupBy("sha1").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
+    return (
+        pages.select(F.col("page_id").cast("long").alias("page"), payload.alias("payload"))
+        .filter(F.octet_length("payload") >= min_bytes)
+        .groupBy(F.sha1("payload").alias("digest"))
+        .agg(F.max("page").alias("response"), F.count("*").alias("n"))
         .filter("n > 1").drop("n")
     )
+
+
+def with_revisits(captures: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``captures`` with ``refers_to``, the response that one repeats; its own record then goes."""
     refers = F.when(F.col("response") != F.col("page_id"), F.col("response"))
-    return captures.join(groups, "sha1", "left").select(
-        "page_id", "url", "payload", "sha1", refers.alias("refers_to")
+    return (
+        captures.join(repeated, F.col("sha1") == F.col("digest"), "left")
+        .withColumn("refers_to", refers)
+        .withColumn("member", F.when(F.col("refers_to").isNull(), F.col("member")))
+        .drop("response", "digest")
     )
 
 
@@ -120,8 +147,13 @@ def parse_record(raw: bytes) -> dict:
     return {"headers": headers, "http": http_headers, "payload": payload}
 
 
+def base32(sha1: str) -> str:
+    """A hexadecimal digest in the form that archives use."""
+    return base64.b32encode(bytes.fromhex(sha1)).decode("ascii")
+
+
 def payload_digest(payload: bytes) -> str:
-    return base64.b32encode(hashlib.sha1(payload).digest()).decode("ascii")
+    return base32(hashlib.sha1(payload).hexdigest())
 
 
 # ---- writing ------------------------------------------------------------------------------------
@@ -132,13 +164,9 @@ def write_archives(
 ) -> DataFrame:
     """Write ``pages`` (page_id, url, html) to ``folder``; gives the block table."""
     ship_package(pages.sparkSession)
-    captures = with_revisits(pages, min_bytes)
-    # A revisit's payload is not moved any further.
-    ready = captures.select(
-        "page_id", "url", "sha1", "refers_to", url_key(F.col("url")).alias("urlkey"),
-        F.octet_length("payload").cast("long").alias("n_bytes"),
-        F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"),
-    )
+    # Records are moved in compressed form; payloads are compared by a reading of their own.
+    captures = with_revisits(packed_captures(pages), repeated_payloads(pages, min_bytes))
+    ready = captures.withColumn("urlkey", url_key(F.col("url")))
     fields = arrow_fields(BLOCKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,14 +201,14 @@ class _ArchiveWriter:
         self.block_lines, self.lines, self.keys, self.rows = block_lines, [], [], []
 
     def add(self, row: dict) -> None:
-        digest = base64.b32encode(bytes.fromhex(row["sha1"])).decode("ascii")
-        raw = make_record(
-            row["page_id"], row["url"], row["payload"], digest, row["n_bytes"], row["refers_to"]
-        )
-        member = gzip.compress(raw, 6, mtime=0)
+        member, digest = row["member"], base32(row["sha1"])
+        revisit = member is None
+        if revisit:
+            raw = make_record(row["page_id"], row["url"], None, digest, row["n_bytes"], row["refers_to"])
+            member = gzip.compress(raw, 6, mtime=0)
         fields = {
-            "url": row["url"], "mime": "text/html" if row["payload"] is not None else "warc/revisit",
-            "status": "200", "digest": digest, "offset": self.archive_at, "length": len(member),
+            "url": row["url"], "mime": "warc/revisit" if revisit else "text/html", "status": "200",
+            "digest": digest, "offset": self.archive_at, "length": len(member),
             "filename": self.names["archive"],
         }
         time = "".join(c for c in CAPTURE_TIME if c.isdigit())
@@ -285,7 +313,9 @@ def read_archives(blocks: DataFrame, folder: str) -> DataFrame:
 
         return work
 
-    spread = blocks.repartition(F.col("archive"), F.col("block"))
+    # A number of its own keeps the blocks apart however few bytes their table has.
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = blocks.repartition(tasks, F.col("archive"), F.col("block"))
     return in_batches(spread, RECORDS, start, chunk_rows=1)
 
 
