@@ -2,16 +2,15 @@
 
 Lines are parsed like log messages. The tree has a fixed depth: the number of tokens, then the
 ``DEPTH`` leading tokens; a token with a digit is a variable field ``<*>`` from the start. In a
-leaf, a line of ``GENERAL_TOKENS`` tokens or more is seen as ``FIELDS`` fields of neighbouring
-tokens. A field is constant when several different lines of the leaf have it at that place; the
-others are variable. A line whose constant fields hold ``SIMILARITY`` percent of its tokens stands
-for its template with all variable fields open; any other line's template has only its digit fields
-open.
+leaf, a token is constant when several different lines have it at that place; the others are
+variable fields too. A line of ``GENERAL_TOKENS`` tokens or more, of which ``SIMILARITY`` percent
+are constant, stands for its template with all variable fields open; any other line's template has
+only its digit fields open.
 
 A template in the lines of several documents recurs: its lines stay in the document with the least
 id and are dropped from all others. Repeats within one document are left.
 
-Every text is parsed once. Copies of a line become one row before templates are made, and fields are
+Every text is parsed once. Copies of a line become one row before templates are made, and tokens are
 only looked at in leaves with several different lines. Templates travel as pairs of 64-bit hashes.
 
 Defined results: blank lines and null texts are left as they are. Rows that repeat an id are one
@@ -27,7 +26,7 @@ from tillpanel.llm.common import stored
 
 DEPTH = 4
 GENERAL_TOKENS = 12
-FIELDS = 8
+FIELDS = 8  # Only in ``line_sql``, which still compares runs of tokens.
 SIMILARITY = 75
 
 _BLANK = r"\x20\x09-\x0D"
@@ -47,27 +46,20 @@ def masked(line: Column) -> Column:
     return F.when(odd, single).otherwise(fields)
 
 
-def _field(j: int) -> Column:
-    """Hash of the tokens in the j-th of ``FIELDS`` equal parts."""
-    first, end = (F.floor(F.col("n_tokens") * k / FIELDS).cast("int") for k in (j, j + 1))
-    return F.xxhash64(F.slice("tokens", first + 1, end - first))
-
-
 def _lines(docs: DataFrame) -> DataFrame:
-    """Every line that is not blank, with its leaf, hashes and, if it is long enough, fields."""
+    """Every line that is not blank, with its leaf and hashes; masked, if it is long enough."""
     blanks = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit("")))
     return (
         docs.filter(F.col("text").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")))
         .filter(F.col("col").rlike(rf"[^{_BLANK}]"))
         .select("doc_id", "text_hash", F.col("pos").alias("line_no"), masked(F.col("col")).alias("masked"))
-        .select("*", (blanks + 1).alias("n_tokens"), F.split("masked", " ").alias("tokens"))
-        .select("*", F.array(*[_field(j) for j in range(FIELDS)]).alias("fields"))
+        .select("*", (blanks + 1).alias("n_tokens"))
         .select(
             "doc_id", "text_hash", "line_no", "n_tokens",
             F.xxhash64("n_tokens", F.substring_index("masked", " ", DEPTH)).alias("leaf"),
             F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(_SECOND), "masked").alias("h2"),
-            F.when(F.col("n_tokens") >= GENERAL_TOKENS, F.col("fields")).alias("fields"),
+            F.when(F.col("n_tokens") >= GENERAL_TOKENS, F.col("masked")).alias("masked"),
         )
     )
 
@@ -80,25 +72,25 @@ def _general(lines: DataFrame, distinct: DataFrame) -> DataFrame:
         .filter("low <> high").select("leaf")
     )
     several = (
-        lines.filter(F.col("fields").isNotNull()).select("leaf", "h1", "h2", "n_tokens", "fields")
+        lines.filter(F.col("masked").isNotNull()).select("leaf", "h1", "h2", "n_tokens", "masked")
         .join(leaves, "leaf").dropDuplicates(["leaf", "h1", "h2"])
     )
-    cells = stored(
-        several.select("leaf", "h1", "h2", "n_tokens", F.posexplode("fields").alias("pos", "field")),
-        "line-fields",
-    )
+    tokens = stored(
+        several.select("leaf", "h1", "h2", "n_tokens", F.posexplode(F.split("masked", " ")))
+        .select("leaf", "h1", "h2", "n_tokens", "pos", F.xxhash64("col").alias("token")),
+        "line-tokens",
+    )
     constant = (
-        cells.groupBy("leaf", "pos", "field").agg(F.count("*").alias("n"))
+        tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("n"))
         .filter("n > 1").drop("n")
     )
-    ends = [F.floor(F.col("n_tokens") * (F.col("pos") + k) / FIELDS) for k in (0, 1)]
     templates = (
-        cells.join(constant, ["leaf", "pos", "field"])
+        tokens.join(constant, ["leaf", "pos", "token"])
         .groupBy("leaf", "h1", "h2", "n_tokens")
         .agg(
-            F.sum(ends[1] - ends[0]).alias("n_constant"),
-            F.bit_xor(F.xxhash64("pos", "field")).alias("t1"),
-            F.bit_xor(F.xxhash64(F.lit(_SECOND), "pos", "field")).alias("t2"),
+            F.count("*").alias("n_constant"),
+            F.bit_xor(F.xxhash64("pos", "token")).alias("t1"),
+            F.bit_xor(F.xxhash64(F.lit(_SECOND), "pos", "token")).alias("t2"),
         )
         .filter(F.col("n_constant") * 100 >= F.col("n_tokens") * SIMILARITY)
         .join(distinct.select("h1", "h2", "first"), ["h1", "h2"])
