@@ -14,6 +14,9 @@ from tillpanel.llm.common import DOCUMENT_COLUMNS, stored, table
 #: Least posterior of a text's language; texts without letters have none.
 LEAST_LANGUAGE_SCORE = 0.5
 TOXIC_SCORE = 0.5
+#: Near copies share this percentage of their shingles of so many words; op6 has its own contract.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
 
 _PASSED = DOCUMENT_COLUMNS[1:]
 
@@ -49,7 +52,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows that repeat an id are one document. Rows without an id cannot be named and stay.
     """
-    groups = ngram_join.ngram_groups(docs)
+    groups = ngram_join.ngram_groups(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT)
     first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     docs = docs.select(*DOCUMENT_COLUMNS)
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
