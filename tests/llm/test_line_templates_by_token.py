@@ -18,7 +18,8 @@ def brute(rows):
     for doc_id, text in rows:
         for line in text.split("\n"):
             tokens = re.findall(r"[^\x20\x09-\x0D]+", line)
-            parsed.append((doc_id, line, tuple("<*>" if re.search("[0-9]", t) else t for t in tokens)))
+            masked = tuple("<*>" if re.search("[0-9]", t) else t for t in tokens)
+            parsed.append((doc_id, line, masked if set(masked) - {"<*>"} else tuple(tokens)))
     leaves = defaultdict(set)
     for *_, tokens in parsed:
         leaves[len(tokens), tokens[:DEPTH]].add(tokens)
@@ -31,6 +32,7 @@ def brute(rows):
         for line in lines:
             constant = tuple(c for c in enumerate(line) if count[c] > 1)
             general = len(line) >= GENERAL_TOKENS and 100 * len(constant) >= SIMILARITY * len(line)
+            general = general and any(t != "<*>" and not re.search("[0-9]", t) for _, t in constant)
             template[line] = (leaf, constant) if general else (leaf, line, "exact")
     first = {}
     for doc_id, _, tokens in parsed:
@@ -63,3 +65,28 @@ def test_scattered_names_are_fields(spark, n_tokens, places):
 
     rows = [(1, line("anna") + "\nmine one"), (2, line("bert") + "\nmine two")]
     assert cleaned(spark, rows) == {1: rows[0][1], 2: "mine two"}
+
+
+NUMBERS = "10 20 30 40 50 60 70 80 90 11 21"
+
+
+@pytest.mark.parametrize(
+    ("one", "two"),
+    [
+        ("10 20 30", "11 21  31"),
+        ("https://a.example/1", "https://b.example/2"),
+        ("2021-03-04", "2021-03-05"),
+        ("第3章では天気を述べる。", "価格は100円である。"),
+        (NUMBERS, NUMBERS.replace("2", "3")),
+        (NUMBERS + " 5", NUMBERS + " 6"),
+        (NUMBERS + " anna", NUMBERS + " bert"),
+    ],
+)
+def test_fields_alone_are_no_template(spark, one, two):
+    rows = [(1, one + "\nmine"), (2, two + "\nhers"), (3, one + "\nours")]
+    assert cleaned(spark, rows) == brute(rows) == {1: rows[0][1], 2: rows[1][1], 3: "ours"}
+
+
+def test_one_word_makes_a_template(spark):
+    rows = [(1, "page 3\nmine"), (2, "page \t4\nhers")]
+    assert cleaned(spark, rows) == brute(rows) == {1: rows[0][1], 2: "hers"}

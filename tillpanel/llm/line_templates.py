@@ -5,7 +5,8 @@ Lines are parsed like log messages. The tree has a fixed depth: the number of to
 leaf, a token is constant when several different lines have it at that place; the others are
 variable fields too. A line of ``GENERAL_TOKENS`` tokens or more, of which ``SIMILARITY`` percent
 are constant, stands for its template with all variable fields open; any other line's template has
-only its digit fields open.
+only its digit fields open. A template has at least one constant word: a line of digit fields alone is
+compared by its exact tokens.
 
 A template in the lines of several documents recurs: its lines stay in the document with the least
 id and are dropped from all others. Repeats within one document are left.
@@ -32,34 +33,43 @@ SIMILARITY = 75
 _BLANK = r"\x20\x09-\x0D"
 # Possessive, and only at the start of a token: linear for tokens of any length.
 _DIGIT_TOKEN = rf"(?<![^{_BLANK}])[^{_BLANK}0-9]*+[0-9][^{_BLANK}]*+"
+_FIELD = "<*>"
 _SECOND = 7
 
 
-def masked(line: Column) -> Column:
-    """Tokens of a line, one blank apart, with ``<*>`` for each that has a digit."""
-    # Most lines have neither digits nor odd blanks; the patterns run on the others only.
-    fields = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _DIGIT_TOKEN, "<*>")).otherwise(line)
+def _single(text: Column, line: Column) -> Column:
+    """``text``, made of the tokens of ``line``, with one blank between tokens."""
+    # Most lines have no odd blanks; the pattern runs on the others only.
     odd = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
     for blank in "\t\r\x0b\x0c":
         odd = odd | line.contains(blank)
-    single = F.trim(F.regexp_replace(fields, rf"[{_BLANK}]+", " "))
-    return F.when(odd, single).otherwise(fields)
+    return F.when(odd, F.trim(F.regexp_replace(text, rf"[{_BLANK}]+", " "))).otherwise(text)
+
+
+def masked(line: Column) -> Column:
+    """Tokens of a line, one blank apart, with ``<*>`` for each that has a digit."""
+    # Most lines have no digits either.
+    fields = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _DIGIT_TOKEN, _FIELD)).otherwise(line)
+    return _single(fields, line)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Every line that is not blank, with its leaf and hashes; masked, if it is long enough."""
+    """Every line that is not blank, with its leaf and hashes; masked, if it can have a general template."""
+    has_word = ~F.col("masked").contains(_FIELD) | F.replace("masked", F.lit(_FIELD), F.lit("")).rlike("[^ ]")
     blanks = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit("")))
     return (
         docs.filter(F.col("text").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")))
         .filter(F.col("col").rlike(rf"[^{_BLANK}]"))
-        .select("doc_id", "text_hash", F.col("pos").alias("line_no"), masked(F.col("col")).alias("masked"))
+        .select("doc_id", "text_hash", F.col("pos").alias("line_no"), "col", masked(F.col("col")).alias("masked"))
+        .select("*", has_word.alias("has_word"))
+        .withColumn("masked", F.when(F.col("has_word"), F.col("masked")).otherwise(_single(F.col("col"), F.col("col"))))
         .select("*", (blanks + 1).alias("n_tokens"))
         .select(
             "doc_id", "text_hash", "line_no", "n_tokens",
             F.xxhash64("n_tokens", F.substring_index("masked", " ", DEPTH)).alias("leaf"),
             F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(_SECOND), "masked").alias("h2"),
-            F.when(F.col("n_tokens") >= GENERAL_TOKENS, F.col("masked")).alias("masked"),
+            F.when(F.col("has_word") & (F.col("n_tokens") >= GENERAL_TOKENS), F.col("masked")).alias("masked"),
         )
     )
 
@@ -89,10 +99,11 @@ def _general(lines: DataFrame, distinct: DataFrame) -> DataFrame:
         .groupBy("leaf", "h1", "h2", "n_tokens")
         .agg(
             F.count("*").alias("n_constant"),
+            F.max(F.col("token") != F.xxhash64(F.lit(_FIELD))).alias("has_word"),
             F.bit_xor(F.xxhash64("pos", "token")).alias("t1"),
             F.bit_xor(F.xxhash64(F.lit(_SECOND), "pos", "token")).alias("t2"),
         )
-        .filter(F.col("n_constant") * 100 >= F.col("n_tokens") * SIMILARITY)
+        .filter(F.col("has_word") & (F.col("n_constant") * 100 >= F.col("n_tokens") * SIMILARITY))
         .join(distinct.select("h1", "h2", "first"), ["h1", "h2"])
     )
     named = stored(templates.select("leaf", "t1", "t2", "h1", "h2", "first"), "line-templates")
