@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 from test_line_templates import corpus
 
-from tillpanel.llm.line_templates import DEPTH, GENERAL_TOKENS, SIMILARITY, line_query
+from tillpanel.llm.line_templates import DEPTH, SIMILARITY, line_query
 
 
 def brute(rows):
@@ -31,7 +31,7 @@ def brute(rows):
                 count[cell] += 1
         for line in lines:
             constant = tuple(c for c in enumerate(line) if count[c] > 1)
-            general = len(line) >= GENERAL_TOKENS and 100 * len(constant) >= SIMILARITY * len(line)
+            general = len(line) > DEPTH and 100 * len(constant) >= SIMILARITY * len(line)
             general = general and any(t != "<*>" and not re.search("[0-9]", t) for _, t in constant)
             template[line] = (leaf, constant) if general else (leaf, line, "exact")
     first = {}
@@ -90,3 +90,16 @@ def test_fields_alone_are_no_template(spark, one, two):
 def test_one_word_makes_a_template(spark):
     rows = [(1, "page 3\nmine"), (2, "page \t4\nhers")]
     assert cleaned(spark, rows) == brute(rows) == {1: rows[0][1], 2: "hers"}
+
+
+@pytest.mark.parametrize(
+    "line", ["please send your comments to {} before the deadline", "kind regards from all {}"]
+)
+def test_short_lines_have_fields(spark, line):
+    rows = [(i, line.format(name) + f"\nmine {name}") for i, name in enumerate(["anna", "bert", "carla"])]
+    assert cleaned(spark, rows) == brute(rows) == {0: rows[0][1], 1: "mine bert", 2: "mine carla"}
+
+
+def test_short_lines_with_few_constant_words_stay(spark):
+    rows = [(1, "one two three four five six"), (2, "one two three four nine ten")]
+    assert cleaned(spark, rows) == brute(rows) == dict(rows)

@@ -3,9 +3,9 @@
 Lines are parsed like log messages. The tree has a fixed depth: the number of tokens, then the
 ``DEPTH`` leading tokens; a token with a digit is a variable field ``<*>`` from the start. In a
 leaf, a token is constant when several different lines have it at that place; the others are
-variable fields too. A line of ``GENERAL_TOKENS`` tokens or more, of which ``SIMILARITY`` percent
-are constant, stands for its template with all variable fields open; any other line's template has
-only its digit fields open. A template has at least one constant word: a line of digit fields alone is
+variable fields too. A line of more than ``DEPTH`` tokens, of which ``SIMILARITY`` percent are
+constant, stands for its template with all variable fields open; any other line's template has only
+its digit fields open. A template has at least one constant word: a line of digit fields alone is
 compared by its exact tokens.
 
 A template in the lines of several documents recurs: its lines stay in the document with the least
@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from tillpanel.llm.common import stored
 
 DEPTH = 4
-GENERAL_TOKENS = 12
-FIELDS = 8  # Only in ``line_sql``, which still compares runs of tokens.
 SIMILARITY = 75
+# Only in ``line_sql``, which still compares runs of tokens, in lines of so many tokens.
+GENERAL_TOKENS = 12
+FIELDS = 8
 
 _BLANK = r"\x20\x09-\x0D"
 # Possessive, and only at the start of a token: linear for tokens of any length.
@@ -69,7 +70,7 @@ def _lines(docs: DataFrame) -> DataFrame:
             "doc_id", "text_hash", "line_no", "n_tokens",
             F.xxhash64("n_tokens", F.substring_index("masked", " ", DEPTH)).alias("leaf"),
             F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(_SECOND), "masked").alias("h2"),
-            F.when(F.col("has_word") & (F.col("n_tokens") >= GENERAL_TOKENS), F.col("masked")).alias("masked"),
+            F.when(F.col("has_word") & (F.col("n_tokens") > DEPTH), F.col("masked")).alias("masked"),
         )
     )
 
@@ -77,7 +78,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _general(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2, first): the least id over the general template of a line, where it has one."""
     leaves = (
-        distinct.filter(F.col("n_tokens") >= GENERAL_TOKENS)
+        distinct.filter(F.col("n_tokens") > DEPTH)
         .groupBy("leaf").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
         .filter("low <> high").select("leaf")
     )
