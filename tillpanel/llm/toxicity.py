@@ -14,7 +14,8 @@
    exp(-T) T^(r-1) / (r! (r-1)!); the least likely r counts. The score is a logistic function of the
    logarithm of that evidence, fitted on those same rows.
 
-A token is evidence where it first stands in a text; its repeats only carry the drift.
+Segments are those of all tokens, repeats included. Only where they are pooled does a word count once,
+in the best segment that has it; its repeats carry the drift there.
 
 The fit takes at most ``TRAINING_ROWS`` labelled rows (those with the smallest hash of the id), so
 the list of ids joined to the texts is bounded; every text is then scored. Counts and the broadcast
@@ -227,15 +228,38 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     return model
 
 
-def _scan(model: ToxicityModel, cache: _Cache, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
+def _token_scores(cache: _Cache, text: str | None) -> tuple[list[str], np.ndarray]:
     tokens = tokens_of(text)
-    first = dict(zip(reversed(tokens), range(len(tokens) - 1, -1, -1)))
-    at = np.fromiter(first.values(), np.int64, len(first))
-    scores = np.full(len(tokens), -DRIFT)
-    scores[at] = np.fromiter(map(cache.__getitem__, first), np.float64, len(first))
+    return tokens, np.fromiter(map(cache.__getitem__, tokens), np.float64, len(tokens))
+
+
+def _scan(model: ToxicityModel, cache: _Cache, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
+    tokens, scores = _token_scores(cache, text)
     return len(tokens), maximal_segments(scores)
 
 
+def counted_once(
+    tokens: list[str], scores: np.ndarray, segments: list[tuple[int, int, float]]
+) -> np.ndarray:
+    """Segment scores, best segment first, with every repeat of a word at the drift; those above 0."""
+    seen, found = set(), []
+    for a, b, _ in sorted(segments, key=lambda segment: (-segment[2], segment[0])):
+        total = 0.0
+        for token, value in zip(tokens[a:b], scores[a:b].tolist(), strict=True):
+            total += -DRIFT if token in seen else value
+            seen.add(token)
+        found.append(total)
+    found = np.array(found)
+    return found[found > 0]
+
+
+def _judged(model: ToxicityModel, cache: _Cache, text: str | None) -> tuple[int, list[tuple[int, int, float]], float]:
+    """Token count, all segments, and the pooled evidence."""
+    tokens, scores = _token_scores(cache, text)
+    segments = maximal_segments(scores)
+    return len(tokens), segments, model.pooled(counted_once(tokens, scores, segments), len(tokens))
+
+
 def evidence(rows: DataFrame, model: ToxicityModel) -> DataFrame:
     """Token count, best segment score and pooled evidence per row, beside its label."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
@@ -245,9 +269,8 @@ def evidence(rows: DataFrame, model: ToxicityModel) -> DataFrame:
         cache = _Cache(model.token_score)
 
         def one(text):
-            n, segments = _scan(model, cache, text)
-            scores = np.array([s for _, _, s in segments])
-            return n, float(scores.max(initial=0.0)), model.pooled(scores, n)
+            n, segments, pooled = _judged(model, cache, text)
+            return n, max((s for _, _, s in segments), default=0.0), pooled
 
         def work(columns):
             found = [one(text) for text in columns["text"]]
@@ -276,13 +299,13 @@ def score(
         cache = _Cache(model.token_score)
 
         def one(text):
-            n, segments = _scan(model, cache, text)
+            n, segments, pooled = _judged(model, cache, text)
             scores = np.array([s for _, _, s in segments])
             expected = np.exp(-model.calibrated(scores, n)).tolist()
             told = [
                 (a, b, e) for (a, b, _), e in zip(segments, expected, strict=True) if e <= SIGNIFICANT
             ]
-            return model.probability(model.pooled(scores, n)), told
+            return model.probability(pooled), told
 
         def work(columns):
             found = [one(text) for text in columns["text"]]
