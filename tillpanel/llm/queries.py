@@ -14,6 +14,7 @@ from tillpanel.llm.ngram_join import ngram_query, ngram_sql
 from tillpanel.llm.packing import packing_query
 from tillpanel.llm.piece_codec import codec_query
 from tillpanel.llm.quality import quality_query, quality_sql
+from tillpanel.llm.ranked_search import search_query, search_sql
 from tillpanel.llm.token_counts import token_count_query
 from tillpanel.llm.toxicity import toxicity_query
 from tillpanel.llm.warc import warc_query, warc_sql
@@ -59,10 +60,15 @@ def op10_quality_rules(spark: SparkSession, tables_dir: str) -> DataFrame:
     return quality_query(table(spark, tables_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return search_query(table(spark, tables_dir, "documents"), table(spark, tables_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     functions = (
         op1_best_fit_packing, op2_token_counts, op3_line_dedup, op4_toxicity, op5_language_id,
         op6_ngram_jaccard_join, op7_piece_codec, op8_warc, op9_fingerprints, op10_quality_rules,
+        op11_ranked_search,
     )
     return {f.__name__: f for f in functions}
 
@@ -73,4 +79,5 @@ def llm_sql() -> dict[str, str]:
         "op6_ngram_jaccard_join": ngram_sql(),
         "op8_warc": warc_sql(),
         "op10_quality_rules": quality_sql(),
+        "op11_ranked_search": search_sql(),
     }
