@@ -1,0 +1,152 @@
+import hashlib
+import random
+from collections import Counter
+
+import cases
+import numpy as np
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from tillpanel.llm import alignment
+from tillpanel.llm.alignment import alignment_query, containers, default_paths, index, pair_counts, places
+
+A = Tokenizer.from_file(default_paths()[0])
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=default_paths()[1])
+LETTERS = alignment._byte_level_alphabet()
+
+
+def tokens(text):
+    """(id, end) of both kinds over the whole text at once; none where they do not spell it."""
+    expected = f" {text}".encode()
+    found = []
+    for ids, spelled in (
+        (A.encode(f" {text}", add_special_tokens=False).ids, lambda i: bytes(LETTERS[c] for c in A.id_to_token(i))),
+        (B.encode(text), lambda i: bytes([int(B.id_to_piece(i)[3:5], 16)]) if B.is_byte(i)
+         else B.id_to_piece(i).replace("▁", " ").encode()),
+    ):
+        end, joined, ends = 0, b"", []
+        for i in ids:
+            joined += spelled(i)
+            end = len(joined)
+            ends.append((i, end))
+        if joined != expected:
+            return [], []
+        found.append(ends)
+    return found
+
+
+def brute(rows):
+    aligned = []
+    for doc_id, text in rows:
+        a, b = tokens(text) if text else ([], [])
+        ends = sorted({e for _, e in a} & {e for _, e in b})
+        links = [(x, y) for x, end in a for y, other in b if end == other] if len(a) < 500 else [
+            (dict((e, i) for i, e in a)[end], y) for y, end in b if end in {e for _, e in a}
+        ]
+        groups, low = [], 0
+        for high in ends:
+            groups.append("|".join(",".join(str(i) for i, e in side if low < e <= high) for side in (a, b)))
+            low = high
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
+        aligned.append((doc_id, len(a), len(b), len(ends), links, digest))
+    count = Counter(pair for *_, links, _ in aligned for pair in links)
+    best = {}
+    for (_, y), n in count.items():
+        best[y] = max(best.get(y, 0), n)
+    return sorted(
+        (
+            (d, n_a, n_b, n, len(links), sum(count[p] == best[p[1]] for p in links), sum(count[p] for p in links), digest)
+            for d, n_a, n_b, n, links, digest in aligned
+        ),
+        key=str,
+    )
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+ODD = [
+    "a  b", " a", "a ", "a\n b", "b\n", "b\n c", "\n\na", " ", "  ", "x▁y z", "▁", "a b   c", "don't we'll 'tis",
+    "日本 語 😀 é é ﬁ ａ　b", "<s> </s> <unk> <0x41> <|endoftext|>", "\x00 \x1f\x7f\x85", "a\r\nb\tc \t d", "1234 5,678.90",
+]
+
+
+def corpus(seed):
+    pick = random.Random(seed)
+    rows = [(k, t) for k, t in enumerate(ODD)] + [(50, None), (51, ""), (None, "one two"), (52, "one two"), (52, "one two")]
+    letters = "abcdefgh ABC   .,;:!?'\n\t  　éßñ0123日本▁😀\x00\x1c"
+    rows += [(100 + k, "".join(pick.choices(letters, k=pick.randrange(80)))) for k in range(120)]
+    return rows + [(300 + k, cases.prose(pick.randrange(40), pick.choice([3, 60]))) for k in range(60)]
+
+
+def found(frame):
+    assert frame.columns == COLUMNS and {t for _, t in frame.dtypes} == {"bigint", "string"}
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_matches_brute_force(spark, seed):
+    rows = corpus(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(alignment_query(docs)) == brute(rows)
+
+
+def test_small_segments_and_memory_change_nothing(spark, monkeypatch):
+    rows = corpus(3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    segments = alignment._Segments(default_paths())
+    monkeypatch.setattr(alignment, "SEGMENT_LINKS", 50)
+    monkeypatch.setattr(alignment, "HELD_PARTS", 60)
+    ended = 0
+    for k in range(0, len(rows), 10):
+        part = rows[k : k + 10]
+        ended += segments({"doc_id": [d for d, _ in part], "text": [t for _, t in part]}) is not None
+    assert ended > 3
+    assert found(alignment_query(docs)) == brute(rows)
+
+
+def test_both_encoders_of_plain_parts_agree():
+    pick = random.Random(4)
+    t = alignment._tokenizers(*default_paths())
+    letters = [chr(c) for c in (*range(0x21, 0x7F), 0x0A, *range(0xA1, 0x250))]
+    texts = ["".join(pick.choices(letters, k=pick.randrange(1, 30))) for _ in range(4000)]
+    texts += [a + b for a in letters for b in "a1.'\n"] + [b + a for a in letters for b in "a1.'\n"]
+    for text in texts:
+        assert t.plain_a.encode_ordinary(f" {text}") == t.a.encode(f" {text}", add_special_tokens=False).ids, text
+
+
+def test_bitmaps_keep_places_and_links():
+    pick = np.random.default_rng(5)
+    links = {(pair, place): int(pick.integers(1, 9)) for pair, n in ((7, 9000), (8, 1), (9, 1500), (2**40, 300))
+             for place in pick.choice(alignment.SEGMENT_ROWS, n, replace=False).tolist()}
+    ordered = sorted(links)
+    keys = np.array([pair << alignment._PLACE_BITS | place for pair, place in ordered])
+    pair, plane, n_docs, bits = containers(keys, np.array([links[k] for k in ordered]))
+    assert max(map(len, bits.to_pylist())) == alignment.SEGMENT_ROWS // 8
+    place, count = places(bits.slice(0))
+    assert count.tolist() == n_docs.tolist()
+    again = Counter()
+    for p, k, at in zip(np.repeat(pair, count).tolist(), np.repeat(plane, count).tolist(), place.tolist(), strict=True):
+        again[p, at] += 1 if k == 0 else 1 << (k - 1)
+    assert again == links
+    some, n = places(bits.slice(1, 2))
+    assert n.tolist() == count[1:3].tolist() and len(some) == n.sum()
+
+
+def test_pair_counts(spark):
+    rows = [(1, "one one two"), (2, "one"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = {(r.a_id, r.b_id): (r.n_docs, r.n_links) for r in pair_counts(index(docs, default_paths())).collect()}
+    one = (A.encode(" one").ids[0], B.encode("one")[0])
+    two = (A.encode(" two").ids[0], B.encode("two")[0])
+    assert counts == {one: (2, 3), two: (1, 1)}
+
+
+def test_odd_rows(spark):
+    rows = [(r[0], r[1]) for r in cases.odd_rows()]
+    result = found(alignment_query(cases.frame(spark)))
+    assert len(result) == len(rows)
+    small = [r for r in rows if not r[1] or len(r[1]) < 1000]
+    expected = {(r[0], r[7]) for r in brute(small)}
+    assert expected <= {(r[0], r[7]) for r in result}
+    assert found(alignment_query(cases.frame(spark, []))) == []

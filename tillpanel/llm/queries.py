@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillpanel.llm.alignment import alignment_query
 from tillpanel.llm.common import table
 from tillpanel.llm.fingerprints import fingerprint_query
 from tillpanel.llm.language import language_query
@@ -64,11 +65,15 @@ def op11_ranked_search(spark: SparkSession, tables_dir: str) -> DataFrame:
     return search_query(table(spark, tables_dir, "documents"), table(spark, tables_dir, "benchmark"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return alignment_query(table(spark, tables_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     functions = (
         op1_best_fit_packing, op2_token_counts, op3_line_dedup, op4_toxicity, op5_language_id,
         op6_ngram_jaccard_join, op7_piece_codec, op8_warc, op9_fingerprints, op10_quality_rules,
-        op11_ranked_search,
+        op11_ranked_search, op12_tokenizer_alignment,
     )
     return {f.__name__: f for f in functions}
 
