@@ -16,6 +16,7 @@ from tillpanel.llm.packing import packing_query
 from tillpanel.llm.piece_codec import codec_query
 from tillpanel.llm.quality import quality_query, quality_sql
 from tillpanel.llm.ranked_search import search_query, search_sql
+from tillpanel.llm.sharding import sharding_query
 from tillpanel.llm.token_counts import token_count_query
 from tillpanel.llm.toxicity import toxicity_query
 from tillpanel.llm.warc import warc_query, warc_sql
@@ -69,11 +70,15 @@ def op12_tokenizer_alignment(spark: SparkSession, tables_dir: str) -> DataFrame:
     return alignment_query(table(spark, tables_dir, "documents"))
 
 
+def op13_sharding(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return sharding_query(table(spark, tables_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     functions = (
         op1_best_fit_packing, op2_token_counts, op3_line_dedup, op4_toxicity, op5_language_id,
         op6_ngram_jaccard_join, op7_piece_codec, op8_warc, op9_fingerprints, op10_quality_rules,
-        op11_ranked_search, op12_tokenizer_alignment,
+        op11_ranked_search, op12_tokenizer_alignment, op13_sharding,
     )
     return {f.__name__: f for f in functions}
 
