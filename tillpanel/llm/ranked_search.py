@@ -2,16 +2,17 @@
 
 A document's terms have impacts: weight times saturated frequency, in whole numbers. A sketch folds
 them into coordinates: a term's hash names the coordinate, which holds the largest impact of all terms
-that fall on it. A query looks up the coordinates of its terms; their sum is never below its score, as
-each coordinate is at least the impact of that term, or above 0 where the document lacks it.
+that fall on it. It does so in ``ROWS`` rows with hashes of their own. A query looks up its terms: the
+least of a term's coordinates is at least its impact, and mostly 0 where the document lacks it. So the
+sum over its terms is never below the query's score.
 
 1. One pass counts, per term, the documents that hold it: each task sums its own counts before the
    shuffle. Weights follow from these counts over all documents.
 2. Sketches need the weight of every term of a document. The ``FREQUENT`` most common terms have
    theirs exactly; the others the largest weight of their slot in a table of ``SLOTS``. Both have a
    fixed size, whatever the vocabulary, and both are never below the true weight. Only bounds use them.
-3. In a task, documents are sketched in blocks (width by the number of terms, one byte a coordinate,
-   rounded up) and all queries of a batch are looked up in them at once. Per query the documents are
+3. In a task, documents are sketched in blocks (rows of ``LOAD`` to twice as many coordinates per term,
+   one byte each, rounded up) and all queries of a batch are looked up in them at once. Per query the documents are
    scored exactly in the order of descending bounds, until the next bound is below the score of the
    k-th best so far. That threshold is carried from block to block.
 4. A first scan over about ``SEED_ROWS`` documents gives thresholds to start with: the k-th best
@@ -33,6 +34,7 @@ import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -46,11 +48,14 @@ SLOTS = 1 << 18
 SEED_ROWS = 8192
 BATCH_TERMS = 1 << 15
 #: Distinct terms that a task counts or remembers at a time.
-HELD_TERMS = 200_000
-MIN_WIDTH, MAX_WIDTH = 64, 1 << 16
-#: Documents sketched together.
-BLOCK_ROWS = 512
+HELD_TERMS = 500_000
+ROWS, LOAD = 4, 4
+MAX_BITS = 20
+#: Documents sketched together, and distinct terms of them.
+BLOCK_ROWS, BLOCK_TERMS = 512, 1 << 19
 _LAST_ID = 2**63
+# Odd numbers, one per row of a sketch.
+_ROW_FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint64)
 
 # Everything in ASCII but digits and letters parts terms; only A-Z change.
 _FOLD = bytes(
@@ -169,24 +174,46 @@ class TermKeys(dict):
         return found
 
 
-def coordinate(hashes, width: int):
-    # Slots take the lower bits.
-    return (hashes >> 14) & (width - 1)
+def coordinates(hashes: np.ndarray, bits) -> np.ndarray:
+    """The coordinate of each hash (columns) in each row of a sketch that has ``2 ** bits``."""
+    mixed = (hashes.astype(np.uint64)[None, :] * _ROW_FACTORS[:, None]) & np.uint64(0xFFFFFFFF)
+    return (mixed >> np.asarray(32 - bits, np.uint64)).astype(np.int64)
 
 
-def sketch(counts: dict[bytes, int], norm: int, keys: TermKeys) -> tuple[np.ndarray, int]:
-    """Coordinatewise maxima of the impacts, as bytes in units of the second value, rounded up."""
-    n = len(counts)
-    width = max(MIN_WIDTH, min(MAX_WIDTH, 1 << (2 * n).bit_length()))
-    folded = np.zeros(width, np.uint8)
-    found = np.fromiter(map(keys.__getitem__, counts), np.int64, n)
-    tf = np.fromiter(counts.values(), np.int64, n)
-    impacts = impact(found >> 32, tf, norm)
-    unit = max(1, -(-int(impacts.max(initial=0)) // 255))
-    codes = (-(-impacts // unit)).astype(np.uint8)
-    order = np.argsort(codes)  # the largest is written last
-    folded[coordinate(found & 0xFFFFFFFF, width)[order]] = codes[order]
-    return folded, unit
+@dataclass
+class Sketches:
+    """Sketches of a block of documents: those of one width are the rows of one matrix."""
+
+    widths: list[tuple[int, np.ndarray, np.ndarray]]  # bits, numbers of the documents, matrix
+    units: np.ndarray
+
+
+def sketches(counts: list[dict[bytes, int]], norms: list[int], keys: TermKeys) -> Sketches:
+    """Coordinatewise maxima of the impacts of each document, as bytes in units of its own, rounded up."""
+    n = np.array([len(c) for c in counts])
+    total = int(n.sum())
+    found = np.fromiter(map(keys.__getitem__, chain.from_iterable(counts)), np.int64, total)
+    tf = np.fromiter(chain.from_iterable(c.values() for c in counts), np.int64, total)
+    impacts = impact(found >> 32, tf, np.repeat(np.array(norms, np.int64), n))
+    units = np.maximum(1, -(-np.maximum.reduceat(impacts, np.cumsum(n) - n) // 255))
+    codes = (-(-impacts // np.repeat(units, n))).astype(np.uint8)
+    bits = np.minimum(MAX_BITS, np.ceil(np.log2(LOAD * n)).astype(np.int64))
+
+    order = np.argsort(codes, kind="stable")  # the largest is written last
+    owner = np.repeat(np.arange(len(n)), n)[order]
+    hashes, codes, owner_bits = found[order] & 0xFFFFFFFF, codes[order], bits[owner]
+    at = coordinates(hashes, owner_bits)
+    widths = []
+    for b in np.unique(bits).tolist():
+        docs = np.flatnonzero(bits == b)
+        place = np.zeros(len(n), np.int64)
+        place[docs] = np.arange(len(docs))
+        mine = owner_bits == b
+        matrix = np.zeros((len(docs), ROWS << b), np.uint8)
+        for row in range(ROWS):
+            matrix[place[owner[mine]], (row << b) + at[row, mine]] = codes[mine]
+        widths.append((b, docs, matrix))
+    return Sketches(widths, units)
 
 
 @dataclass
@@ -202,25 +229,28 @@ class Batch:
         self.starts = np.cumsum([0, *map(len, self.terms)])[:-1]
 
 
-def bounds(batch: Batch, sketches: list[tuple[np.ndarray, int]]) -> np.ndarray:
-    """Upper bound of each query's score (rows) in each document (columns)."""
-    found = np.zeros((len(batch.ids), len(sketches)), np.int64)
-    widths = np.array([len(s) for s, _ in sketches])
-    units = np.array([unit for _, unit in sketches], np.int64)
-    for width in np.unique(widths):
-        at = np.flatnonzero(widths == width)
-        rows = coordinate(batch.hashes, int(width))
-        # So many documents that the looked-up bytes stay below 64 MB.
-        step = max(1, (1 << 26) // max(len(rows), int(width)))
-        for k in range(0, len(at), step):
-            some = at[k : k + step]
-            stacked = np.stack([sketches[i][0] for i in some], axis=1)
-            found[:, some] = np.add.reduceat(stacked[rows], batch.starts, axis=0, dtype=np.int64) * units[some]
-    return found
+def bounds(batch: Batch, folded: Sketches) -> np.ndarray:
+    """Upper bound of each query's score (columns) in each document (rows)."""
+    found = np.zeros((len(folded.units), len(batch.ids)), np.int64)
+    for bits, docs, matrix in folded.widths:
+        at = coordinates(batch.hashes, bits)
+        # So many documents that what is looked up stays below 32 MB.
+        step = max(1, (1 << 23) // len(batch.hashes))
+        for k in range(0, len(docs), step):
+            part = matrix[k : k + step]
+            least = part[:, at[0]]
+            for row in range(1, ROWS):
+                np.minimum(least, part[:, (row << bits) + at[row]], out=least)
+            found[docs[k : k + step]] = np.add.reduceat(least.astype(np.int32), batch.starts, axis=1)
+    return found * folded.units[:, None]
 
 
 def exact_score(terms: list[tuple[bytes, int]], counts: dict[bytes, int], norm: int) -> int:
-    return sum(impact(w, counts[t], norm) for t, w in terms if t in counts)
+    score = 0
+    for term, term_weight in terms:
+        if tf := counts.get(term):
+            score += impact(term_weight, tf, norm)
+    return score
 
 
 class _Scan:
@@ -233,16 +263,22 @@ class _Scan:
         self.least = np.array(batch.least, np.int64)
 
     def __call__(self, columns):
-        block = []
+        block, held = [], 0
         for doc_id, text in zip(columns["doc_id"], columns["text"], strict=True):
             if found := terms_of(text):
                 block.append((doc_id, Counter(found), self.corpus.norm(len(found))))
-        if not block:
-            return None
-        above = bounds(self.batch, [sketch(counts, norm, self.keys) for _, counts, norm in block])
-        for q in np.flatnonzero((above >= self.least[:, None]).any(axis=1)).tolist():
-            self._rescore(q, above[q], block)
-        return None
+                held += len(block[-1][1])
+            if held > BLOCK_TERMS:
+                self._scan(block)
+                block, held = [], 0
+        if block:
+            self._scan(block)
+
+    def _scan(self, block):
+        folded = sketches([counts for _, counts, _ in block], [norm for *_, norm in block], self.keys)
+        above = bounds(self.batch, folded)
+        for q in np.flatnonzero((above >= self.least).any(axis=0)).tolist():
+            self._rescore(q, above[:, q], block)
 
     def _rescore(self, q, above, block):
         best, terms = self.best[q], self.batch.terms[q]
