@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tillpanel.operators import dedup
 from tillpanel.operators.dedup import OVERLAP_FLAG, drop_overlap_copies, flag_overlap_copies
 
 
@@ -75,6 +76,31 @@ def test_hot_line_keeps_every_copy_of_its_first_batch(spark, bronze_frame):
     assert {tuple(r) for r in counts} == {("S1", False, 20_000), ("S2", True, 20_000)}
 
 
+def test_a_hot_line_is_spread_over_tasks(bronze_frame, monkeypatch):
+    monkeypatch.setattr(dedup, "LOT", 300)
+    line = ("100001", "10001", "A", 1, datetime(2010, 1, 1), 1.0, "11111", "UK")
+    one = bronze_frame([(*line, "S1"), (*line, "S2")])
+    copies = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20_000)))).drop("n")
+    flagged = flag_overlap_copies(copies)
+    sizes = [r["count"] for r in flagged.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(sizes) == 40_000 and len(sizes) == 4 and max(sizes) < 14_000
+
+
+@pytest.mark.parametrize("lot", [1, 7, 10])
+def test_lots_keep_every_copy(spark, monkeypatch, lot):
+    monkeypatch.setattr(dedup, "LOT", lot)
+    folded = spark.createDataFrame([("a", 1), ("b", 10), ("c", 21), (None, 7)], "x string, n long")
+    assert Counter(r.x for r in dedup._unfolded(folded, "n").collect()) == {"a": 1, "b": 10, "c": 21, None: 7}
+
+
+def test_batches_without_a_name_come_first(bronze_frame):
+    line = ("100001", "10001", "A", 1, datetime(2010, 1, 1), 1.0, None, "UK")
+    rows = bronze_frame([(*line, "S1"), (*line, "S2")]).withColumn(
+        "source_sheet", F.when(F.col("source_sheet") == "S1", F.col("source_sheet"))
+    )
+    assert [r.source_sheet for r in drop_overlap_copies(rows).collect()] == [None]
+
+
 def test_no_shared_day_drops_nothing(bronze_frame):
     line = ("100001", "10001", "A", 1)
     rest = (1.0, "11111", "UK")

@@ -75,17 +75,19 @@ def test_dedup_shuffles_only_lines_of_shared_days(bronze_frame, spark, tmp_path,
     bronze_frame(rows).write.parquet(str(tmp_path / "bronze"))
     bronze = spark.read.schema(BRONZE_SCHEMA).parquet(str(tmp_path / "bronze"))
     tree, nodes = executed(drop_overlap_copies(bronze), capsys)
-    # The settled lines go from the scan to the result by broadcast joins alone.
-    first = tree[tree.index("Union") : tree.index("SortMergeJoin")]
-    assert first.count("BroadcastHashJoin") >= 2
-    assert first.index("Scan parquet") < first.index("BroadcastQueryStage")
-    # Of four reads, one is of two columns for the days, and the two for the look-up are bounded by them.
+    # The settled lines go from the scan to the result by a broadcast join alone.
+    settled = tree[tree.index("Union") : tree.index("Window")]
+    assert settled.index("Scan parquet") < settled.index("BroadcastQueryStage")
+    # One read of two columns for the days, one of all lines, one of those between the shared days.
     scans = [n for n in nodes if n.startswith("Scan parquet")]
-    assert len(scans) == tree.count("Scan parquet") == 4
+    assert len(scans) == tree.count("Scan parquet") == 3
     assert sum("ReadSchema: struct<invoice_date:timestamp_ntz,source_sheet:string>" in n for n in scans) == 1
     bounded = [n for n in scans if "GreaterThanOrEqual(invoice_date" in n and "LessThan(invoice_date" in n]
-    assert len(bounded) == 2
-    assert not re.search("Cartesian|NestedLoop", tree)
+    assert len(bounded) == 1
+    # Lines meet in no join; copies are folded before their first shuffle.
+    assert "SortMergeJoin" not in tree and not re.search("Cartesian|NestedLoop", tree)
+    below_window = tree[tree.index("Window") :]
+    assert below_window.count("Aggregate") >= 2
 
 
 def test_panel_reads_lines_once_for_any_number_of_cutoffs(stored):

@@ -1,68 +1,50 @@
 """Cross-batch deduplication of identical invoice lines.
 
 Identical lines keep every copy of the earliest batch that holds them (text order of the batch
-name); the copies in later batches are overlap and go. Nulls compare equal.
+name); the copies in later batches are overlap and go. Nulls compare equal, and so do -0.0 and 0.0,
+which comes out for both on the days that batches share.
 
 The textbook form is ``min(source_sheet)`` over a window of all eight line columns. It shuffles and
-sorts every row, and puts all copies of one line into one task. Here, in three steps that each leave
-most rows where they are:
+sorts every row, and puts all copies of one line into one task. Here:
 
 1. Identical lines share their date, so only days delivered by several batches can hold overlap. One
-   small aggregate (a row per day and batch) gives the rank of each batch and the first batch of
-   each such day; both are broadcast, one row per batch and one per calendar day.
-2. On such a day only the lines outside its first batch can be overlap; all others pass untouched.
-3. Those lines look up the first batch of their eight columns in an aggregate with one row per
-   distinct line, where copies collapse before the shuffle. The looked-up rows are replicated
-   ``SALTS`` times and each probing task uses one of the copies, so a line that fills a third of
-   bronze is spread as well.
+   small aggregate (a row per day and batch) finds those days, and they are broadcast, one row per
+   calendar day. Lines of all other days pass where they are.
+2. Lines of these days are folded to one row per distinct bronze row with the number of its copies,
+   before the shuffle. The window over the eight columns then holds a few rows per line, however often
+   the line occurs, and nothing is looked up in a second read of the lines.
+3. Rows are unfolded again in lots of at most ``LOT`` copies, each lot in a task of its own: a line
+   that fills a third of bronze is spread over as many tasks as its copies ask for.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpanel.schemas import LINE_COLUMNS
 
 OVERLAP_FLAG = "is_overlap_copy"
-SALTS = 8
+#: Copies of a row that are unfolded in one task.
+LOT = 100_000
 
 
 def _day() -> Column:
     return F.col("invoice_date").cast("date")
 
 
-def batch_days(bronze: DataFrame) -> DataFrame:
-    """The days of every batch."""
-    return bronze.groupBy(_day().alias("day"), "source_sheet").agg(F.count("*").alias("lines"))
-
-
-def batch_ranks(days: DataFrame) -> DataFrame:
-    """Batches by text order of their names: one row per batch."""
-    # The window holds one row per delivered batch. Using the line counts keeps this the same read of
-    # bronze as that of the days.
-    rank = F.row_number().over(Window.orderBy("ranked_sheet"))
-    return (
-        days.groupBy(F.col("source_sheet").alias("ranked_sheet"))
-        .agg(F.sum("lines").alias("lines"))
-        .filter("lines > 0")
-        .select("ranked_sheet", rank.alias("sheet_rank"))
-    )
+def _sheet() -> Column:
+    """Batches in text order; rows without a batch come first."""
+    return F.struct(F.col("source_sheet").isNotNull().alias("named"), F.col("source_sheet").alias("sheet"))
 
 
-def shared_days(days: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Days that several batches deliver, with the rank of the first: one row per calendar day."""
+def shared_days(bronze: DataFrame) -> DataFrame:
+    """Days that several batches deliver: one row per calendar day."""
     return (
-        days.filter("lines > 0")
-        .join(F.broadcast(ranks), F.col("source_sheet").eqNullSafe(F.col("ranked_sheet")))
-        .groupBy(F.col("day").alias("shared_day"))
-        .agg(F.min("sheet_rank").alias("day_rank"), F.max("sheet_rank").alias("last_rank"))
-        .filter("day_rank < last_rank")
-        .drop("last_rank")
-    )
+        bronze.groupBy(_day().alias("shared_day"), "source_sheet").agg(F.count("*").alias("lines"))
+        .groupBy("shared_day").agg(F.min(_sheet()).alias("first"), F.max(_sheet()).alias("last"))
+        .filter("first <> last").select("shared_day")
+    )
 
 
 def _near(bronze: DataFrame, days: DataFrame) -> DataFrame:
@@ -75,53 +57,34 @@ def _near(bronze: DataFrame, days: DataFrame) -> DataFrame:
     return bronze.filter(date.isNull() | (date >= first)).filter(date.isNull() | (date < end))
 
 
-def _on_days(lines: DataFrame, ranks: DataFrame, days: DataFrame, how: str) -> DataFrame:
-    ranked = lines.join(
-        F.broadcast(ranks), F.col("source_sheet").eqNullSafe(F.col("ranked_sheet")), "left"
-    )
-    return ranked.join(F.broadcast(days), F.col("shared_day").eqNullSafe(_day()), how)
-
-
-def _first_ranks(lines: DataFrame) -> DataFrame:
-    """The first batch of every line that several batches hold, once per salt."""
-    return (
-        lines.groupBy(*[F.col(c).alias(f"first_{c}") for c in LINE_COLUMNS])
-        .agg(F.min("sheet_rank").alias("first_rank"), F.max("sheet_rank").alias("last_rank"))
-        .filter("first_rank < last_rank")
-        .drop("last_rank")
-        .withColumn("first_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
+def _on_days(lines: DataFrame, days: DataFrame, how: str) -> DataFrame:
+    return lines.join(F.broadcast(days), F.col("shared_day").eqNullSafe(_day()), how)
 
 
-def _same_line() -> Column:
-    return reduce(and_, (F.col(c).eqNullSafe(F.col(f"first_{c}")) for c in LINE_COLUMNS))
+def _unfolded(folded: DataFrame, copies: str) -> DataFrame:
+    """Every row as often as ``copies`` says, in lots of at most ``LOT``."""
+    of_row = [F.col(c) for c in folded.columns if c != copies]
+    lots = folded.select(
+        *of_row, copies, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({copies} - 1) div {LOT}"))).alias("lot")
+    ).withColumn("held", F.least(F.lit(LOT).cast("long"), F.col(copies) - F.col("lot") * LOT))
+    # A hash of the whole row and the lot: rows of one line and lots of one row go different ways. With a
+    # given number of partitions, because lots are small and would be put together again for their size.
+    partitions = int(folded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lots.repartition(partitions, F.xxhash64(*of_row, "lot"))
+    return dealt.select(*of_row, F.explode(F.sequence(F.lit(1).cast("long"), F.col("held"))).alias("lot")).drop("lot")
 
 
 def flag_overlap_copies(bronze: DataFrame) -> DataFrame:
     """``bronze`` with a flag on the lines that an earlier batch already holds."""
-    columns = [F.col(c) for c in bronze.columns]
-    by_day = batch_days(bronze)
-    ranks = batch_ranks(by_day)
-    days = shared_days(by_day, ranks)
-    may_be_copy = F.col("sheet_rank") > F.col("day_rank")
-
-    settled = _on_days(bronze, ranks, days, "left").filter(
-        ~F.coalesce(may_be_copy, F.lit(False))
-    )
-    near = _near(bronze, days)
-    firsts = _first_ranks(_on_days(near, ranks, days, "inner"))
-    # Which copy of the looked-up rows a task uses does not matter; all are alike.
-    looked_up = (
-        _on_days(near, ranks, days, "inner")
-        .filter(may_be_copy)
-        .withColumn("salt", F.spark_partition_id() % SALTS)
-        .join(firsts, _same_line() & (F.col("salt") == F.col("first_salt")), "left")
-        .select(
-            *columns,
-            F.coalesce(F.col("sheet_rank") > F.col("first_rank"), F.lit(False)).alias(OVERLAP_FLAG),
-        )
-    )
-    return settled.select(*columns, F.lit(False).alias(OVERLAP_FLAG)).unionByName(looked_up)
+    columns = bronze.columns
+    days = shared_days(bronze)
+    settled = _on_days(bronze, days, "left_anti").select(*columns, F.lit(False).alias(OVERLAP_FLAG))
+
+    near = _on_days(_near(bronze, days), days, "left_semi")
+    folded = near.groupBy(*columns).agg(F.count("*").alias("line_copies"))
+    first = F.min(_sheet()).over(Window.partitionBy(*LINE_COLUMNS))
+    flagged = folded.select("*", (_sheet() != first).alias(OVERLAP_FLAG))
+    return settled.unionByName(_unfolded(flagged, "line_copies"))
 
 
 def drop_overlap_copies(bronze: DataFrame) -> DataFrame:
