@@ -172,3 +172,31 @@ def test_longer_codes_need_their_own_pattern(bronze_frame):
     rows = [line("500001", "1234567A", 1, datetime(2010, 4, 1), 4.0, "20001", SHEET_1)]
     assert not silver_lines(bronze_frame(rows)).first().is_product
     assert silver_lines(bronze_frame(rows), r"^[0-9]{5,}[A-Za-z]*\z").first().is_product
+
+
+def test_a_build_audits_without_reading_what_it_writes(loaded, monkeypatch):
+    """Both contracts hold for what went by; staged silver and bronze are read for their row counts alone."""
+    from tillpanel.operators import contracts
+
+    monkeypatch.setattr(contracts, "enforce", lambda *a: pytest.fail("counted anew"))
+    monkeypatch.setattr(contracts, "violations", lambda *a: pytest.fail("read again"))
+    accounting, _ = build_silver(loaded)
+    assert accounting.first().asDict() == ACCOUNT
+
+
+def test_counts_that_went_astray_are_taken_anew(loaded, monkeypatch):
+    """As after the loss of an executor: more rows went by than there are."""
+    from tillpanel.operators.contracts import WritingAudit
+
+    monkeypatch.setattr(WritingAudit, "rows", property(lambda self: -1))
+    accounting, _ = build_silver(loaded)
+    assert accounting.first().asDict() == ACCOUNT
+    assert loaded.table(SILVER_TABLE).count() == ACCOUNT["silver_rows"]
+
+
+def test_an_empty_bronze_gives_an_empty_silver(loaded, bronze_frame):
+    build_silver(loaded)
+    ingest_bronze(loaded, bronze_frame(ROWS).filter("false"))
+    accounting, _ = build_silver(loaded)
+    assert set(accounting.first()) == {0}
+    assert loaded.table(SILVER_TABLE).count() == 0

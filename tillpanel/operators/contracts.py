@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,12 +192,13 @@ def schema_difference_report(frame: DataFrame, contract: Contract) -> DataFrame:
             [], "column_name string, problem string, values bigint"
         )
     surplus = [c for c in frame.columns if (c, "unexpected column") in found]
-    counted = frame.agg(*[F.count(c).alias(c) for c in surplus]) if surplus else frame.limit(1)
+    # An aggregate has its one row over an empty frame, too.
+    counted = frame.agg(F.count("*").alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"surplus_{c}") for c in surplus])
     differences = [
         F.struct(
             F.lit(c).alias("column_name"),
             F.lit(problem).alias("problem"),
-            (F.col(c) if c in surplus else F.lit(0)).cast("bigint").alias("values"),
+            (F.col(f"`surplus_{c}`") if c in surplus else F.lit(0)).cast("bigint").alias("values"),
         )
         for c, problem in found
     ]
@@ -312,6 +313,15 @@ def violations(frame: DataFrame, contract: Contract) -> DataFrame:
     return _rule_totals(frame, contract, rules).select(F.inline(labelled))
 
 
+def _rejected(contract: Contract, failed: list[tuple[str, str, int | None]]) -> None:
+    """Log one line per violated check and raise, if there is any."""
+    for column, check, rows in failed:
+        logger.error("%s: %s is not met: %s (rows: %s)", contract.name, column, check, rows)
+    if failed:
+        raise ContractViolation(contract.name, failed)
+    logger.info("%s: all rules met", contract.name)
+
+
 def enforce(frame: DataFrame, contract: Contract) -> DataFrame:
     """Check everything, log one line per violated check, raise if there is any.
 
@@ -326,14 +336,62 @@ def enforce(frame: DataFrame, contract: Contract) -> DataFrame:
             (row.column_name, row.check_name, row.failing_rows)
             for row in violations(frame, contract).filter("failing_rows > 0").collect()
         ]
-    if failed:
-        for column, check, rows in failed:
-            logger.error("%s: %s is not met: %s (rows: %s)", contract.name, column, check, rows)
-        raise ContractViolation(contract.name, failed)
-    logger.info("%s: all rules met", contract.name)
+    _rejected(contract, failed)
     return coerce(frame, contract)
 
 
+class WritingAudit:
+    """A contract whose rules are counted while a frame is written, without a read of their own.
+
+    ``watched`` gives the frame to write; ``settle`` raises after the write if a rule was not met. Only
+    uniqueness, for which rows of one key must meet, reads the written table again, and of that the
+    key columns. Parts of a write that are repeated after the loss of an executor may be counted twice:
+    when their number of rows is not that of the written table, the rules are counted anew from it.
+    """
+
+    def __init__(self, contract: Contract):
+        self.contract = contract
+        self._counted = Observation(f"rules of {contract.name}")
+        self._rules: list[tuple[str, str]] = []
+
+    def watched(self, frame: DataFrame, beside: tuple[str, ...] = ()) -> DataFrame:
+        """``frame`` in the contract's types; columns ``beside`` the contract's stay as they are."""
+        own = [c for c in frame.columns if c not in beside]
+        if differing := schema_differences(own, self.contract):
+            _rejected(self.contract, [(column, problem, None) for column, problem in differing])
+        prepared = _with_originals(frame, self.contract)
+        rules = _counted_rules(frame, self.contract)
+        self._rules = [(column, check) for column, check, _ in rules]
+        counts = [F.count_if(failing).alias(f"rule_{i}") for i, (_, _, failing) in enumerate(rules)]
+        counts = [F.count("*").alias("rows"), *counts]
+        kept = [*[rule.name for rule in self.contract.columns], *beside]
+        return prepared.observe(self._counted, *counts).select(kept)
+
+    @property
+    def rows(self) -> int:
+        """Rows that went by."""
+        return self._counted.get["rows"]
+
+    def settle(self, written: DataFrame | None = None) -> None:
+        """Raise if a rule was violated. ``written`` holds the rows that went by, and nothing else.
+
+        Its number of rows comes from the footers of its files.
+        """
+        if written is not None and self.rows != written.count():
+            enforce(written, self.contract)
+            return
+        counted = self._counted.get
+        failed = [(*rule, counted[f"rule_{i}"]) for i, rule in enumerate(self._rules) if counted[f"rule_{i}"]]
+        unique = tuple(replace(r, nullable=True, checks=()) for r in self.contract.columns if r.unique_with is not None)
+        if unique:
+            keys = replace(self.contract, columns=unique, rows=())
+            failed += [
+                (row.column_name, row.check_name, row.failing_rows)
+                for row in violations(written, keys).filter("failing_rows > 0").collect()
+            ]
+        _rejected(self.contract, failed)
+
+
 def describe(contract: Contract) -> list[tuple[str, str, bool | None, str]]:
     """(column, type, nullable, check) for every rule of a contract, in contract order."""
     rows: list[tuple[str, str, bool | None, str]] = []

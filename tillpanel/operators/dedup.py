@@ -38,11 +38,16 @@ def _sheet() -> Column:
     return F.struct(F.col("source_sheet").isNotNull().alias("named"), F.col("source_sheet").alias("sheet"))
 
 
-def shared_days(bronze: DataFrame) -> DataFrame:
+def batch_days(bronze: DataFrame) -> DataFrame:
+    """(day, source_sheet, lines): one row per calendar day and batch."""
+    return bronze.groupBy(_day().alias("day"), "source_sheet").agg(F.count("*").alias("lines"))
+
+
+def shared_days(by_day: DataFrame) -> DataFrame:
     """Days that several batches deliver: one row per calendar day."""
     return (
-        bronze.groupBy(_day().alias("shared_day"), "source_sheet").agg(F.count("*").alias("lines"))
-        .groupBy("shared_day").agg(F.min(_sheet()).alias("first"), F.max(_sheet()).alias("last"))
+        by_day.groupBy(F.col("day").alias("shared_day"))
+        .agg(F.min(_sheet()).alias("first"), F.max(_sheet()).alias("last"))
         .filter("first <> last").select("shared_day")
     )
 
@@ -74,10 +79,13 @@ def _unfolded(folded: DataFrame, copies: str) -> DataFrame:
     return dealt.select(*of_row, F.explode(F.sequence(F.lit(1).cast("long"), F.col("held"))).alias("lot")).drop("lot")
 
 
-def flag_overlap_copies(bronze: DataFrame) -> DataFrame:
-    """``bronze`` with a flag on the lines that an earlier batch already holds."""
+def flag_overlap_copies(bronze: DataFrame, by_day: DataFrame | None = None) -> DataFrame:
+    """``bronze`` with a flag on the lines that an earlier batch already holds.
+
+    ``by_day`` is what ``batch_days`` gives, where it is there already.
+    """
     columns = bronze.columns
-    days = shared_days(bronze)
+    days = shared_days(batch_days(bronze) if by_day is None else by_day)
     settled = _on_days(bronze, days, "left_anti").select(*columns, F.lit(False).alias(OVERLAP_FLAG))
 
     near = _on_days(_near(bronze, days), days, "left_semi")

@@ -20,13 +20,18 @@ from pyspark.sql import functions as F
 from tillpanel.functions.cutoffs import days_until, midnight, cutoff_date
 from tillpanel.functions.money import exact, exact_sum, money, money_sum
 from tillpanel.schemas import CHURN_WINDOW_DAYS, CUSTOMER_360_SCHEMA, TRAILING_WINDOW_DAYS
+from tillpanel.storage.layout import before_day
 
 INVOICE_KEY = ("customer_id", "invoice", "is_cancellation")
 
 
 def history_before(silver: DataFrame, as_of: str | date) -> DataFrame:
-    """Lines strictly before midnight at the start of the cutoff date."""
-    return silver.filter(F.col("invoice_date") < midnight(cutoff_date(as_of)))
+    """Lines strictly before midnight at the start of the cutoff date.
+
+    Of a table read with the day of its rows, files of later days are not read.
+    """
+    day = cutoff_date(as_of)
+    return before_day(silver, day).filter(F.col("invoice_date") < midnight(day))
 
 
 def is_purchase() -> Column:

@@ -6,18 +6,18 @@ import logging
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from tillpanel.functions.cutoffs import cutoff_date
 from tillpanel.operators.contracts import (
     Contract,
+    WritingAudit,
     bronze_contract,
     customer_360_contract,
-    enforce,
     silver_contract,
 )
-from tillpanel.operators.dedup import flag_overlap_copies
+from tillpanel.operators.dedup import OVERLAP_FLAG, batch_days, flag_overlap_copies
 from tillpanel.operators.panel import customer_panel
 from tillpanel.operators.profile import data_dictionary
 from tillpanel.operators.silver import (
@@ -39,6 +39,7 @@ from tillpanel.schemas import (
     SILVER_TABLE,
     TRAILING_WINDOW_DAYS,
 )
+from tillpanel.storage.layout import clustered_by_date
 from tillpanel.storage.warehouse import Warehouse
 
 logger = logging.getLogger(__name__)
@@ -58,6 +59,14 @@ def _exported(
     return warehouse.export(table, path, frame) if path else None
 
 
+def lines_by_day(days: Iterable[Row]) -> dict[date | None, int]:
+    """Lines per calendar day, from those per day and batch."""
+    total: dict[date | None, int] = {}
+    for row in days:
+        total[row.day] = total.get(row.day, 0) + row.lines
+    return total
+
+
 def ingest_bronze(
     warehouse: Warehouse, bronze: DataFrame, export_path: str | None = None
 ) -> tuple[int, str | None]:
@@ -76,24 +85,35 @@ def build_silver(
 ) -> tuple[DataFrame, str | None]:
     """Replace silver from bronze; a violated contract raises and leaves silver as it was.
 
-    Gives the row accounting, one row, and the export. The rows are counted while silver is written, so
-    the overlap is looked for once.
+    Gives the row accounting, one row, and the export. Rows are counted and both contracts audited while
+    silver is written: the overlap is looked for once, bronze is not read for its contract, and the staged
+    silver is not read at all.
     """
     bronze = warehouse.table(BRONZE_TABLE)
-    enforce(bronze, input_contract or bronze_contract())
-
+    entry = WritingAudit(input_contract or bronze_contract())
+    audit = WritingAudit(output_contract or silver_contract())
     counted = Observation("silver rows")
-    flagged = flag_overlap_copies(bronze).observe(counted, *accounting_columns())
-    lines = silver_of_flagged(flagged, product_code_pattern)
-    staged_path = warehouse.stage(lines, SILVER_TABLE)
+
+    # One number per calendar day and batch: which days overlap, and which go to which file.
+    days = batch_days(bronze).collect()
+    by_day = warehouse.spark.createDataFrame(days, "day date, source_sheet string, lines bigint")
+    flagged = entry.watched(flag_overlap_copies(bronze, by_day), beside=(OVERLAP_FLAG,))
+    lines = audit.watched(
+        silver_of_flagged(flagged.observe(counted, *accounting_columns()), product_code_pattern)
+    )
+    staged_path = warehouse.stage(clustered_by_date(lines, lines_by_day(days)), SILVER_TABLE)
     staged = warehouse.read_staged(staged_path, SILVER_SCHEMA)
-    enforce(staged, output_contract or silver_contract())
+
+    entry.settle(bronze)
+    audit.settle(staged)
+    rows = {name: counted.get[name] for name in ACCOUNTING}
+    if rows["bronze_rows"] != bronze.count():
+        # Counted twice in part, after an executor was lost.
+        rows = row_accounting(bronze).first().asDict()
 
     warehouse.publish(staged_path, SILVER_TABLE, SILVER_SCHEMA)
-    logger.info("%s: %s", SILVER_TABLE, counted.get)
-    accounting = warehouse.spark.createDataFrame(
-        [tuple(counted.get[name] for name in ACCOUNTING)], list(ACCOUNTING)
-    )
+    logger.info("%s: %s", SILVER_TABLE, rows)
+    accounting = warehouse.spark.createDataFrame([tuple(rows[name] for name in ACCOUNTING)], list(ACCOUNTING))
     return accounting, _exported(warehouse, SILVER_TABLE, export_path)
 
 
@@ -110,13 +130,14 @@ def build_customer_360(
     Gives the number of customers and the export, which holds the new slice.
     """
     day = cutoff_date(as_of)
-    silver = warehouse.table(SILVER_TABLE)
+    silver = warehouse.dated_table(SILVER_TABLE)
     snapshot = customer_360(silver, day, churn_window_days, trailing_days)
 
-    path = warehouse.stage(snapshot.drop("as_of_date"), GOLD_TABLE)
+    audit = WritingAudit(contract or customer_360_contract())
+    path = warehouse.stage(audit.watched(snapshot).drop("as_of_date"), GOLD_TABLE)
     staged = _staged_slice(warehouse, path, day)
-    enforce(staged, contract or customer_360_contract())
-    rows = staged.count()
+    audit.settle(staged)
+    rows = audit.rows
 
     warehouse.publish_slice(path, day, CUSTOMER_360_SCHEMA)
     logger.info("%s at %s: %d rows", GOLD_TABLE, day, rows)
@@ -147,11 +168,12 @@ def backfill_customer_360(
     """
     days = sorted({cutoff_date(c) for c in cutoffs})
     panel = customer_panel(
-        warehouse.table(SILVER_TABLE), days, churn_window_days, trailing_days
+        warehouse.dated_table(SILVER_TABLE), days, churn_window_days, trailing_days
     )
-    root, paths = warehouse.stage_slices(panel, days, GOLD_TABLE)
+    audit = WritingAudit(contract or customer_360_contract())
+    root, paths = warehouse.stage_slices(audit.watched(panel), days, GOLD_TABLE)
     staged = warehouse.read_staged(root, CUSTOMER_360_SCHEMA)
-    enforce(staged, contract or customer_360_contract())
+    audit.settle(staged)
     # One number per cutoff.
     rows = {r.as_of_date: r["count"] for r in staged.groupBy("as_of_date").count().collect()}
 

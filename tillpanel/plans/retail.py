@@ -27,6 +27,7 @@ from tillpanel.schemas import (
     SILVER_TABLE,
 )
 from tillpanel.sources import batches, retail_tables
+from tillpanel.storage.layout import clustered_by_date, dated
 from tillpanel.storage.shared import new_folder, remove_folder
 from tillpanel.storage.warehouse import Warehouse
 
@@ -71,10 +72,16 @@ class RetailLayers:
     def silver(self) -> DataFrame:
         with self._lock:
             return self._stored(
-                "silver", lambda: retail_silver(self._bronze()), SILVER_SCHEMA
+                "silver", lambda: clustered_silver(self._bronze()), SILVER_SCHEMA
             )
 
 
+    def dated_silver(self) -> DataFrame:
+        """Silver with the day of its rows, for what is read up to a cutoff."""
+        self.silver()
+        return dated(self.spark, self.path("silver"), SILVER_SCHEMA)
+
+
 SOURCE_TABLES = ("lineitem", "orders", "customer", "part", "nation")
 
 
@@ -107,6 +114,12 @@ def retail_silver(bronze: DataFrame) -> DataFrame:
     return silver.silver_lines(bronze, retail_tables.RETAIL_PRODUCT_CODE_PATTERN)
 
 
+def clustered_silver(bronze: DataFrame) -> DataFrame:
+    """Silver as a build lays it out."""
+    days = dedup.batch_days(bronze).collect()
+    return clustered_by_date(retail_silver(bronze), builds.lines_by_day(days))
+
+
 def retail_bronze_contract() -> contracts.Contract:
     return contracts.bronze_contract(retail_tables.RETAIL_WINDOW)
 
@@ -212,7 +225,7 @@ def _in_warehouse(
 
 def _with_gold(warehouse: Warehouse, stored: RetailLayers) -> None:
     """Silver and two gold slices; the early slice is first built with another window, then replaced."""
-    lines = stored.silver()
+    lines = stored.dated_silver()
     warehouse.publish(stored.path("silver"), SILVER_TABLE, SILVER_SCHEMA)
     for cutoff, churn_window in ((EARLY, 30), (MIDDLE, 90), (EARLY, 90)):
         warehouse.upsert_slice(
@@ -284,7 +297,7 @@ def _dictionary(spark: SparkSession, tables_dir: str) -> DataFrame:
         {
             BRONZE_TABLE: stored.bronze(),
             SILVER_TABLE: stored.silver(),
-            GOLD_TABLE: snapshot.customer_360(stored.silver(), MIDDLE),
+            GOLD_TABLE: snapshot.customer_360(stored.dated_silver(), MIDDLE),
         }
     )
 
@@ -297,12 +310,16 @@ def _on_silver(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, tables_dir: operator(layers(spark, tables_dir).silver())
 
 
+def _on_history(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, tables_dir: operator(layers(spark, tables_dir).dated_silver())
+
+
 def _warehoused(work: Callable[[Warehouse, RetailLayers], DataFrame]) -> Query:
     return lambda spark, tables_dir: _in_warehouse(spark, tables_dir, work)
 
 
 def _on_slice(operator: Callable[[DataFrame], DataFrame], cutoff: str = MIDDLE) -> Query:
-    return _on_silver(lambda lines: operator(snapshot.customer_360(lines, cutoff)))
+    return _on_history(lambda lines: operator(snapshot.customer_360(lines, cutoff)))
 
 
 def retail_queries() -> dict[str, Query]:
@@ -365,15 +382,15 @@ def retail_queries() -> dict[str, Query]:
             lambda s: contracts.contract_report(s, retail_silver_contract())
         ),
         # gold
-        "gold_as_of_history": _on_silver(lambda s: snapshot.history_before(s, MIDDLE)),
-        "gold_latest_country": _on_silver(lambda s: snapshot.latest_country(s, MIDDLE)),
-        "gold_activity_dates": _on_silver(lambda s: snapshot.activity_dates(s, EARLY)),
-        "gold_order_counts": _on_silver(lambda s: snapshot.order_counts(s, MIDDLE)),
-        "gold_net_revenue": _on_silver(lambda s: snapshot.net_revenue(s, MIDDLE)),
-        "gold_trailing_revenue": _on_silver(lambda s: snapshot.trailing_revenue(s, MIDDLE)),
-        "gold_cancelled_revenue": _on_silver(lambda s: snapshot.cancelled_revenue(s, MIDDLE)),
-        "gold_run_rate": _on_silver(_run_rates),
-        "customer_360_panel": _on_silver(
+        "gold_as_of_history": _on_history(lambda s: snapshot.history_before(s, MIDDLE)),
+        "gold_latest_country": _on_history(lambda s: snapshot.latest_country(s, MIDDLE)),
+        "gold_activity_dates": _on_history(lambda s: snapshot.activity_dates(s, EARLY)),
+        "gold_order_counts": _on_history(lambda s: snapshot.order_counts(s, MIDDLE)),
+        "gold_net_revenue": _on_history(lambda s: snapshot.net_revenue(s, MIDDLE)),
+        "gold_trailing_revenue": _on_history(lambda s: snapshot.trailing_revenue(s, MIDDLE)),
+        "gold_cancelled_revenue": _on_history(lambda s: snapshot.cancelled_revenue(s, MIDDLE)),
+        "gold_run_rate": _on_history(_run_rates),
+        "customer_360_panel": _on_history(
             lambda s: panel.customer_panel(s, (EARLY, MIDDLE, LATE))
         ),
         "customer_360_upsert": _warehoused(_upserted),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillpanel.schemas import GOLD_TABLE, LAYERS
+from tillpanel.storage.layout import dated
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -42,6 +43,11 @@ class Warehouse:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.qualified(table))
 
+    def dated_table(self, table: str) -> DataFrame:
+        """A table with the day of its rows beside its columns; see ``layout``."""
+        (path,) = self._published_folders(table)
+        return dated(self.spark, path, self.table(table).schema)
+
     def tables(self) -> dict[str, DataFrame]:
         """Every table of the layers, ordered by layer and then by name."""
         listed = {
