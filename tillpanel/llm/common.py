@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpanel.storage.shared import new_folder
+from tillpanel.storage.shared import new_folder, remove_folder
 
 PACKAGE = Path(__file__).resolve().parents[1]
 
@@ -51,7 +51,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = new_folder(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    found = spark.read.schema(frame.schema).parquet(path)
+    found.stored_path = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what ``stored`` wrote, once everything that reads it is stored itself."""
+    for frame in frames:
+        remove_folder(frame.sparkSession, frame.stored_path)
 
 
 def in_batches(

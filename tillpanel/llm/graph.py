@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import stored
+from tillpanel.llm.common import discard, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     current = stored(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     seen = None
     while True:
-        current = stored(_small_star(_large_star(current)).distinct(), "edges")
+        before, current = current, stored(_small_star(_large_star(current)).distinct(), "edges")
+        discard(before)
         state = current.agg(
             F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("mark")
         ).first()

@@ -35,8 +35,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import arrow_fields, in_batches, ship_package, stored
+from tillpanel.llm.common import arrow_fields, discard, in_batches, ship_package, stored
 from tillpanel.llm.graph import connected_components
+from tillpanel.operators.membership import possible_members
 
 WORDS = 3
 PERCENT = 90
@@ -148,8 +149,8 @@ def _classes_and_common(docs: DataFrame, n_words: int) -> DataFrame:
     return in_batches(docs, schema, start)
 
 
-def _candidates(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """All classes, and those with too few shingles of their own to be ruled out."""
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """All classes; ``is_member`` tells those with too few shingles of their own to be ruled out."""
     owners = (
         rows.select("class", F.explode("probes").alias("probe"))
         .groupBy("probe").agg(F.min("class").alias("class"), F.max("class").alias("other"))
@@ -160,13 +161,15 @@ def _candidates(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("class").alias("class")
     )
     prefix = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    left = classes.join(owners, "class", "left").filter(F.coalesce("own", F.lit(0)) < prefix)
-    return classes.select("digest", "doc_id"), left.select("digest", "doc_id")
+    is_member = F.coalesce("own", F.lit(0)) < prefix
+    return classes.join(owners, "class", "left").select("digest", "doc_id", is_member.alias("is_member"))
 
 
 def _sets(docs: DataFrame, members: DataFrame, late: np.ndarray, n_words: int, percent: int) -> DataFrame:
     """Shingles, bitmap and index keys of the classes in ``members`` (doc_id, digest)."""
-    texts = docs.join(
+    # Most texts are no members; few of these are shuffled.
+    near = possible_members(docs, F.col("doc_id"), members, F.col("doc_id"))
+    texts = near.join(
         members.select(F.col("doc_id").alias("member_id"), F.col("digest").alias("member")),
         F.col("doc_id").eqNullSafe(F.col("member_id")),
     ).select("text", "member")
@@ -377,14 +380,17 @@ def ngram_groups(
     """Per document: set size, class digest, and the smallest id of its component."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col(text_column).alias("text"))
     first = stored(_classes_and_common(docs, n_words), "ngram-classes")
-    rows = first.filter("is_doc").drop("is_doc")
     # At most LATE_SHINGLES numbers; they steer the order of the index only.
     common = (
         first.filter(~F.col("is_doc")).groupBy("class").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "class").limit(LATE_SHINGLES).toPandas()
     )
     late = np.sort(common["class"].to_numpy(np.int64).view(np.uint64))
-    classes, members = _candidates(rows, percent)
+    classes = stored(_candidates(first.filter("is_doc"), percent), "ngram-candidates")
+    rows = stored(first.filter("is_doc").select("doc_id", "n", "digest"), "ngram-rows")
+    # Tables go with their last reader; the probes are the largest.
+    discard(first)
+    members = classes.filter("is_member").select("digest", "doc_id")
     sets = stored(_sets(docs, members, late, n_words, percent), "ngram-sets")
 
     index = sets.select(
@@ -411,6 +417,7 @@ def ngram_groups(
     late_edges = stored(_links(more, sets, percent), "ngram-links")
     if late_edges.limit(1).count():
         labels = connected_components(edges.union(late_edges))
+    discard(sets, shared, stars, edges, late_edges)
 
     named = classes.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
         "digest", "doc_id", F.coalesce("component", "digest").alias("component")
