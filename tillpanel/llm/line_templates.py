@@ -1,21 +1,27 @@
 """Line deduplication by a log-template tree, in DataFrame operations only.
 
-Lines are parsed like log messages. The tree has a fixed depth: the number of tokens, then the
-``DEPTH`` leading tokens; a token with a digit is a variable field ``<*>`` from the start. In a
-leaf, a token is constant when several different lines have it at that place; the others are
-variable fields too. A line of more than ``DEPTH`` tokens, of which ``SIMILARITY`` percent are
-constant, stands for its template with all variable fields open; any other line's template has only
-its digit fields open. A template has at least one constant word: a line of digit fields alone is
-compared by its exact tokens.
+Lines are parsed like log messages. A token with a digit is a variable field ``<*>`` from the start,
+if at least ``SIMILARITY`` percent of the line's tokens are words (letters and no digit); a line with
+fewer words, like a row of numbers, is compared by its exact tokens and goes no further.
+
+The tree has a fixed depth: the number of tokens, then the ``DEPTH`` leading tokens. In a leaf, every
+token other than a field is held at its place by some number of different lines. The lines of a
+template share its words, so at least ``SIMILARITY`` percent of a line's tokens are held by as many
+lines as the template has: the count at that rank is the line's support. Tokens held by more than
+half of the support are constant, all others are variable fields. Values of a field that come back
+stay fields that way, however many lines there are; a count that only had to be above one would call
+every value constant in a large corpus. A line stands for its constant tokens and their places, if its
+support is two lines or more.
 
 A template in the lines of several documents recurs: its lines stay in the document with the least
 id and are dropped from all others. Repeats within one document are left.
 
 Every text is parsed once. Copies of a line become one row before templates are made, and tokens are
-only looked at in leaves with several different lines. Templates travel as pairs of 64-bit hashes.
+only looked at in leaves with several different lines; the leading tokens, which a whole leaf shares,
+are counted once per leaf. Templates travel as pairs of 64-bit hashes.
 
 Defined results: blank lines and null texts are left as they are. Rows that repeat an id are one
-document. Rows without an id come after all others.
+document. Rows without an id come after all others. A token ``<*>`` in a text is a field.
 """
 
 from __future__ import annotations
@@ -23,18 +29,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import stored
+from tillpanel.llm.common import discard, stored
 
 DEPTH = 4
-SIMILARITY = 75
-# Only in ``line_sql``, which still compares runs of tokens, in lines of so many tokens.
-GENERAL_TOKENS = 12
-FIELDS = 8
+SIMILARITY = 70
 
 _BLANK = r"\x20\x09-\x0D"
 # Possessive, and only at the start of a token: linear for tokens of any length.
 _DIGIT_TOKEN = rf"(?<![^{_BLANK}])[^{_BLANK}0-9]*+[0-9][^{_BLANK}]*+"
 _FIELD = "<*>"
+# A token with a letter, in text with one blank between tokens; letters are A-Z, a-z and all beyond ASCII.
+_LETTERS = r"A-Za-z\x{80}-\x{10FFFF}"
+_WORD = rf"(?<![^ ])[^ {_LETTERS}]*+[{_LETTERS}][^ ]*+"
 _SECOND = 7
 
 
@@ -56,59 +62,86 @@ def masked(line: Column) -> Column:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """Every line that is not blank, with its leaf and hashes; masked, if it can have a general template."""
-    has_word = ~F.col("masked").contains(_FIELD) | F.replace("masked", F.lit(_FIELD), F.lit("")).rlike("[^ ]")
+    line = F.col("col")
     blanks = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit("")))
+    # Only lines with a field need their words counted.
+    few_words = F.col("masked").contains(_FIELD) & (
+        F.regexp_count("masked", F.lit(_WORD)) * 100 < F.col("n_tokens") * SIMILARITY
+    )
     return (
         docs.filter(F.col("text").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")))
-        .filter(F.col("col").rlike(rf"[^{_BLANK}]"))
-        .select("doc_id", "text_hash", F.col("pos").alias("line_no"), "col", masked(F.col("col")).alias("masked"))
-        .select("*", has_word.alias("has_word"))
-        .withColumn("masked", F.when(F.col("has_word"), F.col("masked")).otherwise(_single(F.col("col"), F.col("col"))))
+        .filter(line.rlike(rf"[^{_BLANK}]"))
+        .select("doc_id", "text_hash", F.col("pos").alias("line_no"), "col", masked(line).alias("masked"))
         .select("*", (blanks + 1).alias("n_tokens"))
+        .select("*", few_words.alias("few_words"))
+        .withColumn("masked", F.when(F.col("few_words"), _single(line, line)).otherwise(F.col("masked")))
         .select(
             "doc_id", "text_hash", "line_no", "n_tokens",
-            F.xxhash64("n_tokens", F.substring_index("masked", " ", DEPTH)).alias("leaf"),
-            F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(_SECOND), "masked").alias("h2"),
-            F.when(F.col("has_word") & (F.col("n_tokens") > DEPTH), F.col("masked")).alias("masked"),
+            F.when(
+                ~F.col("few_words") & (F.col("n_tokens") > DEPTH),
+                F.xxhash64("n_tokens", F.substring_index("masked", " ", DEPTH)),
+            ).alias("leaf"),
+            F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(_SECOND), "masked").alias("h2"), "masked",
         )
+        .withColumn("masked", F.when(F.col("leaf").isNotNull(), F.col("masked")))
     )
 
 
 def _general(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2, first): the least id over the general template of a line, where it has one."""
     leaves = (
-        distinct.filter(F.col("n_tokens") > DEPTH)
-        .groupBy("leaf").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
-        .filter("low <> high").select("leaf")
+        distinct.filter(F.col("leaf").isNotNull()).groupBy("leaf").agg(F.count("*").alias("leaf_lines"))
+        .filter("leaf_lines > 1")
     )
     several = (
-        lines.filter(F.col("masked").isNotNull()).select("leaf", "h1", "h2", "n_tokens", "masked")
+        lines.filter(F.col("leaf").isNotNull()).select("leaf", "h1", "h2", "n_tokens", "masked")
         .join(leaves, "leaf").dropDuplicates(["leaf", "h1", "h2"])
     )
-    tokens = stored(
-        several.select("leaf", "h1", "h2", "n_tokens", F.posexplode(F.split("masked", " ")))
-        .select("leaf", "h1", "h2", "n_tokens", "pos", F.xxhash64("col").alias("token")),
+    # A row per line, which stands for its leading tokens (pos -1), and a row per other token.
+    token = F.when(F.col("col") != _FIELD, F.xxhash64("col"))
+    leading = F.size(F.filter(F.slice("split", 1, DEPTH), lambda t: t != _FIELD))
+    cells = stored(
+        several.select("leaf", "h1", "h2", "n_tokens", "leaf_lines", F.split("masked", " ").alias("split"))
+        .select(
+            "leaf", "h1", "h2", "n_tokens", leading.alias("leading"), "leaf_lines",
+            F.posexplode(F.concat(F.array(F.lit("")), F.slice("split", DEPTH + 1, 1 << 30))),
+        )
+        .select(
+            "leaf", "h1", "h2", (F.col("pos") - 1).alias("pos"),
+            F.when(F.col("pos") > 0, token).alias("token"),
+            *[F.when(F.col("pos") == 0, F.col(c)).alias(c) for c in ("n_tokens", "leading", "leaf_lines")],
+        )
+        .filter("pos < 0 OR token IS NOT NULL"),
         "line-tokens",
     )
-    constant = (
-        tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("n"))
-        .filter("n > 1").drop("n")
+    tokens = cells.filter("pos >= 0").select("leaf", "h1", "h2", "pos", "token")
+    # What one line alone holds is below half of any support.
+    held = tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("held")).filter("held > 1")
+    shared = tokens.join(held, ["leaf", "pos", "token"]).unionByName(
+        cells.filter("pos < 0").drop("token"), allowMissingColumns=True
+    )
+    of_line = shared.groupBy("leaf", "h1", "h2").agg(
+        F.max("n_tokens").alias("n"), F.max("leading").alias("leading"), F.max("leaf_lines").alias("leaf_lines"),
+        F.collect_list(F.when(F.col("pos") >= 0, F.struct("pos", "token", "held"))).alias("shared"),
     )
+    # The rank of the support among the tokens that are not leading; those come before all others.
+    rank = F.expr(f"(n * {SIMILARITY} + 99) div 100 - leading")
+    support = F.when(F.col("rank") <= 0, F.col("leaf_lines")).otherwise(
+        F.try_element_at(F.sort_array(F.transform("shared", lambda c: c["held"]), False), F.col("rank").cast("int"))
+    )
+    constant = F.sort_array(F.transform(
+        F.filter("shared", lambda c: c["held"] * 2 > F.col("support")), lambda c: F.struct(c["pos"], c["token"])
+    ))
     templates = (
-        tokens.join(constant, ["leaf", "pos", "token"])
-        .groupBy("leaf", "h1", "h2", "n_tokens")
-        .agg(
-            F.count("*").alias("n_constant"),
-            F.max(F.col("token") != F.xxhash64(F.lit(_FIELD))).alias("has_word"),
-            F.bit_xor(F.xxhash64("pos", "token")).alias("t1"),
-            F.bit_xor(F.xxhash64(F.lit(_SECOND), "pos", "token")).alias("t2"),
-        )
-        .filter(F.col("has_word") & (F.col("n_constant") * 100 >= F.col("n_tokens") * SIMILARITY))
+        of_line.select("*", rank.alias("rank")).select("*", support.alias("support")).filter("support > 1")
+        .select("leaf", "h1", "h2", constant.alias("constant"))
+        .select("leaf", "h1", "h2", F.xxhash64("constant").alias("t1"), F.xxhash64(F.lit(_SECOND), "constant").alias("t2"))
         .join(distinct.select("h1", "h2", "first"), ["h1", "h2"])
-    )
+    )
     named = stored(templates.select("leaf", "t1", "t2", "h1", "h2", "first"), "line-templates")
     first = named.groupBy("leaf", "t1", "t2").agg(F.min("first").alias("first"))
+    discard(cells)
     return named.drop("first").join(first, ["leaf", "t1", "t2"]).select("h1", "h2", "first")
 
 
@@ -180,48 +213,64 @@ def _flags(text: Column, drops: Column) -> Column:
 
 
 def line_query(docs: DataFrame) -> DataFrame:
-    return drop_recurring_lines(docs.select("doc_id", "text")).select(
-        "doc_id", F.size(F.split("text", "\n")).alias("n_kept_lines"),
-        F.col("n_dropped_lines"), "text",
-    )
+    counted = docs.select("doc_id", "text", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
+    counted = counted.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")))
+    return drop_recurring_lines(counted).select(
+        "doc_id", (F.col("n_lines") - F.col("n_dropped_lines")).alias("n_kept_lines"), "n_dropped_lines", "text"
+    )
 
 
 def line_sql() -> str:
-    """The same in DuckDB SQL, on the templates themselves instead of hashes."""
+    """The same in DuckDB SQL, on the tokens themselves instead of hashes."""
     return rf"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no
   FROM documents WHERE text IS NOT NULL
 ), parsed AS (
-  SELECT doc_id, line_no, line,
-         list_transform(regexp_extract_all(line, '[^{_BLANK}]+'),
-                        lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens
-  FROM lines
-), filled AS (SELECT *, len(tokens) AS n, tokens[1:{DEPTH}] AS lead FROM parsed WHERE len(tokens) > 0),
-uniq AS (SELECT tokens, n, lead, min(doc_id) AS first FROM filled GROUP BY tokens, n, lead),
-cells AS (
-  SELECT tokens, n, lead, pos, tokens[n * pos // {FIELDS} + 1 : n * (pos + 1) // {FIELDS}] AS token
-  FROM (SELECT *, unnest(range({FIELDS})) AS pos FROM uniq WHERE n >= {GENERAL_TOKENS})
-), constant AS (
-  SELECT n, lead, pos, token FROM cells GROUP BY n, lead, pos, token HAVING count(*) > 1
+  SELECT doc_id, line_no, line, regexp_extract_all(line, '[^{_BLANK}]+') AS own FROM lines
+), judged AS (
+  SELECT *, len(own) AS n,
+         regexp_matches(line, '[0-9]|<[*]>') AND 100 * len(list_filter(own, x -> NOT regexp_matches(x, '[0-9]') AND regexp_matches(x, '[{_LETTERS}]')))
+             < {SIMILARITY} * len(own) AS few_words
+  FROM parsed
+), filled AS (
+  SELECT *, CASE WHEN few_words THEN own ELSE
+           list_transform(own, x -> CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) END AS tokens
+  FROM judged WHERE n > 0
+), uniq AS (
+  SELECT tokens, n, bool_or(NOT few_words) AND n > {DEPTH} AS in_tree, tokens[1:{DEPTH}] AS lead, min(doc_id) AS first
+  FROM filled GROUP BY tokens, n
+), cells AS (
+  SELECT tokens, n, lead, pos, tokens[pos] AS token
+  FROM (SELECT *, unnest(range(1, n + 1)) AS pos FROM uniq WHERE in_tree)
+), held AS (
+  SELECT n, lead, pos, token, count(*) AS held FROM cells WHERE token <> '<*>' GROUP BY n, lead, pos, token
+), of_line AS (
+  SELECT c.tokens, c.n, c.lead, list(h.held ORDER BY h.held DESC)[(c.n * {SIMILARITY} + 99) // 100] AS support,
+         list(struct_pack(pos := c.pos, token := c.token, held := h.held) ORDER BY c.pos) AS shared
+  FROM cells c JOIN held h ON c.n = h.n AND c.lead = h.lead AND c.pos = h.pos AND c.token = h.token
+  GROUP BY c.tokens, c.n, c.lead
 ), templates AS (
-  SELECT c.tokens, c.n, c.lead, list((c.pos, c.token) ORDER BY c.pos) AS fields
-  FROM cells c JOIN constant k ON c.n = k.n AND c.lead = k.lead AND c.pos = k.pos AND c.token = k.token
-  GROUP BY c.tokens, c.n, c.lead HAVING 100 * sum(len(c.token)) >= {SIMILARITY} * c.n
+  SELECT tokens, n, lead,
+         list_transform(list_filter(shared, x -> 2 * x.held > support), x -> struct_pack(pos := x.pos, token := x.token)) AS constant
+  FROM of_line WHERE support > 1
 ), general AS (
-  SELECT tokens, min(first) OVER (PARTITION BY n, lead, fields) AS first
-  FROM templates JOIN uniq USING (tokens, n, lead)
+  SELECT t.tokens, min(u.first) OVER (PARTITION BY t.n, t.lead, t.constant) AS first
+  FROM templates t JOIN uniq u ON u.tokens = t.tokens
 ), firsts AS (
   SELECT u.tokens, least(u.first, coalesce(g.first, u.first)) AS first
   FROM uniq u LEFT JOIN general g ON g.tokens = u.tokens
 ), flagged AS (
   SELECT p.doc_id, p.line_no, p.line, coalesce(p.doc_id > f.first, false) AS dropped
-  FROM parsed p LEFT JOIN firsts f ON f.tokens = p.tokens
+  FROM parsed p LEFT JOIN filled q ON q.doc_id = p.doc_id AND q.line_no = p.line_no
+  LEFT JOIN firsts f ON f.tokens = q.tokens
+), cleaned AS (
+  SELECT doc_id, (count(*) FILTER (NOT dropped))::INTEGER AS n_kept_lines,
+    (count(*) FILTER (dropped))::INTEGER AS n_dropped_lines,
+    array_to_string(coalesce(list(line ORDER BY line_no) FILTER (NOT dropped), []), chr(10)) AS text
+  FROM flagged GROUP BY doc_id
 )
-SELECT doc_id,
-  len(string_split(array_to_string(coalesce(
-    list(line ORDER BY line_no) FILTER (NOT dropped), []), chr(10)), chr(10)))::INTEGER AS n_kept_lines,
-  (count(*) FILTER (dropped))::INTEGER AS n_dropped_lines,
-  array_to_string(coalesce(list(line ORDER BY line_no) FILTER (NOT dropped), []), chr(10)) AS text
-FROM flagged GROUP BY doc_id"""
+SELECT d.doc_id, coalesce(c.n_kept_lines, 0)::INTEGER AS n_kept_lines,
+  coalesce(c.n_dropped_lines, 0)::INTEGER AS n_dropped_lines, c.text
+FROM documents d LEFT JOIN cleaned c ON c.doc_id = d.doc_id"""
