@@ -377,6 +377,42 @@ def test_superseded_versions_can_be_removed(loaded):
     assert loaded.table(SILVER_TABLE).count() == len(ROWS)
 
 
+@pytest.mark.parametrize("statement", ["CREATE TABLE", "ALTER TABLE", "CREATE OR REPLACE VIEW"])
+def test_a_backfill_that_fails_half_way_leaves_the_whole_panel(loaded, spark, monkeypatch, statement):
+    build_customer_360(loaded, EARLIER)
+    build_customer_360(loaded, AS_OF)
+    before = contents(loaded)
+    run = spark.sql
+
+    def failing(text, *rest, **more):
+        if text.startswith(statement):
+            raise ConnectionError("the catalog is gone")
+        return run(text, *rest, **more)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(loaded, "spark", _Instead(spark, failing))
+        with pytest.raises(ConnectionError):
+            # Another horizon changes the run rates of both slices.
+            backfill_customer_360(loaded, [EARLIER, AS_OF, "2011-03-11"], trailing_days=30)
+    assert contents(loaded) == before
+    backfill_customer_360(loaded, [EARLIER, AS_OF, "2011-03-11"], trailing_days=30)
+    after = contents(loaded)
+    assert len(after) > len(before) and after != before
+    loaded.remove_superseded(GOLD_TABLE)
+    assert contents(loaded) == after
+    assert [t for t in loaded.tables() if t.startswith("gold.")] == [GOLD_TABLE]
+
+
+class _Instead:
+    """A session whose statements go through a function."""
+
+    def __init__(self, spark, sql):
+        self._spark, self.sql = spark, sql
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+
 def test_rows_of_another_cutoff_are_refused(loaded, silver_frame):
     snapshot = customer_360(silver_frame(ROWS), AS_OF)
     with pytest.raises(Exception, match="row outside the slice"):

@@ -162,9 +162,7 @@ def backfill_customer_360(
 ) -> dict[date, int]:
     """Replace many cutoffs of the panel from one pass over silver; gives the customers of each.
 
-    All slices are audited before the first one is published. They are published one by one: each slice
-    is whole at any time, but after a failure in between some cutoffs are new and some old; running
-    the backfill again completes it.
+    All slices are audited and then published together: readers have all new cutoffs or none of them.
     """
     days = sorted({cutoff_date(c) for c in cutoffs})
     panel = customer_panel(
@@ -177,8 +175,7 @@ def backfill_customer_360(
     # One number per cutoff.
     rows = {r.as_of_date: r["count"] for r in staged.groupBy("as_of_date").count().collect()}
 
-    for day, path in paths.items():
-        warehouse.publish_slice(path, day, CUSTOMER_360_SCHEMA)
+    warehouse.publish_slices(paths, CUSTOMER_360_SCHEMA)
     return {day: rows.get(day, 0) for day in days}
 
 

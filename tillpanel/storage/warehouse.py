@@ -2,7 +2,7 @@
 
 Overwriting a Parquet table in place deletes the old files before the new ones are there. Here every
 write goes to a folder of its own, is audited there, and is then published by pointing the catalog
-entry (the table, or one partition of it) at that folder. A failed or rejected build leaves the
+entry at that folder; a panel is a view, pointed at a new list of slices. A failed or rejected build leaves the
 published data as it was, an empty slice replaces a full one, and no data is cached or computed twice
 between audit and publication.
 """
@@ -10,6 +10,7 @@ between audit and publication.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,10 @@ from tillpanel.schemas import GOLD_TABLE, LAYERS
 from tillpanel.storage.layout import dated
 
 
+PANEL_VERSION = "panel.version"
+VERSION_MARK = "__v"
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
@@ -54,7 +59,7 @@ class Warehouse:
             layer: sorted(
                 t.name
                 for t in self.spark.catalog.listTables(self.prefix + layer)
-                if not t.isTemporary
+                if not t.isTemporary and VERSION_MARK not in t.name
             )
             for layer in LAYERS
         }
@@ -93,23 +98,49 @@ class Warehouse:
 
     # ---- the panel, one partition per cutoff ---------------------------------------------------
 
-    def _ensure_panel(self, schema: T.StructType, table: str) -> None:
-        layer, name = table.split(".")
+    def _panel_version(self, table: str) -> str | None:
+        """The catalog entry that holds the panel's slices; the panel itself is a view of it."""
+        if not self.exists(table):
+            return None
+        properties = self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(table)}").collect()
+        return next((r.value for r in properties if r.key == PANEL_VERSION), None)
+
+    def _slices(self, version: str | None) -> dict[str, str]:
+        """Folder of each cutoff (as text) of a version."""
+        found = {}
+        for row in self.spark.sql(f"SHOW PARTITIONS {version}").collect() if version else ():
+            _, _, day = row.partition.partition("=")
+            described = self.spark.sql(f"DESCRIBE FORMATTED {version} PARTITION (as_of_date = '{day}')").collect()
+            # The slice comes first, the table after it.
+            found[day] = next(r.data_type for r in described if r.col_name == "Location")
+        return found
+
+    def publish_slices(self, paths: Mapping[date, str], schema: T.StructType, table: str = GOLD_TABLE) -> None:
+        """Make staged slices (without their ``as_of_date``) the panel's content for their dates.
+
+        A new version takes over the folders of all other slices; then the view that readers know is
+        pointed at it. That is one catalog change, so readers have all new slices or none of them.
+        """
+        slices = self._slices(self._panel_version(table)) | {d.isoformat(): p for d, p in paths.items()}
+        stamp = f"{datetime.now(UTC):%Y%m%dt%H%M%S%f}_{uuid.uuid4().hex[:8]}"
+        version, (layer, name) = f"{self.qualified(table)}{VERSION_MARK}{stamp}", table.split(".")
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.qualified(table)} ({_ddl(schema)}) USING parquet "
-            f"PARTITIONED BY (as_of_date) LOCATION '{self.root}/{layer}/{name}'"
+            f"CREATE TABLE {version} ({_ddl(schema)}) USING parquet PARTITIONED BY (as_of_date) "
+            f"LOCATION '{self.root}/{layer}/{name}/slices-{stamp}'"
+        )
+        added = " ".join(f"PARTITION (as_of_date = DATE'{d}') LOCATION '{p}'" for d, p in sorted(slices.items()))
+        if added:
+            self.spark.sql(f"ALTER TABLE {version} ADD {added}")
+        columns = ", ".join(f"`{f.name}`" for f in schema)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.qualified(table)} TBLPROPERTIES ('{PANEL_VERSION}' = '{version}') "
+            f"AS SELECT {columns} FROM {version}"
         )
 
     def publish_slice(
         self, path: str, as_of: date, schema: T.StructType, table: str = GOLD_TABLE
     ) -> None:
-        """Make a staged slice (without its ``as_of_date``) the panel's content for that date."""
-        self._ensure_panel(schema, table)
-        name, slot = self.qualified(table), f"PARTITION (as_of_date = DATE'{as_of.isoformat()}')"
-        # The new partition is added with its data; an existing one is switched over to it.
-        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {slot} LOCATION '{path}'")
-        self.spark.sql(f"ALTER TABLE {name} {slot} SET LOCATION '{path}'")
-        self.spark.catalog.refreshTable(name)
+        self.publish_slices({as_of: path}, schema, table)
 
     def upsert_slice(
         self, snapshot: DataFrame, as_of: date, schema: T.StructType, table: str = GOLD_TABLE
@@ -144,25 +175,23 @@ class Warehouse:
     # ---- housekeeping and export ----------------------------------------------------------------
 
     def _published_folders(self, table: str) -> set[str]:
-        """Folders the catalog points at: of the table itself and of each of its partitions."""
-        name = self.qualified(table)
-        described = [f"DESCRIBE FORMATTED {name}"]
-        if any(c.isPartition for c in self.spark.catalog.listColumns(name)):
-            for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect():
-                column, _, value = row.partition.partition("=")
-                described.append(f"{described[0]} PARTITION ({column} = '{value}')")
-        return {
-            row.data_type
-            for statement in described
-            for row in self.spark.sql(statement).filter("col_name = 'Location'").collect()
-        }
+        """Folders the catalog points at: of the table, or of each slice of a panel."""
+        if version := self._panel_version(table):
+            return set(self._slices(version).values())
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self.qualified(table)}")
+        return {row.data_type for row in described.filter("col_name = 'Location'").collect()}
 
     def remove_superseded(self, table: str) -> list[str]:
-        """Delete the versions of a table that no catalog entry points at any more.
+        """Delete the versions of a table that are published no more, of a panel the catalog entries too.
 
         Not part of a build: readers may still be on the previous version.
         """
         layer, name = table.split(".")
+        current = self._panel_version(table)
+        for other in self.spark.catalog.listTables(self.prefix + layer):
+            entry = f"{self.prefix}{layer}.{other.name}"
+            if other.name.startswith(name + VERSION_MARK) and entry != current:
+                self.spark.sql(f"DROP TABLE {entry}")
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         folder = hadoop.Path(f"{self.root}/{layer}/{name}")
         files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
