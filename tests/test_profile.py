@@ -1,4 +1,7 @@
-from datetime import datetime
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
 
 from tillpanel.operators.profile import column_profile, data_dictionary, table_inventory
 
@@ -39,6 +42,37 @@ def test_close_doubles_stay_apart_and_keep_their_digits(spark):
     assert (found.distinct_values, found.min_value, found.max_value) == (4, "0.5", "12345678.12345633")
 
 
+def test_small_doubles_have_no_exponent(spark):
+    found = profile(spark, [(None, v, None, None, None) for v in (0.0001, 0.00095)])["amount"]
+    assert (found.min_value, found.max_value) == ("0.0001", "0.00095")
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "smallint"])
+def test_whole_numbers_of_any_size_and_sign(spark, kind):
+    top = {"bigint": 2**63, "int": 2**31, "smallint": 2**15}[kind]
+    values = [-top, top - 1, 0, -1, 63, 64, 64, None, *range(-200, 200, 3)]
+    frame = spark.createDataFrame([(v,) for v in values], "n bigint").select(F.col("n").cast(kind)).repartition(3)
+    (row,) = column_profile(frame).collect()
+    known = {v for v in values if v is not None}
+    assert (row.nulls, row.distinct_values, row.min_value, row.max_value) == (1, len(known), str(-top), str(top - 1))
+
+
+def test_dates_are_counted_and_named(spark):
+    days = [date(1960, 2, 29), date(2011, 1, 1), date(2011, 1, 1), None, date(2011, 3, 5)]
+    (row,) = column_profile(spark.createDataFrame([(d,) for d in days], "d date")).collect()
+    assert (row.nulls, row.distinct_values, row.min_value, row.max_value) == (1, 3, "1960-02-29", "2011-03-05")
+
+
+def test_one_read_and_few_rows_to_shuffle(spark, tmp_path):
+    spark.range(100_000, numPartitions=2).write.parquet(str(tmp_path / "ids"))
+    frame = column_profile(spark.read.parquet(str(tmp_path / "ids")))
+    assert frame._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert frame.first().distinct_values == 100_000
+    # 64 neighbours are one row of the fold.
+    folded = spark.read.parquet(str(tmp_path / "ids")).groupBy(F.shiftright("id", 6)).count().count()
+    assert folded == 1563
+
+
 def test_empty_table(spark):
     for row in profile(spark, []).values():
         assert (row.nulls, row.distinct_values, row.min_value) == (0, 0, None)

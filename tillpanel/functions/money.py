@@ -53,10 +53,13 @@ def double_key(value: Column) -> Column:
 
 
 def double_text(value: Column) -> Column:
-    """Plain text of a double with all its digits: no exponent from 1e7 up to 1e15."""
+    """Plain text of a double with all its digits: no exponent from 1e-4 up to 1e15."""
     text = double_key(value)
     plain = F.regexp_replace(
         text.try_cast("decimal(38,18)").cast("string"), r"(\.[0-9]+?)0+$", "$1"
     )
     size = F.abs(value)
-    return F.when((size >= 1e7) & (size < 1e15), plain).otherwise(text)
+    # Between, the text has no exponent anyway. Small numbers may have digits beyond the 18th place.
+    few = text.try_cast("decimal(38,18)").cast("double") == value
+    by_plain = ((size >= 1e7) & (size < 1e15)) | ((size >= 1e-4) & (size < 1e-3) & few)
+    return F.when(by_plain, plain).otherwise(text)

@@ -3,20 +3,25 @@
 Distinct counts of many columns in one aggregate copy every row once per column and keep all the
 column's values in one grouping. Here each row is turned into one (column, value) pair per column and
 equal pairs are folded before the shuffle, so a value that fills a third of the table costs one row
-per task; counting the folded pairs then gives distinct and null counts. Minimum and maximum are typed
-and need a plain aggregate.
+per task; counting the folded pairs then gives distinct and null counts, and their smallest and largest
+values the bounds, all from one read.
+
+Values keep their types on the way. Whole numbers, dates and flags are folded further, 64 neighbours to
+a row: a 64-bit word has a bit for each value seen, and the set bits are counted in the end. Dense
+numbers such as ids then shuffle a row for 64 of them, sparse ones a row each as before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillpanel.functions.money import double_key, double_text
+from tillpanel.functions.money import double_text
 from tillpanel.schemas import BRONZE_TABLE, GOLD_TABLE, SILVER_TABLE
 
 # Names under which types appear in the dictionary.
@@ -84,67 +89,83 @@ def type_name(dtype: T.DataType) -> str:
     return TYPE_NAMES.get(dtype.simpleString(), dtype.simpleString().upper())
 
 
-def _key(column: Column, dtype: T.DataType) -> Column:
-    """Text that is one to one with the values."""
-    return double_key(column) if isinstance(dtype, T.DoubleType) else column.cast("string")
+_WHOLE = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType, T.DateType)
+_EPOCH = date(1970, 1, 1)
+
+
+def _kind(dtype: T.DataType) -> str:
+    """The field of a pair that holds values of this type."""
+    if isinstance(dtype, _WHOLE):
+        return "whole"
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return "real"
+    return "at" if isinstance(dtype, T.TimestampNTZType) else "text"
+
 
+def _value(column: Column, dtype: T.DataType) -> Column:
+    """The value as its field holds it."""
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(column).cast("bigint")
+    if isinstance(dtype, T.BooleanType):
+        return column.cast("int").cast("bigint")
+    kinds = {"whole": "bigint", "real": "double", "at": "timestamp_ntz", "text": "string"}
+    return column.cast(kinds[_kind(dtype)])
 
-def _text(column: Column, dtype: T.DataType) -> Column:
-    return double_text(column) if isinstance(dtype, T.DoubleType) else column.cast("string")
+
+def _text(value: Column, dtype: T.DataType) -> Column:
+    """A value in its field as text."""
+    if isinstance(dtype, T.DateType):
+        return F.date_add(F.lit(_EPOCH), value.cast("int")).cast("string")
+    if isinstance(dtype, T.BooleanType):
+        return (value == 1).cast("string")
+    return double_text(value) if _kind(dtype) == "real" else value.cast("string")
 
 
 def column_profile(frame: DataFrame) -> DataFrame:
     """One row per column: position, name, type, nulls, distinct values, minimum and maximum."""
     fields = list(enumerate(frame.schema.fields, start=1))
-
-    pairs = frame.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("ordinal_position"),
-                        _key(F.col(f.name), f.dataType).alias("value"),
-                    )
-                    for i, f in fields
-                ]
-            )
-        )
-    )
-    values = pairs.groupBy("ordinal_position", "value").agg(F.count("*").alias("copies"))
-    counts = values.groupBy("ordinal_position").agg(
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("copies"))), F.lit(0)).alias("nulls"),
-        F.count("value").alias("distinct_values"),
-    )
-
-    bounds = frame.agg(
-        *[F.min(f.name).alias(f"min_{i}") for i, f in fields],
-        *[F.max(f.name).alias(f"max_{i}") for i, f in fields],
-    ).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("ordinal_position"),
-                        F.lit(f.name).alias("column_name"),
-                        F.lit(type_name(f.dataType)).alias("data_type"),
-                        _text(F.col(f"min_{i}"), f.dataType).alias("min_value"),
-                        _text(F.col(f"max_{i}"), f.dataType).alias("max_value"),
-                    )
-                    for i, f in fields
-                ]
-            )
-        )
-    )
-    # Both sides have one row per column.
-    return bounds.join(F.broadcast(counts), "ordinal_position", "left").select(
-        "ordinal_position",
-        "column_name",
-        "data_type",
-        F.coalesce("nulls", F.lit(0)).alias("nulls"),
-        F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
-        "min_value",
-        "max_value",
-    )
+    types = {"whole": "bigint", "real": "double", "at": "timestamp_ntz", "text": "string"}
+
+    def pair(i, f):
+        value = _value(F.col(f"`{f.name}`"), f.dataType)
+        held = [(value if _kind(f.dataType) == k else F.lit(None)).cast(t).alias(k) for k, t in types.items()]
+        return F.struct(F.lit(i).alias("ordinal_position"), *held)
+
+    pairs = frame.select(F.inline(F.array(*[pair(i, f) for i, f in fields])))
+    word, bit = F.shiftright("whole", 6).alias("word"), F.expr("shiftleft(1L, CAST(whole & 63 AS INT))")
+    folded = pairs.groupBy("ordinal_position", word, "real", "at", "text").agg(
+        F.count("*").alias("copies"), F.bit_or(bit).alias("bits"),
+        F.min("whole").alias("least"), F.max("whole").alias("most"),
+    )
+    is_null = F.coalesce(F.col("word").cast("string"), F.col("real").cast("string"), F.col("at").cast("string"), "text").isNull()
+    counts = folded.groupBy("ordinal_position").agg(
+        F.sum(F.when(is_null, F.col("copies")).otherwise(0)).alias("nulls"),
+        F.sum(F.when(F.col("word").isNotNull(), F.bit_count("bits")).when(is_null, 0).otherwise(1)).alias("distinct_values"),
+        F.min("least").alias("min_whole"), F.max("most").alias("max_whole"),
+        *[agg(k).alias(f"{name}_{k}") for k in ("real", "at", "text") for name, agg in (("min", F.min), ("max", F.max))],
+    )
+
+    def bound(name):
+        """The bound of each column, by its type."""
+        chosen = F.lit(None).cast("string")
+        for i, f in fields:
+            text = _text(F.col(f"{name}_{_kind(f.dataType)}"), f.dataType)
+            chosen = F.when(F.col("ordinal_position") == i, text).otherwise(chosen)
+        return chosen.alias(f"{name}_value")
+
+    # One row per column, also where the table has no rows.
+    named = F.array(*[
+        F.struct(F.lit(i).alias("ordinal_position"), F.lit(f.name).alias("column_name"),
+                 F.lit(type_name(f.dataType)).alias("data_type"))
+        for i, f in fields
+    ])
+    columns = frame.sparkSession.range(1).select(F.inline(named))
+    return columns.join(F.broadcast(counts), "ordinal_position", "left").select(
+        "ordinal_position", "column_name", "data_type",
+        F.coalesce("nulls", F.lit(0).cast("bigint")).alias("nulls"),
+        F.coalesce("distinct_values", F.lit(0).cast("bigint")).alias("distinct_values"),
+        bound("min"), bound("max"),
+    )
 
 
 def data_dictionary(tables: Mapping[str, DataFrame]) -> DataFrame:
