@@ -19,12 +19,20 @@ def strict_cast(value: Column, dtype: str, name: str) -> Column:
     )
 
 
+def _number(value: Column, dtype: str) -> Column:
+    # Text goes through a decimal, which keeps ids longer than a double can hold.
+    return value.try_cast("decimal(38,12)" if dtype == "string" else dtype)
+
+
+def no_whole_number(value: Column, dtype: str) -> Column:
+    """True where an id is present but no whole number."""
+    number = _number(value, dtype)
+    return value.isNotNull() & (number.isNull() | (number != F.floor(number)))
+
+
 def whole_number_text(value: Column, dtype: str, name: str) -> Column:
     """Text of an id that may arrive as a float (``13085.0`` -> ``13085``); a fraction is an error."""
-    # Text goes through a decimal, which keeps ids longer than a double can hold.
-    number = value.try_cast("decimal(38,12)" if dtype == "string" else dtype)
     complaint = F.concat(F.lit(f"{name}: not a whole number: "), value.cast("string"))
-    bad = value.isNotNull() & (number.isNull() | (number != F.floor(number)))
-    return F.when(bad, F.raise_error(complaint).cast("string")).otherwise(
-        number.try_cast("bigint").cast("string")
+    return F.when(no_whole_number(value, dtype), F.raise_error(complaint).cast("string")).otherwise(
+        _number(value, dtype).try_cast("bigint").cast("string")
     )

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
-from datetime import date
+from collections.abc import Iterable, Mapping
+from datetime import date, datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
@@ -39,6 +40,7 @@ from tillpanel.schemas import (
     SILVER_TABLE,
     TRAILING_WINDOW_DAYS,
 )
+from tillpanel.sources.batches import read_batches, refusal, rejected_lines
 from tillpanel.storage.layout import clustered_by_date
 from tillpanel.storage.warehouse import Warehouse
 
@@ -76,6 +78,32 @@ def ingest_bronze(
     return rows, _exported(warehouse, BRONZE_TABLE, export_path)
 
 
+def ingest_batches(
+    warehouse: Warehouse,
+    paths: Mapping[str, str],
+    loaded_at: datetime,
+    source_file: str | None = None,
+    file_format: str = "csv",
+    export_path: str | None = None,
+    **options: str | bool,
+) -> tuple[int, str | None]:
+    """Replace bronze with the batches at ``paths`` (batch name -> folder).
+
+    A value or line that does not fit refuses the load and leaves bronze as it was; the error names the
+    lines. They are looked for only then, so a load that fits reads its batches once.
+    """
+    spark = warehouse.spark
+    bronze = read_batches(spark, paths, loaded_at, source_file, file_format, **options)
+    try:
+        return ingest_bronze(warehouse, bronze, export_path)
+    except PySparkException as error:
+        # Lines inside quotes have no number of their own.
+        found = None if options.get("multiLine") else refusal(rejected_lines(spark, paths, file_format, **options))
+        if found is None:
+            raise
+        raise found from error
+
+
 def build_silver(
     warehouse: Warehouse,
     input_contract: Contract | None = None,
