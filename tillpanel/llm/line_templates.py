@@ -130,11 +130,12 @@ def _general(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     support = F.when(F.col("rank") <= 0, F.col("leaf_lines")).otherwise(
         F.try_element_at(F.sort_array(F.transform("shared", lambda c: c["held"]), False), F.col("rank").cast("int"))
     )
-    constant = F.sort_array(F.transform(
-        F.filter("shared", lambda c: c["held"] * 2 > F.col("support")), lambda c: F.struct(c["pos"], c["token"])
-    ))
+    # The support as a lambda's variable: worked out once per line, not once per token.
+    constant = F.transform(F.array(support), lambda enough: F.sort_array(F.transform(
+        F.filter("shared", lambda c: c["held"] * 2 > enough), lambda c: F.struct(c["pos"], c["token"])
+    )))[0]
     templates = (
-        of_line.select("*", rank.alias("rank")).select("*", support.alias("support")).filter("support > 1")
+        of_line.select("*", rank.alias("rank")).filter(support > 1)
         .select("leaf", "h1", "h2", constant.alias("constant"))
         .select("leaf", "h1", "h2", F.xxhash64("constant").alias("t1"), F.xxhash64(F.lit(_SECOND), "constant").alias("t2"))
         .join(distinct.select("h1", "h2", "first"), ["h1", "h2"])
