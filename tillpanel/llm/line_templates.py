@@ -232,12 +232,12 @@ WITH lines AS (
   SELECT doc_id, line_no, line, regexp_extract_all(line, '[^{_BLANK}]+') AS own FROM lines
 ), judged AS (
   SELECT *, len(own) AS n,
-         regexp_matches(line, '[0-9]|<[*]>') AND 100 * len(list_filter(own, x -> NOT regexp_matches(x, '[0-9]') AND regexp_matches(x, '[{_LETTERS}]')))
+         regexp_matches(line, '[0-9]|<[*]>') AND 100 * len(list_filter(own, lambda x: NOT regexp_matches(x, '[0-9]') AND regexp_matches(x, '[{_LETTERS}]')))
              < {SIMILARITY} * len(own) AS few_words
   FROM parsed
 ), filled AS (
   SELECT *, CASE WHEN few_words THEN own ELSE
-           list_transform(own, x -> CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) END AS tokens
+           list_transform(own, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) END AS tokens
   FROM judged WHERE n > 0
 ), uniq AS (
   SELECT tokens, n, bool_or(NOT few_words) AND n > {DEPTH} AS in_tree, tokens[1:{DEPTH}] AS lead, min(doc_id) AS first
@@ -254,7 +254,7 @@ WITH lines AS (
   GROUP BY c.tokens, c.n, c.lead
 ), templates AS (
   SELECT tokens, n, lead,
-         list_transform(list_filter(shared, x -> 2 * x.held > support), x -> struct_pack(pos := x.pos, token := x.token)) AS constant
+         list_transform(list_filter(shared, lambda x: 2 * x.held > support), lambda x: struct_pack(pos := x.pos, token := x.token)) AS constant
   FROM of_line WHERE support > 1
 ), general AS (
   SELECT t.tokens, min(u.first) OVER (PARTITION BY t.n, t.lead, t.constant) AS first
