@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tillpanel.llm import warc
 from tillpanel.llm.warc import (
     CaptureIndex,
     open_folder,
@@ -119,3 +120,62 @@ def test_smaller_payloads_can_be_left_as_responses(spark):
     blocks = write_archives(spark.createDataFrame(rows, SCHEMA), folder, min_bytes=3)
     found = {r.page_id: (r.record_type, r.refers_to) for r in read_archives(blocks, folder).collect()}
     assert found == {1: ("response", None), 2: ("response", None), 3: ("revisit", 4), 4: ("response", None)}
+
+
+def test_the_query_goes_through_the_index(spark, monkeypatch):
+    """No block is scanned by the block table; directories are read, and blocks found by bisection."""
+    monkeypatch.setattr(warc, "read_archives", lambda *a: pytest.fail("scanned"))
+    rows = pages()
+    assert warc_query(spark.createDataFrame(rows, SCHEMA).repartition(3)).count() == len(rows)
+
+
+class Counting:
+    """A file system that notes the ranges read."""
+
+    def __init__(self, files, seen):
+        self.files, self.seen = files, seen
+
+    def get_file_info(self, path):
+        return self.files.get_file_info(path)
+
+    def open_input_file(self, path):
+        self.seen.append(path.rsplit(".", 1)[1])
+        return self.files.open_input_file(path)
+
+
+def test_a_directory_is_read_once_and_few_blocks_are(spark, archive):
+    blocks, folder = archive
+    index = CaptureIndex(blocks, folder)
+    first, last, *names = max(index.archives, key=lambda a: blocks.filter(blocks.archive == a[2]).count())
+    keys = sorted({r.urlkey for r in spark.createDataFrame(pages(), SCHEMA).select(url_key(F.col("url")).alias("urlkey"))
+                   .collect() if first <= r.urlkey <= last})
+    reader, seen = warc._IndexReader(folder), []
+    reader.files = Counting(reader.files, seen)
+    found = [len(list(reader.records(tuple(names), key))) for key in keys]
+    n_blocks = blocks.filter(blocks.archive == names[0]).count()
+    assert seen.count("dir") == 1 and sum(found) == blocks.filter(blocks.archive == names[0]).agg(F.sum("n_lines")).first()[0]
+    # In order, a block is opened again only where a key ends one block and begins the next.
+    assert seen.count("gz") - sum(found) <= 2 * n_blocks
+
+
+def test_a_url_captured_very_often_and_repeated_ids(spark):
+    rows = [(k % 90, "http://hot.org/", f"<p>{k % 50}") for k in range(400)] + [(500 + k, f"http://x{k}.org/", "z") for k in range(9)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("clash") for c in ("member", "urlkey", "digest", "payload")})
+    found = warc_query(frame.repartition(4)).collect()
+    largest = {}
+    for page_id, _, html in rows:
+        largest[html] = max(largest.get(html, -1), page_id)
+    expected = sorted((p, digest(h), None if largest[h] == p else largest[h], u) for p, u, h in rows)
+    assert sorted(((r.page_id, r.payload_digest, r.refers_to, r.url) for r in found), key=str) == sorted(expected, key=str)
+
+
+def test_blocks_are_cut_by_bytes_too(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "BLOCK_BYTES", 600)
+    writer = warc._ArchiveWriter(str(tmp_path), 1000)
+    for k in range(30):
+        member = gzip.compress(warc.make_record(k, "http://a.org/", b"x", digest("x"), 1, None), 6, mtime=0)
+        writer.add({"page_id": k, "url": "http://a.org/", "sha1": hashlib.sha1(b"x").hexdigest(), "n_bytes": 1,
+                    "member": member, "refers_to": None, "urlkey": "org,a)/"})
+    rows = writer.close()
+    assert len(rows) > 5 and sum(r["n_lines"] for r in rows) == 30
+    assert max(r["archive_length"] for r in rows) < 1200

@@ -6,9 +6,11 @@ writes one archive (a gzip member per record), its capture lines in compressed b
 directory with the first key of each block. File names carry the task attempt, and only files in the
 committed block table count, so a repeated task does no harm.
 
-Reading back goes the same way: block table, capture lines, byte range of the archive, records. A
-look-up searches the list of archives (one row per writing task), then that archive's directory,
-then the block, all by bisection, and reads only the ranges it needs.
+Reading back: a look-up searches the list of archives (one row per writing task), then that archive's
+directory, then the block, all by bisection, and reads only the ranges it needs. Keys are dealt out by
+archive and looked up in order, so neighbours share a block, and a URL that was captured very often
+is read by as many tasks as its captures fill archives. A whole archive can also be scanned by its
+block table. Payloads are checked against their digests in the tasks and handed on only if asked for.
 
 Archives are written and read through a file system that Python tasks reach, in the folder given.
 
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 from tillpanel.llm.common import arrow_fields, in_batches, ship_package, stored
 from tillpanel.storage.shared import new_folder
 
-BLOCK_LINES = 1000
+#: Records of a block, which ends early when they are so many bytes.
+BLOCK_LINES, BLOCK_BYTES = 1000, 1 << 23
 CAPTURE_TIME = "2026-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BLOCKS = (
@@ -216,7 +219,7 @@ class _ArchiveWriter:
         self.keys.append(row["urlkey"])
         self.out["archive"].write(member)
         self.archive_at += len(member)
-        if len(self.lines) == self.block_lines:
+        if len(self.lines) == self.block_lines or self.archive_at - self.block_start >= BLOCK_BYTES:
             self.end_block()
 
     def end_block(self) -> None:
@@ -270,7 +273,7 @@ RECORDS = (
 )
 
 
-def _record_row(raw: bytes) -> dict:
+def _record_row(raw: bytes, payloads: bool = True) -> dict:
     record = parse_record(raw)
     headers = record["headers"]
     response = headers["WARC-Type"] == "response"
@@ -285,7 +288,7 @@ def _record_row(raw: bytes) -> dict:
         "refers_to": None if response else _page_of(headers["WARC-Refers-To"]),
         "payload_bytes": len(record["payload"]) if response else int(record["http"]["Content-Length"]),
         "payload_digest": digest,
-        "payload": record["payload"] if response else None,
+        "payload": record["payload"] if response and payloads else None,
     }
 
 
@@ -332,57 +335,94 @@ class CaptureIndex:
             .select("first_key", "last_key", "archive", "captures", "directory").collect()
         )
 
-    def lookup(self, urls: DataFrame) -> DataFrame:
+    def _routed(self, keys: DataFrame) -> DataFrame:
+        """Each key with the archives that may hold it; a frequent key fills several, one after the other."""
+        shared = self.spark.sparkContext.broadcast([a[:2] for a in self.archives])
+
+        def start():
+            ranges = shared.value
+            lasts = [last for _, last in ranges]
+
+            def work(columns):
+                found = []
+                for key in columns["urlkey"]:
+                    at = bisect.bisect_left(lasts, key)
+                    while at < len(ranges) and ranges[at][0] <= key:
+                        found.append((at, key))
+                        at += 1
+                return {"archive_no": [at for at, _ in found], "urlkey": [key for _, key in found]}
+
+            return work
+
+        return in_batches(keys, "archive_no int, urlkey string", start)
+
+    def lookup(self, urls: DataFrame, payloads: bool = True) -> DataFrame:
         """The records captured under the URLs (a column ``url``); a URL never captured gives no row."""
         shared = self.spark.sparkContext.broadcast(self.archives)
         folder = self.folder
 
         def start():
-            files, root = open_folder(folder)
-            archives = shared.value
-            lasts = [a[1] for a in archives]
-            directories: dict[str, tuple[list[str], list[tuple[int, int]]]] = {}
-
-            def directory(name):
-                if name not in directories:
-                    size = files.get_file_info(f"{root}/{name}").size
-                    lines = read_range(files, f"{root}/{name}", 0, size).decode("utf-8").split("\n")
-                    parts = [line.split("\t") for line in lines[:-1]]
-                    directories[name] = [p[0] for p in parts], [(int(p[1]), int(p[2])) for p in parts]
-                return directories[name]
-
-            def found(key):
-                # Archives hold consecutive key ranges; a frequent key may fill several.
-                at = bisect.bisect_left(lasts, key)
-                while at < len(archives) and archives[at][0] <= key:
-                    _, _, archive, captures, listing = archives[at]
-                    firsts, places = directory(listing)
-                    block = max(0, bisect.bisect_left(firsts, key) - 1)
-                    while block < len(firsts) and firsts[block] <= key:
-                        lines = capture_lines(read_range(files, f"{root}/{captures}", *places[block]))
-                        keys = [k for k, _ in lines]
-                        for i in range(bisect.bisect_left(keys, key), bisect.bisect_right(keys, key)):
-                            span = (lines[i][1]["offset"], lines[i][1]["length"])
-                            raw = read_range(files, f"{root}/{archive}", *span)
-                            yield _record_row(zlib.decompress(raw, 31))
-                        block += 1
-                    at += 1
+            reader = _IndexReader(folder)
 
             def work(columns):
-                rows = [r for key in columns["urlkey"] for r in found(key)]
-                names = (part.split()[0] for part in RECORDS.split(", "))
+                names = [part.split()[0] for part in RECORDS.split(", ")]
+                rows = [
+                    _record_row(raw, payloads)
+                    for number, key in zip(columns["archive_no"], columns["urlkey"], strict=True)
+                    for raw in reader.records(shared.value[number][2:], key)
+                ]
                 return {n: [r[n] for r in rows] for n in names}
 
             return work
 
         keys = urls.select(url_key(F.col("url")).alias("urlkey")).distinct()
-        return in_batches(keys, RECORDS, start, chunk_rows=64)
+        dealt = self._routed(keys).repartitionByRange("archive_no", "urlkey")
+        return in_batches(dealt.sortWithinPartitions("archive_no", "urlkey"), RECORDS, start, chunk_rows=64)
+
+
+class _IndexReader:
+    """Bisection in directories and blocks; the directory and block at hand are kept."""
+
+    def __init__(self, folder: str):
+        self.files, self.root = open_folder(folder)
+        self.listing = self.block = None
+        self.directory: tuple[list[str], list[tuple[int, int]]] = ([], [])
+        self.lines: tuple[list[str], list[dict]] = ([], [])
+
+    def open_directory(self, name: str) -> None:
+        if name == self.listing:
+            return
+        size = self.files.get_file_info(f"{self.root}/{name}").size
+        text = read_range(self.files, f"{self.root}/{name}", 0, size).decode("utf-8")
+        parts = [line.split("\t") for line in text.split("\n")[:-1]]
+        self.directory = [p[0] for p in parts], [(int(p[1]), int(p[2])) for p in parts]
+        self.listing, self.block = name, None
+
+    def open_block(self, captures: str, number: int) -> None:
+        if number == self.block:
+            return
+        found = capture_lines(read_range(self.files, f"{self.root}/{captures}", *self.directory[1][number]))
+        self.lines, self.block = ([k for k, _ in found], [fields for _, fields in found]), number
+
+    def records(self, names: tuple[str, str, str], key: str) -> Iterator[bytes]:
+        """The records of a key in one archive."""
+        archive, captures, listing = names
+        self.open_directory(listing)
+        firsts = self.directory[0]
+        block = max(0, bisect.bisect_left(firsts, key) - 1)
+        while block < len(firsts) and firsts[block] <= key:
+            self.open_block(captures, block)
+            keys, fields = self.lines
+            for i in range(bisect.bisect_left(keys, key), bisect.bisect_right(keys, key)):
+                raw = read_range(self.files, f"{self.root}/{archive}", fields[i]["offset"], fields[i]["length"])
+                yield zlib.decompress(raw, 31)
+            block += 1
 
 
 def warc_query(pages: DataFrame) -> DataFrame:
     folder = new_folder(pages.sparkSession, "warc")
-    blocks = write_archives(pages, folder)
-    return read_archives(blocks, folder).select(
+    index = CaptureIndex(write_archives(pages, folder), folder)
+    return index.lookup(pages.select("url"), payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
     )
 
