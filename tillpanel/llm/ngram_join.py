@@ -149,6 +149,23 @@ def _classes_and_common(docs: DataFrame, n_words: int) -> DataFrame:
     return in_batches(docs, schema, start)
 
 
+def _late_shingles(common: DataFrame) -> np.ndarray:
+    """The shingles seen most often, sorted: at most ``LATE_SHINGLES``; they steer the order of the index only."""
+    seen = common.groupBy("class").agg(F.sum("n").alias("n"))
+    level = F.floor(F.log2("n") * 8)
+    # The cut comes from a histogram of a few hundred rows, so that no more shingles are collected.
+    left, cut = LATE_SHINGLES, None
+    for row in sorted(seen.groupBy(level.alias("level")).count().collect(), reverse=True):
+        left -= row["count"]
+        if left < 0:
+            break
+        cut = row.level
+    if cut is None:
+        return np.zeros(0, np.uint64)
+    found = seen.filter(level >= cut).select("class").toPandas()
+    return np.sort(found["class"].to_numpy(np.int64).view(np.uint64))
+
+
 def _candidates(rows: DataFrame, percent: int) -> DataFrame:
     """All classes; ``is_member`` tells those with too few shingles of their own to be ruled out."""
     owners = (
@@ -380,12 +397,7 @@ def ngram_groups(
     """Per document: set size, class digest, and the smallest id of its component."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col(text_column).alias("text"))
     first = stored(_classes_and_common(docs, n_words), "ngram-classes")
-    # At most LATE_SHINGLES numbers; they steer the order of the index only.
-    common = (
-        first.filter(~F.col("is_doc")).groupBy("class").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "class").limit(LATE_SHINGLES).toPandas()
-    )
-    late = np.sort(common["class"].to_numpy(np.int64).view(np.uint64))
+    late = _late_shingles(first.filter(~F.col("is_doc")))
     classes = stored(_candidates(first.filter("is_doc"), percent), "ngram-candidates")
     rows = stored(first.filter("is_doc").select("doc_id", "n", "digest"), "ngram-rows")
     # Tables go with their last reader; the probes are the largest.
