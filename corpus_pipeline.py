@@ -50,13 +50,17 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join; of each linked group the document with the smallest id stays.
 
-    Rows that repeat an id are one document. Rows without an id cannot be named and stay.
+    Rows that repeat an id are one document; of these the row with the least hash of its columns stays.
+    Rows without an id cannot be named and stay.
     """
     groups = ngram_join.ngram_groups(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT)
     first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     docs = docs.select(*DOCUMENT_COLUMNS)
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.filter(F.col("doc_id").isNull()))
+    marked = docs.withColumn("mark", F.xxhash64(*DOCUMENT_COLUMNS))
+    marks = marked.select("doc_id", "mark").join(first, "doc_id").groupBy("doc_id").agg(F.min("mark").alias("mark"))
+    # Rows of one mark are equal.
+    kept = marked.join(marks, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*DOCUMENT_COLUMNS).union(docs.filter(F.col("doc_id").isNull()))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
