@@ -64,3 +64,14 @@ def test_query_takes_odd_rows(spark):
     assert found[9].n_unknown >= 1
     assert found[7].n_words == 30_000
     assert token_count_query(cases.frame(spark, [])).count() == 0
+
+
+def test_query_matches_greedy_search(spark):
+    """Words, tokens, unknown words and the longest word of each document, summed in plain Python."""
+    starts, inner = map(set, read_vocabulary(default_vocabulary_path()))
+    rows = [(k, cases.prose(k, 40 + k) + " Übergröße, 日本語 x1.5 \U0010fffd") for k in range(20)] + [(50, None), (51, " ")]
+    found = {r.doc_id: tuple(r)[1:] for r in token_count_query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc_id, text in rows:
+        counts = [greedy(w, starts, inner) for w in (text or "").split()]
+        tokens = [1 if n < 0 else n for n in counts]
+        assert found[doc_id] == (len(counts), sum(tokens), sum(n < 0 for n in counts), max(tokens, default=0))
