@@ -1,4 +1,7 @@
+import math
 import random
+import zlib
+from collections import Counter
 
 import cases
 import numpy as np
@@ -67,6 +70,51 @@ def test_model_is_the_same_however_rows_are_split(spark):
     assert (one.matrix == many.matrix).all()
 
 
+def plain_ngrams(text):
+    """Runs of letters with one space between, in n-grams of every order."""
+    runs = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    if not runs:
+        return []
+    spaced = f" {' '.join(runs)} "
+    return [spaced[i : i + k] for k in language.ORDERS for i in range(len(spaced) - k + 1)]
+
+
+def bucket(ngram):
+    points = np.array([ord(c) for c in ngram], np.uint32)
+    return int(buckets_of(points)[-1])
+
+
+def test_counts_and_posteriors_match_plain_python(spark, monkeypatch):
+    rows = corpus(150, 9) + [(900, "xyz 12 𰀀𰀁", "dd", "s", 1), (901, None, None, "s", 1), (902, "??", "aa", "s", 1)]
+    monkeypatch.setattr(language, "BATCH_LETTERS", 500)
+    found = {r.doc_id: r for r in language_query(spark.createDataFrame(rows, cases.SCHEMA)).collect()}
+    counts = {}
+    for doc_id, text, lang, *_ in rows:
+        if zlib.crc32(str(doc_id).encode()) % 3 != 1 and text and lang:
+            for g in plain_ngrams(text):
+                counts.setdefault(lang, Counter())[bucket(g)] += 1
+    total = {k: sum(c.values()) + language.SMOOTHING * language.BUCKETS for k, c in counts.items()}
+    for doc_id, text, *_ in rows:
+        grams = plain_ngrams(text or "")
+        if not grams:
+            assert (found[doc_id].lang_pred, found[doc_id].score) == (UNDETERMINED, 0.0)
+            continue
+        logs = {
+            k: sum(math.log((c[bucket(g)] + language.SMOOTHING) / total[k]) for g in grams) / len(language.ORDERS)
+            for k, c in counts.items()
+        }
+        best = max(sorted(logs), key=logs.get)
+        posterior = 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+        assert found[doc_id].lang_pred == best
+        assert abs(found[doc_id].score - posterior) < 1e-4
+
+
+def test_letters_beyond_the_basic_planes():
+    for letter in "𰀀𲎯日é":
+        assert language.has_letters(letters_of(letter))
+    assert not language.has_letters(letters_of("􏿿😀"))
+
+
 def test_letters():
     assert "".join(map(chr, letters_of("Ab, cd--É 12"))) == " ab cd é "
     assert not language.has_letters(letters_of("12 ?! \n"))

@@ -8,7 +8,7 @@ import corpus_pipeline
 import oracle
 import pytest
 from test_line_templates import brute as brute_lines
-from test_ngram_join import brute as brute_groups
+from test_near_copies import brute as brute_kept
 
 import __spark_entry__ as registry
 from tillpanel.llm import language, packing, toxicity
@@ -39,27 +39,17 @@ def plain_pipeline(spark, tables_dir):
     labels = spark.read.parquet(f"{tables_dir}/labels.parquet")
     model = language.train(docs)
     rows = [(r.doc_id, r.text, r) for r in docs.collect()]
-    scored = [(row, model.predict(row[1])) for row in rows]
+    scored = list(zip(rows, model.predict([row[1] for row in rows]), strict=True))
     rows = [row for row, (lang, score) in scored if lang != "und" and score >= 0.5]
 
     kept = spark.createDataFrame([r for _, _, r in rows], docs.schema)
     toxic = toxicity.train(kept, labels)
     cache = toxicity._Cache(toxic.token_score)
-
-    def toxic_score(text):
-        n, segments = toxicity._scan(toxic, cache, text)
-        import numpy as np
-
-        return toxic.probability(toxic.pooled(np.array([s for _, _, s in segments]), n))
-
-    rows = [(d, t) for d, t, _ in rows if toxic_score(t) < 0.5]
-    cleaned = [(d, t, brute_lines(rows)[d, t]) for d, t in rows] if len(rows) < 5 else None
-    if cleaned is None:
-        lines = brute_lines(rows)
-        cleaned = [(d, t, lines[d, t]) for d, t in rows]
-    rows = [(d, new) for d, old, new in cleaned if new == old or new.split()]
-    least = {d: c for d, _, c in brute_groups(rows)}
-    rows = [(d, t) for d, t in rows if least[d] == d]
+    rows = [(d, t) for d, t, _ in rows if toxic.probability(toxicity._judged(toxic, cache, t)[2]) < 0.5]
+    lines = brute_lines(rows)
+    rows = [(d, lines[d, t]) for d, t in rows if lines[d, t] == t or lines[d, t].split()]
+    kept = set(brute_kept(rows, 5, 80))
+    rows = [(d, t) for d, t in rows if d in kept]
     encode = packing.ChunkIds(packing.default_tokenizer_path())
     pieces = set()
     for (d, _), ids in zip(rows, encode([t for _, t in rows]), strict=True):

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 
 import cases
@@ -102,3 +103,49 @@ def test_without_both_classes_nothing_is_toxic(spark):
     marked = spark.createDataFrame([(i, q, 0) for i, q, _ in labels], LABELS)
     found = toxicity_query(spark.createDataFrame(rows, cases.SCHEMA), marked).collect()
     assert {r.predicted for r in found} == {0}
+
+
+def plain_score(model, text):
+    """The score of a text from the definitions: all segments by search, each word counted once, in plain Python."""
+    words = (text or "").lower().split()
+    scores = [max((float(model.log_odds[b]) for b in toxicity.features(w)), key=abs, default=0.0) - toxicity.DRIFT
+              for w in words]
+    seen, kept = set(), []
+    for a, b, _ in sorted(brute_segments(scores), key=lambda s: (-s[2], s[0])):
+        total = 0.0
+        for w, s in zip(words[a:b], scores[a:b], strict=True):
+            total += -toxicity.DRIFT if w in seen else s
+            seen.add(w)
+        if total > 0:
+            kept.append(model.rate * total - model.log_k - math.log(max(1, len(words))))
+    best = sorted((k for k in kept if k > 0), reverse=True)
+    # Evidence of the r best together: their sum, less what is expected of r segments by chance.
+    evidence = [
+        sum(best[:r]) + math.log(math.factorial(r)) + math.log(math.factorial(r - 1)) - (r - 1) * math.log(sum(best[:r]))
+        for r in range(1, len(best) + 1)
+    ]
+    pooled = math.log1p(max([0.0, *evidence]))
+    return 1 / (1 + math.exp(-min(50, max(-50, model.slope * pooled + model.intercept))))
+
+
+def test_scores_match_plain_python(spark):
+    rows, labels = corpus(400)
+    docs = spark.createDataFrame(rows, cases.SCHEMA)
+    model = train(docs, spark.createDataFrame(labels, LABELS))
+    some = [r for r in rows if len(r[1].split()) <= 40][:60]
+    found = {r.doc_id: r.score for r in score(spark.createDataFrame(some, cases.SCHEMA), model).collect()}
+    expected = {r[0]: plain_score(model, r[1]) for r in some}
+    assert found.keys() == expected.keys() and len({round(s, 3) for s in expected.values()}) > 3
+    assert all(abs(found[k] - expected[k]) < 1e-6 for k in found)
+
+
+def test_training_takes_the_least_hashes(spark, monkeypatch):
+    """The bound on what is sorted leaves the rows of the sample as they are."""
+    rows, labels = corpus(900)
+    docs, marked = spark.createDataFrame(rows, cases.SCHEMA), spark.createDataFrame(labels, LABELS)
+    monkeypatch.setattr(toxicity, "TRAINING_ROWS", 200)
+    from pyspark.sql import functions as F
+
+    found = [r.doc_id for r in toxicity.training_rows(docs, marked).select("doc_id").collect()]
+    least = [r.doc_id for r in marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(200).collect()]
+    assert len(found) <= 200 and set(found) <= set(least) and len(found) >= 170

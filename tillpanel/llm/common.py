@@ -95,6 +95,8 @@ def in_batches(
                     yield made(columns)
         if finish:
             yield from (made(columns) for columns in getattr(work, finish)())
+        # Workers stay for the next task, which may need its memory elsewhere.
+        pa.default_memory_pool().release_unused()
 
     return frame.mapInArrow(run, schema)
 
@@ -109,9 +111,14 @@ def arrow_fields(schema: str) -> pa.Schema:
     return pa.schema([pa.field(n, kinds[k]) for n, k in (p.split() for p in schema.split(","))])
 
 
-def kept_columns(frame: DataFrame, keep: tuple[str, ...]) -> list:
-    """Columns that pass through ``in_batches`` beside others, under names of their own."""
-    return [F.col(name).alias(f"kept_{name}") for name in keep]
+def kept_columns(keep: tuple[str, ...], text_column: str) -> list:
+    """Columns that pass through ``in_batches`` beside others, under names of their own; the text goes once."""
+    return [F.col(name).alias(f"kept_{name}") for name in keep if name != text_column]
+
+
+def kept_values(columns: dict[str, list], keep: tuple[str, ...], text_column: str) -> dict[str, list]:
+    """What passed through, by its own names."""
+    return {name: columns["text" if name == text_column else f"kept_{name}"] for name in keep}
 
 
 def kept_schema(frame: DataFrame, keep: tuple[str, ...]) -> str:

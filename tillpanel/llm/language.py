@@ -4,7 +4,7 @@ Training counts hashed n-grams per language over every labelled text (no sample)
 its own counts, so one row per language, bucket and task is shuffled. The log-probability matrix has
 one row per language and ``BUCKETS`` columns whatever the corpus; it goes to the tasks as a
 broadcast variable. Languages are label values, limited to ``MAX_LANGUAGES``, more is an error. A
-text is scored as a sparse product of its bucket counts and the matrix.
+text is scored as a sparse product of its bucket counts and the matrix, many texts at a time.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0. With no labelled text
 at all every text is ``und``. Ties go to the first language in text order. Repeated rows each get
@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import id_bucket, in_batches, kept_columns, kept_schema
+from tillpanel.llm.common import id_bucket, in_batches, kept_columns, kept_schema, kept_values
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -26,6 +26,8 @@ SMOOTHING = 0.5
 UNDETERMINED = "und"
 #: Texts longer than this are hashed in pieces, so the arrays in memory stay small.
 PIECE = 1 << 16
+#: Letters of texts that are scored together.
+BATCH_LETTERS = 1 << 15
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(48)
@@ -41,7 +43,7 @@ def letters_of(text: str) -> np.ndarray:
 
 
 def _letter_table() -> np.ndarray:
-    return np.frombuffer(bytes(chr(c).isalpha() for c in range(0x30000)), np.bool_)
+    return np.frombuffer(bytes(chr(c).isalpha() for c in range(0x110000)), np.bool_)
 
 
 _LETTERS: list[np.ndarray] = []
@@ -50,8 +52,7 @@ _LETTERS: list[np.ndarray] = []
 def _is_letter(points: np.ndarray) -> np.ndarray:
     if not _LETTERS:
         _LETTERS.append(_letter_table())
-    known = _LETTERS[0]
-    return np.where(points < len(known), known[np.minimum(points, len(known) - 1)], False)
+    return _LETTERS[0][points]
 
 
 def has_letters(points: np.ndarray) -> bool:
@@ -116,19 +117,43 @@ class LanguageModel:
     def __init__(self, languages: list[str], matrix: np.ndarray):
         self.languages, self.matrix = languages, matrix
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        points = letters_of(text or "")
-        if not self.languages or not has_letters(points):
-            return UNDETERMINED, 0.0
-        if len(points) <= PIECE:
-            found, n = np.unique(buckets_of(points), return_counts=True)
-            scores = n @ self.matrix[found]
-        else:
-            scores = count_buckets(points) @ self.matrix
-        best = int(np.argmax(scores))
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and posterior of each text; texts of moderate length are scored together."""
+        found = [(UNDETERMINED, 0.0)] * len(texts)
+        held: list[tuple[int, np.ndarray]] = []
+        n_letters = 0
+        for i, text in enumerate(texts):
+            points = letters_of(text or "")
+            if not self.languages or not has_letters(points):
+                continue
+            if len(points) > PIECE:
+                found[i] = self._judged((count_buckets(points) @ self.matrix)[None])[0]
+                continue
+            held.append((i, points))
+            n_letters += len(points)
+            if n_letters > BATCH_LETTERS:
+                self._judge(held, found)
+                held, n_letters = [], 0
+        self._judge(held, found)
+        return found
+
+    def _judge(self, held, found) -> None:
+        """Bucket counts of the texts as one sparse matrix, times the log-probabilities."""
+        if not held:
+            return
+        buckets = [buckets_of(points) for _, points in held]
+        row = np.repeat(np.arange(len(held)), [len(b) for b in buckets])
+        cells, n = np.unique(row * BUCKETS + np.concatenate(buckets), return_counts=True)
+        starts = np.searchsorted(cells, np.arange(len(held)) * BUCKETS)
+        scores = np.add.reduceat(n[:, None] * self.matrix[cells % BUCKETS].astype(np.float64), starts, axis=0)
+        for (i, _), judged in zip(held, self._judged(scores), strict=True):
+            found[i] = judged
+
+    def _judged(self, scores: np.ndarray) -> list[tuple[str, float]]:
+        best = scores.argmax(axis=1)
         # Equal priors. Neighbouring n-grams share letters, so the evidence is spread over the orders.
-        odds = np.exp((scores - scores[best]) / len(ORDERS))
-        return self.languages[best], float(1.0 / odds.sum())
+        odds = np.exp((scores - scores.max(axis=1, keepdims=True)) / len(ORDERS))
+        return [(self.languages[k], float(s)) for k, s in zip(best, 1.0 / odds.sum(axis=1), strict=True)]
 
 
 def train(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -> LanguageModel:
@@ -157,17 +182,17 @@ def predict(
 
     def start():
         def work(columns):
-            found = [shared.value.predict(text) for text in columns["text"]]
+            found = shared.value.predict(columns["text"])
             return {
                 "doc_id": columns["doc_id"],
                 "lang_pred": [lang for lang, _ in found],
                 "score": [score for _, score in found],
-            } | {name: columns[f"kept_{name}"] for name in keep}
+            } | kept_values(columns, keep, text_column)
 
         return work
 
     slim = docs.select(
-        F.col("doc_id").cast("long"), F.col(text_column).alias("text"), *kept_columns(docs, keep)
+        F.col("doc_id").cast("long"), F.col(text_column).alias("text"), *kept_columns(keep, text_column)
     )
     return in_batches(
         slim, "doc_id long, lang_pred string, score double" + kept_schema(docs, keep), start

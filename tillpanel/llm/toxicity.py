@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import id_bucket, in_batches, kept_columns, kept_schema, stored
+from tillpanel.llm.common import id_bucket, in_batches, kept_columns, kept_schema, kept_values, stored
 
 BUCKETS = 1 << 18
 STEMS = (4, 5, 6)
@@ -186,9 +186,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Texts of at most ``TRAINING_ROWS`` labelled ids; ``apart`` marks the rows for calibration."""
-    chosen = (
+    labelled = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    )
+    # The share of the hash range that holds the least hashes with a margin: not much more than
+    # TRAINING_ROWS rows go on to be sorted, however many there are.
+    share = min(1.0, 1.05 * TRAINING_ROWS / max(1, labelled.count()))
+    last = min(2**63 - 1, int(share * 2**64) - 2**63)
+    chosen = (
+        labelled.filter(F.xxhash64("doc_id") <= F.lit(last))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS)
         .withColumn("apart", F.xxhash64(F.lit("apart"), "doc_id") % 3 == 0)
     )
@@ -315,13 +322,13 @@ def score(
                 "passage_starts": [[a for a, _, _ in told] for _, told in found],
                 "passage_ends": [[b for _, b, _ in told] for _, told in found],
                 "passage_e_values": [[e for _, _, e in told] for _, told in found],
-            } | {name: columns[f"kept_{name}"] for name in keep}
+            } | kept_values(columns, keep, text_column)
 
         return work
 
     return in_batches(
         docs.select(
-            F.col("doc_id").cast("long"), F.col(text_column).alias("text"), *kept_columns(docs, keep)
+            F.col("doc_id").cast("long"), F.col(text_column).alias("text"), *kept_columns(keep, text_column)
         ),
         "doc_id long, score double, passage_starts array<int>, passage_ends array<int>, "
         "passage_e_values array<double>" + kept_schema(docs, keep),
