@@ -89,3 +89,11 @@ def test_days_nobody_counted_and_undated_lines_are_kept(spark, small_files):
     undated = rows.limit(3).withColumn("invoice_date", F.lit(None).cast("timestamp_ntz"))
     assert clustered_by_date(rows.union(undated), some).count() == 303
     assert clustered_by_date(rows.filter("false"), {}).count() == 0
+
+
+def test_a_file_of_a_large_table_is_sorted_in_a_bounded_task(spark):
+    """However few partitions the session has: 40 million lines on 200 days, or on one."""
+    rows, _ = silver(spark, 1, 10)
+    spread = {JANUARY + timedelta(days=k): 200_000 for k in range(200)}
+    for by_day in (spread, {JANUARY: 40_000_000}):
+        assert clustered_by_date(rows, by_day).rdd.getNumPartitions() >= 40

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DAY_COLUMN = "invoice_day"
-#: Lines of a file on large and on small tables.
-MOST_LINES, LEAST_LINES = 4_000_000, 20_000
+#: Lines of a file on large and on small tables. A file's lines are sorted by one task, some 250 bytes a line.
+MOST_LINES, LEAST_LINES = 1_000_000, 20_000
 
 
 def dealt_days(lines_by_day: dict[date | None, int], lines_per_file: int) -> list[tuple[date | None, int, int]]:
