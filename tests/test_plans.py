@@ -8,9 +8,10 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from tillpanel.operators.contracts import customer_360_contract, silver_contract, violations
-from tillpanel.operators.dedup import drop_overlap_copies
+from tillpanel.operators.dedup import drop_overlap_copies, flag_overlap_copies
 from tillpanel.operators.panel import customer_panel
 from tillpanel.operators.profile import column_profile
+from tillpanel.operators.silver import clustered_silver
 from tillpanel.operators.snapshot import customer_360, history_before
 from tillpanel.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from tillpanel.sources import retail_tables
@@ -121,3 +122,21 @@ def test_no_python_and_no_cartesian_product(stored):
         violations(silver, silver_contract()),
     ):
         assert not re.search(r"Python|Arrow|Cartesian|NestedLoop", plan(frame))
+
+
+def test_joins_of_many_lines_have_partitions_for_them(spark, no_size_broadcasts, monkeypatch):
+    """Also where the session has fewer: no task sorts more than its share, and the rows are the same."""
+    few = retail_tables.raw_lines(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(retail_tables, "JOINED_LINES", 500)
+    many = retail_tables.raw_lines(spark, "/root/testdata/sf0.001")
+    parts = -(-spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count() // 500)
+    for key in ("l_orderkey", "l_partkey"):
+        assert re.search(rf"hashpartitioning\({key}#\d+L?, {parts}\)", plan(many))
+    assert many.exceptAll(few).isEmpty() and many.count() == few.count()
+
+
+def test_silver_derives_its_columns_behind_the_shuffle(stored):
+    text = plan(clustered_silver(flag_overlap_copies(stored["bronze"]), {date(2010, 1, 1): 5}))
+    behind = text[: text.index("Exchange")]
+    assert "line_revenue" in behind and "RLIKE" in behind.upper()
+    assert "line_revenue" not in text[text.index("Exchange") :]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillpanel.functions.money import exact_sum, money, money_sum
 from tillpanel.operators.dedup import OVERLAP_FLAG, flag_overlap_copies
 from tillpanel.schemas import PRODUCT_CODE_PATTERN, SILVER_SCHEMA
+from tillpanel.storage.layout import DAY_COLUMN, clustered_by_date
 
 
 def line_revenue() -> Column:
@@ -39,12 +42,24 @@ def with_derived_columns(
     )
 
 
+def cleaned_lines(flagged: DataFrame) -> DataFrame:
+    """The lines of silver, without its derived columns: overlap dropped first, then anonymous lines."""
+    return drop_anonymous(flagged.filter(~F.col(OVERLAP_FLAG))).drop(OVERLAP_FLAG)
+
+
 def silver_of_flagged(
     flagged: DataFrame, product_code_pattern: str = PRODUCT_CODE_PATTERN
 ) -> DataFrame:
-    """The silver table: overlap dropped first, then anonymous lines, then columns derived."""
-    cleaned = drop_anonymous(flagged.filter(~F.col(OVERLAP_FLAG)))
-    return with_derived_columns(cleaned, product_code_pattern).select(SILVER_SCHEMA.fieldNames())
+    """The silver table: lines dropped first, then columns derived."""
+    return with_derived_columns(cleaned_lines(flagged), product_code_pattern).select(SILVER_SCHEMA.fieldNames())
+
+
+def clustered_silver(
+    flagged: DataFrame, lines_by_day: dict[date | None, int], product_code_pattern: str = PRODUCT_CODE_PATTERN
+) -> DataFrame:
+    """Silver and the day of its rows, laid out by date; columns are derived behind the shuffle."""
+    placed = clustered_by_date(cleaned_lines(flagged), lines_by_day)
+    return with_derived_columns(placed, product_code_pattern).select(*SILVER_SCHEMA.fieldNames(), DAY_COLUMN)
 
 
 def silver_lines(bronze: DataFrame, product_code_pattern: str = PRODUCT_CODE_PATTERN) -> DataFrame:

@@ -27,7 +27,7 @@ from tillpanel.schemas import (
     SILVER_TABLE,
 )
 from tillpanel.sources import batches, retail_tables
-from tillpanel.storage.layout import clustered_by_date, dated
+from tillpanel.storage.layout import dated
 from tillpanel.storage.shared import new_folder, remove_folder
 from tillpanel.storage.warehouse import Warehouse
 
@@ -116,8 +116,14 @@ def retail_silver(bronze: DataFrame) -> DataFrame:
 
 def clustered_silver(bronze: DataFrame) -> DataFrame:
     """Silver as a build lays it out."""
+    # One number per calendar day and batch.
     days = dedup.batch_days(bronze).collect()
-    return clustered_by_date(retail_silver(bronze), builds.lines_by_day(days))
+    by_day = bronze.sparkSession.createDataFrame(days, "day date, source_sheet string, lines bigint")
+    return silver.clustered_silver(
+        dedup.flag_overlap_copies(bronze, by_day),
+        builds.lines_by_day(days),
+        retail_tables.RETAIL_PRODUCT_CODE_PATTERN,
+    )
 
 
 def retail_bronze_contract() -> contracts.Contract:

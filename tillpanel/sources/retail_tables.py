@@ -30,6 +30,20 @@ RETAIL_CUSTOMER_ID_PATTERN = r"^[0-9]{5,}\z"
 RETAIL_PRODUCT_CODE_PATTERN = r"^[0-9]{5,}[A-Za-z]*\z"
 
 
+#: Lines that one task sorts for a join; more lines take more tasks than the session's number of partitions.
+JOINED_LINES = 1_000_000
+
+
+def _join_parts(lineitem: DataFrame) -> int | None:
+    """Partitions of the joins with ``lineitem``, where the session's own number is too small for its rows.
+
+    The rows are counted from the footers of the files.
+    """
+    parts = -(-lineitem.count() // JOINED_LINES)
+    own = int(lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return parts if parts > own else None
+
+
 def _padded(number: Column, width: int) -> Column:
     """``number`` as text with at least ``width`` digits; ``lpad`` alone would cut longer numbers."""
     text = number.cast("string")
@@ -39,20 +53,26 @@ def _padded(number: Column, width: int) -> Column:
 def raw_lines(spark: SparkSession, tables_dir: str) -> DataFrame:
     """Every order line once, in the raw source columns plus its order key."""
     read = lambda name: spark.read.parquet(f"{tables_dir}/{name}.parquet")
+    lineitem = read("lineitem")
+    parts = _join_parts(lineitem)
+
+    def dealt(table: DataFrame, key: str) -> DataFrame:
+        # The smaller side of a join; the lines follow it, unless it is small enough to be broadcast.
+        return table.repartition(parts, key) if parts else table
+
     nation = read("nation").select("n_nationkey", "n_name").alias("n")
     buyer_nation = (F.col("c_nationkey") + F.col("o_orderkey") % 3) % 25
     # Orders meet their customer before the lines come in; the lines are then shuffled by order and
     # by part only.
     buyers = (
         read("orders")
-        .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(dealt(read("customer"), "c_custkey"), F.col("o_custkey") == F.col("c_custkey"))
         # One row per nation, 25 at every scale.
         .join(F.broadcast(nation), F.col("n_nationkey") == buyer_nation)
     )
     lines = (
-        read("lineitem")
-        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
+        lineitem.join(dealt(buyers, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(dealt(read("part"), "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
     )
     returned = F.col("l_returnflag") == "R"
     part_key = F.col("l_partkey")
