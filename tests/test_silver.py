@@ -200,3 +200,30 @@ def test_an_empty_bronze_gives_an_empty_silver(loaded, bronze_frame):
     accounting, _ = build_silver(loaded)
     assert set(accounting.first()) == {0}
     assert loaded.table(SILVER_TABLE).count() == 0
+
+
+def test_a_rejected_build_writes_nothing(loaded, bronze_frame, monkeypatch):
+    build_silver(loaded)
+    ingest_bronze(loaded, bronze_frame([*ROWS, line("C500060", "60007", 2, NEW_YEAR, 1.5, "20001", SHEET_2)]))
+    monkeypatch.setattr(loaded, "stage", lambda *a: pytest.fail("written before it was audited"))
+    with pytest.raises(ContractViolation) as raised:
+        build_silver(loaded)
+    assert raised.value.violations == [("<row>", "goods come back on cancellations and only there", 1)]
+
+
+def test_lines_that_do_not_go_into_silver_break_none_of_its_rules(loaded, bronze_frame):
+    anonymous = line("X1", "60007", 0, NEW_YEAR, -1.5, None, SHEET_1)
+    ingest_bronze(loaded, bronze_frame([*ROWS, anonymous, (*anonymous[:8], SHEET_2)]))
+    accounting, _ = build_silver(loaded)
+    assert accounting.first().silver_rows == ACCOUNT["silver_rows"]
+
+
+def test_build_queries_read_no_silver_but_their_own(spark, monkeypatch):
+    from tillpanel.plans import retail
+
+    monkeypatch.setattr(retail.RetailLayers, "silver", lambda self: pytest.fail("derived beside the build"))
+    queries = retail.retail_queries()
+    built = queries["silver_build_accounting"](spark, "/root/testdata/sf0.001").first()
+    left = queries["silver_after_rejected_build"](spark, "/root/testdata/sf0.001")
+    assert left.count() == built.published_rows == built.silver_rows > 0
+    assert left.filter("violated_rules > 0").count() == built.silver_rows

@@ -209,16 +209,18 @@ def _is_coerced(frame: DataFrame, rule: ColumnRule) -> bool:
     return frame.schema[rule.name].dataType != rule.dtype
 
 
-def coerce(frame: DataFrame, contract: Contract) -> DataFrame:
-    """The contract's columns in its types; what cannot be cast turns null (and is a violation)."""
-    return frame.select(
-        [
-            F.col(rule.name).try_cast(rule.dtype).alias(rule.name)
-            if _is_coerced(frame, rule)
-            else F.col(rule.name)
-            for rule in contract.columns
-        ]
-    )
+def coerce(frame: DataFrame, contract: Contract, beside: tuple[str, ...] = ()) -> DataFrame:
+    """The contract's columns in its types; what cannot be cast turns null (and is a violation).
+
+    Columns ``beside`` the contract's stay as they are.
+    """
+    typed = [
+        F.col(rule.name).try_cast(rule.dtype).alias(rule.name)
+        if _is_coerced(frame, rule)
+        else F.col(rule.name)
+        for rule in contract.columns
+    ]
+    return frame.select(*typed, *beside)
 
 
 def _original(rule: ColumnRule) -> str:
@@ -340,6 +342,59 @@ def enforce(frame: DataFrame, contract: Contract) -> DataFrame:
     return coerce(frame, contract)
 
 
+def _unmatched(columns: Iterable[str], contract: Contract) -> None:
+    if differing := schema_differences(columns, contract):
+        _rejected(contract, [(column, problem, None) for column, problem in differing])
+
+
+def _repeated(written: DataFrame, contract: Contract) -> list[tuple[str, str, int]]:
+    """Violated uniqueness rules; reads the key columns of ``written``, if there are any."""
+    unique = tuple(replace(r, nullable=True, checks=()) for r in contract.columns if r.unique_with is not None)
+    if not unique:
+        return []
+    found = violations(written, replace(contract, columns=unique, rows=())).filter("failing_rows > 0")
+    return [(row.column_name, row.check_name, row.failing_rows) for row in found.collect()]
+
+
+class ReadingAudit:
+    """A contract whose rules are counted by an aggregate of the caller's, before a frame is written.
+
+    ``marked`` gives the frame with a mark per rule and row, ``counts`` the aggregates over the marks, and
+    ``settle`` raises if one of them is not zero. Only uniqueness reads the written table.
+    """
+
+    def __init__(self, contract: Contract, prefix: str):
+        self.contract, self._prefix = contract, prefix
+        self._rules: list[tuple[str, str]] = []
+
+    @property
+    def _marks(self) -> list[str]:
+        return [f"{self._prefix}_{i}" for i in range(len(self._rules))]
+
+    def marked(self, frame: DataFrame, beside: tuple[str, ...] = ()) -> DataFrame:
+        """``frame`` in the contract's types, with marks; columns ``beside`` the contract's stay as they are."""
+        _unmatched([c for c in frame.columns if c not in beside], self.contract)
+        rules = _counted_rules(frame, self.contract)
+        self._rules = [(column, check) for column, check, _ in rules]
+        failing = [condition.alias(mark) for mark, (_, _, condition) in zip(self._marks, rules, strict=True)]
+        kept = [*[rule.name for rule in self.contract.columns], *beside]
+        return _with_originals(frame, self.contract).select(*kept, *failing)
+
+    @property
+    def beside(self) -> tuple[str, ...]:
+        """The columns of the marks."""
+        return tuple(self._marks)
+
+    def counts(self, among: Column | None = None) -> list[Column]:
+        """Failing rows of each rule, of those that meet ``among``."""
+        return [F.count_if(F.col(m) if among is None else among & F.col(m)).alias(m) for m in self._marks]
+
+    def settle(self, counted: dict[str, int], written: DataFrame | None = None) -> None:
+        """Raise if a rule was violated by what ``counts`` gave, or a uniqueness rule by ``written``."""
+        failed = [(*rule, counted[m]) for m, rule in zip(self._marks, self._rules, strict=True) if counted.get(m)]
+        _rejected(self.contract, failed + (_repeated(written, self.contract) if written is not None else []))
+
+
 class WritingAudit:
     """A contract whose rules are counted while a frame is written, without a read of their own.
 
@@ -357,8 +412,7 @@ class WritingAudit:
     def watched(self, frame: DataFrame, beside: tuple[str, ...] = ()) -> DataFrame:
         """``frame`` in the contract's types; columns ``beside`` the contract's stay as they are."""
         own = [c for c in frame.columns if c not in beside]
-        if differing := schema_differences(own, self.contract):
-            _rejected(self.contract, [(column, problem, None) for column, problem in differing])
+        _unmatched(own, self.contract)
         prepared = _with_originals(frame, self.contract)
         rules = _counted_rules(frame, self.contract)
         self._rules = [(column, check) for column, check, _ in rules]
@@ -382,14 +436,7 @@ class WritingAudit:
             return
         counted = self._counted.get
         failed = [(*rule, counted[f"rule_{i}"]) for i, rule in enumerate(self._rules) if counted[f"rule_{i}"]]
-        unique = tuple(replace(r, nullable=True, checks=()) for r in self.contract.columns if r.unique_with is not None)
-        if unique:
-            keys = replace(self.contract, columns=unique, rows=())
-            failed += [
-                (row.column_name, row.check_name, row.failing_rows)
-                for row in violations(written, keys).filter("failing_rows > 0").collect()
-            ]
-        _rejected(self.contract, failed)
+        _rejected(self.contract, failed + _repeated(written, self.contract))
 
 
 def describe(contract: Contract) -> list[tuple[str, str, bool | None, str]]:

@@ -7,14 +7,16 @@ from collections.abc import Iterable, Mapping
 from datetime import date, datetime
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tillpanel.functions.cutoffs import cutoff_date
 from tillpanel.operators.contracts import (
     Contract,
+    ReadingAudit,
     WritingAudit,
     bronze_contract,
+    coerce,
     customer_360_contract,
     silver_contract,
 )
@@ -23,10 +25,11 @@ from tillpanel.operators.panel import customer_panel
 from tillpanel.operators.profile import data_dictionary
 from tillpanel.operators.silver import (
     accounting_columns,
+    clustered_silver,
     non_product_codes,
     row_accounting,
-    silver_of_flagged,
     silver_summary,
+    with_derived_columns,
 )
 from tillpanel.operators.snapshot import customer_360, snapshot_profile, snapshot_slice
 from tillpanel.schemas import (
@@ -41,11 +44,14 @@ from tillpanel.schemas import (
     TRAILING_WINDOW_DAYS,
 )
 from tillpanel.sources.batches import read_batches, refusal, rejected_lines
-from tillpanel.storage.layout import clustered_by_date
+from tillpanel.storage.layout import DAY_COLUMN
 from tillpanel.storage.warehouse import Warehouse
 
 logger = logging.getLogger(__name__)
 
+#: Beside audited lines: whether they go into silver.
+KEPT_FLAG = "is_kept"
+
 ACCOUNTING = (
     "bronze_rows",
     "duplicate_rows_dropped",
@@ -113,31 +119,38 @@ def build_silver(
 ) -> tuple[DataFrame, str | None]:
     """Replace silver from bronze; a violated contract raises and leaves silver as it was.
 
-    Gives the row accounting, one row, and the export. Rows are counted and both contracts audited while
-    silver is written: the overlap is looked for once, bronze is not read for its contract, and the staged
-    silver is not read at all.
+    Gives the row accounting, one row, and the export. Rows are counted and both contracts audited in one
+    aggregate before anything is written, so a rejected build sorts and writes no lines; the staged silver is
+    not read for its rules.
     """
     bronze = warehouse.table(BRONZE_TABLE)
-    entry = WritingAudit(input_contract or bronze_contract())
-    audit = WritingAudit(output_contract or silver_contract())
-    counted = Observation("silver rows")
+    entry = ReadingAudit(input_contract or bronze_contract(), "bronze_rule")
+    audit = ReadingAudit(output_contract or silver_contract(), "silver_rule")
 
     # One number per calendar day and batch: which days overlap, and which go to which file.
     days = batch_days(bronze).collect()
     by_day = warehouse.spark.createDataFrame(days, "day date, source_sheet string, lines bigint")
-    flagged = entry.watched(flag_overlap_copies(bronze, by_day), beside=(OVERLAP_FLAG,))
-    lines = audit.watched(
-        silver_of_flagged(flagged.observe(counted, *accounting_columns()), product_code_pattern)
-    )
-    staged_path = warehouse.stage(clustered_by_date(lines, lines_by_day(days)), SILVER_TABLE)
+    flagged = flag_overlap_copies(bronze, by_day)
+
+    marked = entry.marked(flagged, beside=(OVERLAP_FLAG,))
+    beside = (OVERLAP_FLAG, *entry.beside)
+    derived = with_derived_columns(marked, product_code_pattern).select(*SILVER_SCHEMA.fieldNames(), *beside)
+    kept = ~F.col(OVERLAP_FLAG) & F.col("customer_id").isNotNull()
+    marked = audit.marked(derived.withColumn(KEPT_FLAG, kept), beside=(*beside, KEPT_FLAG))
+    stays = F.col(KEPT_FLAG)
+    counted = marked.agg(*accounting_columns(), *entry.counts(), *audit.counts(stays)).first().asDict()
+    rows = {name: counted[name] for name in ACCOUNTING}
+    entry.settle(counted, bronze)
+    audit.settle(counted)
+
+    lines = coerce(flagged, entry.contract, beside=(OVERLAP_FLAG,))
+    silver = clustered_silver(lines, lines_by_day(days), product_code_pattern)
+    staged_path = warehouse.stage(coerce(silver, audit.contract, beside=(DAY_COLUMN,)), SILVER_TABLE)
     staged = warehouse.read_staged(staged_path, SILVER_SCHEMA)
-
-    entry.settle(bronze)
-    audit.settle(staged)
-    rows = {name: counted.get[name] for name in ACCOUNTING}
-    if rows["bronze_rows"] != bronze.count():
-        # Counted twice in part, after an executor was lost.
-        rows = row_accounting(bronze).first().asDict()
+    # From the footers of the files.
+    if (written := staged.count()) != rows["silver_rows"]:
+        raise RuntimeError(f"{written} lines of silver were written, {rows['silver_rows']} audited")
+    audit.settle(counted, staged)
 
     warehouse.publish(staged_path, SILVER_TABLE, SILVER_SCHEMA)
     logger.info("%s: %s", SILVER_TABLE, rows)

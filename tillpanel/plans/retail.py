@@ -215,7 +215,7 @@ def _in_warehouse(
 ) -> DataFrame:
     """The result of ``work`` in a warehouse of its own, which is gone afterwards."""
     stored = layers(spark, tables_dir)
-    stored.silver()
+    stored.bronze()
     folder = new_folder(spark, "warehouse")
     warehouse = Warehouse(spark, folder, prefix=f"tillpanel_{uuid.uuid4().hex[:12]}_")
     try:
@@ -253,6 +253,7 @@ def _inventory(warehouse: Warehouse, stored: RetailLayers) -> DataFrame:
 
 def _slice_read(warehouse: Warehouse, stored: RetailLayers) -> DataFrame:
     """One cutoff of a panel that a backfill and a later build have left."""
+    stored.silver()
     warehouse.publish(stored.path("silver"), SILVER_TABLE, SILVER_SCHEMA)
     contract = retail_customer_360_contract()
     builds.backfill_customer_360(warehouse, (EARLY, MIDDLE), contract=contract)
