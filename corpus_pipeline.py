@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillpanel.llm import language, line_templates, ngram_join, packing, toxicity
 from tillpanel.llm.common import DOCUMENT_COLUMNS, stored, table
+from tillpanel.operators.membership import told_apart
 
 #: Least posterior of a text's language; texts without letters have none.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -54,13 +55,24 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows without an id cannot be named and stay.
     """
     groups = ngram_join.ngram_groups(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    is_first = F.col("doc_id") == F.col("component_id")
+    ids = stored(
+        groups.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
+        .agg(F.max(is_first).alias("is_first"), F.count("*").alias("n_rows")),
+        "group-ids",
+    )
     docs = docs.select(*DOCUMENT_COLUMNS)
-    marked = docs.withColumn("mark", F.xxhash64(*DOCUMENT_COLUMNS))
+    # Most documents are alone in their group and of an id of their own; their texts are not shuffled.
+    affected = ids.filter("n_rows > 1 OR NOT is_first")
+    unsure, alone = told_apart(
+        docs.filter(F.col("doc_id").isNotNull()), F.col("doc_id").cast("long"), affected, F.col("doc_id")
+    )
+    first = ids.filter("is_first").select("doc_id")
+    marked = unsure.withColumn("mark", F.xxhash64(*DOCUMENT_COLUMNS))
     marks = marked.select("doc_id", "mark").join(first, "doc_id").groupBy("doc_id").agg(F.min("mark").alias("mark"))
-    # Rows of one mark are equal.
-    kept = marked.join(marks, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*DOCUMENT_COLUMNS).union(docs.filter(F.col("doc_id").isNull()))
+    # Rows of one mark are equal, and an id has one mark: what the join has brought together stays there.
+    kept = marked.join(marks, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
+    return alone.union(kept.select(*DOCUMENT_COLUMNS)).union(docs.filter(F.col("doc_id").isNull()))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import cases
 import pytest
@@ -108,6 +109,14 @@ def test_variable_fields(spark):
     assert found == {1: rows[0][1], 2: "mine two", 3: rows[2][1], 4: "mine four", 5: rows[4][1]}
 
 
+def test_tables_of_lines_go_before_the_result_is_used(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "tillpanel"
+    before = set(folder.glob("*"))
+    found = line_query(spark.createDataFrame([(1, "a b\nc"), (2, "a b\nd")], "doc_id long, text string"))
+    assert [p.name.rpartition("-")[0] for p in set(folder.glob("*")) - before] == ["dropped-lines"]
+    assert sorted((r.doc_id, r.text) for r in found.collect()) == [(1, "a b\nc"), (2, "d")]
+
+
 def test_odd_rows(spark):
     cleaned = drop_recurring_lines(cases.frame(spark))
     assert set(cleaned.columns) == set(cases.frame(spark).columns)

@@ -37,6 +37,29 @@ def kept(spark, rows):
     return sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect())
 
 
+def test_texts_are_shuffled_once_and_lone_ones_not_at_all(spark):
+    rows = [*((i, cases.prose(i, 60)) for i in range(30)), (40, cases.prose(3, 60)), (5, cases.prose(99, 60))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], cases.SCHEMA)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = corpus_pipeline.one_of_each_group(spark, docs, "")
+        plan = found._jdf.queryExecution().executedPlan()
+        assert sorted(r.doc_id for r in found.collect()) == list(range(30))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+    def shuffles(node):
+        """Of each shuffle whose rows hold the text."""
+        children = [node.children().apply(k) for k in range(node.children().size())]
+        own = node.nodeName() == "Exchange" and "text#" in node.output().toString()
+        return own + sum(map(shuffles, children))
+
+    while plan.nodeName() != "Union":
+        plan = plan.children().head()
+    assert shuffles(plan) == 1
+    assert shuffles(plan.children().head()) == 0
+
+
 def test_two_changed_words_in_a_hundred_make_a_near_copy(spark):
     words = [f"w{'x' * i}" for i in range(100)]
     other = [{30: "one", 70: "two"}.get(i, w) for i, w in enumerate(words)]

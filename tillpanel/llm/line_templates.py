@@ -88,8 +88,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _general(lines: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(h1, h2, first): the least id over the general template of a line, where it has one."""
+def _general(lines: DataFrame, distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(h1, h2, first): the least id over the general template of a line, where it has one.
+
+    Also the stored table that the result reads.
+    """
     leaves = (
         distinct.filter(F.col("leaf").isNotNull()).groupBy("leaf").agg(F.count("*").alias("leaf_lines"))
         .filter("leaf_lines > 1")
@@ -143,11 +146,16 @@ def _general(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     named = stored(templates.select("leaf", "t1", "t2", "h1", "h2", "first"), "line-templates")
     first = named.groupBy("leaf", "t1", "t2").agg(F.min("first").alias("first"))
     discard(cells)
-    return named.drop("first").join(first, ["leaf", "t1", "t2"]).select("h1", "h2", "first")
+    return named.drop("first").join(first, ["leaf", "t1", "t2"]).select("h1", "h2", "first"), named
 
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, line_no, dropped) of every line that is not blank."""
+    return _recurring_lines(docs)[0]
+
+
+def _recurring_lines(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The recurring lines, and the stored tables that they are read from."""
     lines = stored(_lines(docs), "lines")
     distinct = stored(
         lines.groupBy("h1", "h2").agg(
@@ -155,14 +163,16 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
         ),
         "distinct-lines",
     )
-    general = _general(lines, distinct).withColumnRenamed("first", "general_first")
+    general, named = _general(lines, distinct)
+    general = general.withColumnRenamed("first", "general_first")
     firsts = distinct.select("h1", "h2", "first").join(general, ["h1", "h2"], "left").select(
         "h1", "h2", F.least("first", "general_first").alias("first")
     )
     later = F.coalesce(F.col("doc_id") > F.col("first"), F.col("first").isNotNull())
-    return lines.select("doc_id", "text_hash", "line_no", "h1", "h2").join(firsts, ["h1", "h2"]).select(
+    found = lines.select("doc_id", "text_hash", "line_no", "h1", "h2").join(firsts, ["h1", "h2"]).select(
         "doc_id", "text_hash", "line_no", later.alias("dropped")
     )
+    return found, [lines, distinct, named]
 
 
 def drop_recurring_lines(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -171,12 +181,15 @@ def drop_recurring_lines(docs: DataFrame, text_column: str = "text") -> DataFram
     Every other column is kept; an input column of that name is replaced.
     """
     slim = docs.select(F.col("doc_id").cast("long"), F.col(text_column).alias("text"))
-    lines = recurring_lines(slim)
-    touched = (
+    lines, read = _recurring_lines(slim)
+    # Only line numbers are kept on disk beside the texts; the tables of lines go before those are shuffled.
+    touched = stored(
         lines.filter("dropped")
         .groupBy(F.col("doc_id").alias("line_doc"), F.col("text_hash").alias("line_text"))
-        .agg(F.sort_array(F.collect_set("line_no")).alias("drops"))
+        .agg(F.sort_array(F.collect_set("line_no")).alias("drops")),
+        "dropped-lines",
     )
+    discard(*read)
     # By frame, so that columns of these names in the input do no harm.
     text, drops = docs[text_column], touched["drops"]
     joined = docs.drop("n_dropped_lines").join(

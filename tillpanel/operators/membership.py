@@ -16,6 +16,13 @@ WORDS = 1 << 18
 
 def possible_members(frame: DataFrame, key: Column, members: DataFrame, member_key: Column) -> DataFrame:
     """The rows of ``frame`` whose ``key`` may be a ``member_key`` of ``members``; null is a key too."""
+    return told_apart(frame, key, members, member_key)[0]
+
+
+def told_apart(
+    frame: DataFrame, key: Column, members: DataFrame, member_key: Column
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``frame`` that ``possible_members`` gives, and all others; a null key is among one of them."""
 
     def place(column: Column) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(WORDS * 64))
@@ -28,10 +35,11 @@ def possible_members(frame: DataFrame, key: Column, members: DataFrame, member_k
         .agg(F.bit_or(bit).alias("member_bits"))
     )
     # As a struct, so that columns of these names in the input do no harm.
-    return (
+    looked_up = (
         frame.select(F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias("key_row"), place(key).alias("key_place"))
         # At most WORDS rows.
-        .join(F.broadcast(bitmap), F.floor(F.col("key_place") / 64) == F.col("member_word"))
-        .filter(F.expr("shiftrightunsigned(member_bits, CAST(key_place % 64 AS INT)) & 1L") == 1)
-        .select("key_row.*")
+        .join(F.broadcast(bitmap), F.floor(F.col("key_place") / 64) == F.col("member_word"), "left")
     )
+    word = F.coalesce("member_bits", F.lit(0).cast("long"))
+    is_set = F.getbit(word, F.pmod("key_place", F.lit(64)).cast("int")) == 1
+    return tuple(looked_up.filter(wanted).select("key_row.*") for wanted in (is_set, ~is_set))
