@@ -122,6 +122,37 @@ def test_a_tokenizer_that_keeps_blanks_is_refused():
         ChunkIds(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def test_a_part_is_encoded_once(monkeypatch):
+    encode = ChunkIds(default_tokenizer_path())
+    own, sent = encode.prepared, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(word for text in texts for word in text.split())
+            return own.encode_batch_fast(texts, **options)
+
+    encode.prepared = Counted()
+    chunks = [f"{word}{end}" for word in ("naive", "quux", "Éther", "it's") for end in ("", ",", ".", "!?", ",42", "</w>")]
+    texts = [" ".join(chunks), " ".join(f"({c}" for c in chunks)]
+    for _ in range(2):
+        for text in texts:
+            ids = np.frombuffer(encode([text])[0], "<u4").tolist()
+            assert ids == encode.tokenizer.encode(text, add_special_tokens=False).ids
+    assert sent and len(sent) == len(set(sent))
+
+
+def test_full_caches_are_begun_anew(monkeypatch):
+    from tillpanel.llm import packing
+
+    monkeypatch.setattr(packing, "CACHED_CHUNKS", 5)
+    monkeypatch.setattr(packing, "CACHED_PARTS", 5)
+    test_chunks_give_the_ids_of_whole_texts()
+    encode = ChunkIds(default_tokenizer_path())
+    for text in (cases.prose(2, 50), cases.prose(3, 50), cases.prose(2, 50)):
+        ids = encode.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == ids
+
+
 def test_query_matches_a_plain_version(spark):
     docs = cases.frame(spark)
     rows = packing_query(docs).collect()

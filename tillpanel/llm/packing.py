@@ -23,11 +23,12 @@ import json
 import re
 from collections import defaultdict
 from functools import cache
-from itertools import accumulate, chain, compress, pairwise, repeat
-from operator import is_
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 CACHED_CHUNKS = 800_000
+CACHED_PARTS = 400_000
 #: Pieces ranked together.
 RANKED_TOGETHER = 100_000
 
@@ -62,12 +64,20 @@ def _tokenizer(path: str):
 
 @cache
 def _prepared_tokenizer(path: str):
-    """The same vocabulary and merges for text that ``_prepared`` has brought into their form."""
+    """The same vocabulary and merges for text that ``_prepared`` has brought into their form.
+
+    Also which ids end a part, if every part has one such id, its last; else None.
+    """
     from tokenizers import Tokenizer
 
     parts = json.loads(Path(path).read_text(encoding="utf-8"))
     changes = {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
-    return Tokenizer.from_str(json.dumps(parts | changes))
+    vocab, suffix = parts["model"]["vocab"], parts["model"].get("end_of_word_suffix")
+    ends = None
+    if suffix and all(f"{letter}{end}" in vocab for letter in _BYTE_FORMS for end in ("", suffix)):
+        ends = np.zeros(max(vocab.values()) + 1, bool)
+        ends[[k for token, k in vocab.items() if token.endswith(suffix)]] = True
+    return Tokenizer.from_str(json.dumps(parts | changes)), ends
 
 
 # The part pattern of this tokenizer, here for ASCII and the Latin-1 letters, and the
@@ -75,12 +85,14 @@ def _prepared_tokenizer(path: str):
 # follow from U+0100.
 _LETTER = "a-zß-öø-ÿ"
 _PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\s{_LETTER}0-9]+")
+_PARTS_AND_ENDS = re.compile(rf"{_PARTS.pattern}|\n")
 _ALL_SIMPLE = re.compile(r"[\n!-~À-ÖØ-öø-ÿ]+")
 _SPECIAL = "<|"  # how this tokenizer's special tokens begin
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {
     byte: 0x100 + k for k, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)
 } | {0x20: 0x20}
+_BYTE_FORMS = [chr(_BYTE_LETTERS.get(byte, byte)) for byte in range(256) if byte != 0x20]
 _MARKS = "\u2665\u2605\u2713\u266b\u2192\u2022"
 _AS_BYTES = [
     (c, c.encode("utf-8").decode("latin-1").translate(_BYTE_LETTERS))
@@ -99,22 +111,35 @@ def _prepared(text: str) -> str:
     return parts
 
 
+def _cut(ids: np.ndarray, ends: np.ndarray, between: int, members: list, known: dict) -> None:
+    """Ids of each member into ``known``; so many ids stand ``between`` one's end and the next."""
+    raw, at = ids.tobytes(), 0
+    for member, end in zip(members, (4 * ends).tolist(), strict=True):
+        known[member] = raw[at:end]
+        at = end + 4 * between
+
+
 class ChunkIds:
     """Token ids of whole texts from those of their blank-separated chunks.
 
     This tokenizer drops white space and never joins across it, so a text's ids are those of its chunks
-    in turn; the ids of frequent chunks are remembered. New chunks are encoded many at a time, with a mark of
-    one id between them that none of them holds. Most chunks are of ASCII and Latin-1 letters; for them lower
-    case and parts are found here at once, all others take the tokenizer's own way.
+    in turn; the ids of frequent chunks are remembered. Most chunks are of ASCII and Latin-1 letters; for them
+    lower case and parts are found here at once, and as parts are encoded apart, a chunk's ids are those of its
+    parts. There are far fewer parts than chunks, and their ids are remembered too. New parts are encoded many at
+    a time; the last id of each tells that it is one. All other chunks take the tokenizer's own way, many at
+    a time too, with a mark of one id between them that none of them holds.
     """
 
     TOGETHER = 256
+    END = 2**32 - 1  # no id; stands for the end of a chunk
     PROBE = "It's A test,  of\tÉCOLES naïve't 42nd!! \u65e5\u672c x.y\n\u2665"
 
     def __init__(self, path: str):
-        self.tokenizer, self.prepared = _tokenizer(path), _prepared_tokenizer(path)
-        self.known: dict[bytes, bytes] = {}
-        single = ((m, self._ids(m)) for m in _MARKS)
+        self.tokenizer, (self.prepared, self.ends) = _tokenizer(path), _prepared_tokenizer(path)
+        self.known: dict[bytes, bytes] = {b"": b""}
+        self.parts: dict[str, bytes] = {}
+        # A tokenizer of another kind gets its chunks one by one.
+        single = ((m, self._ids(m)) for m in _MARKS if self.ends is not None)
         self.mark, self.mark_id = next(((m, ids[0]) for m, ids in single if len(ids) == 1), ("", -1))
         found = np.frombuffer(self([self.PROBE])[0], "<u4").tolist()
         if found != self._ids(self.PROBE):
@@ -141,42 +166,54 @@ class ChunkIds:
                     odd.append(chunk)
             simple += [(plain, b"\n".join(plain).decode("utf-8"))] if plain else []
             other += [(odd, b"\n".join(odd).decode("utf-8"))] if odd else []
-        self._learn_together(other, self.tokenizer, lambda text: text)
-        self._learn_together(simple, self.prepared, _prepared)
-
-    def _learn_together(self, groups: list[tuple[list[bytes], str]], tokenizer, form) -> None:
-        """Groups of chunks, each also as one text with a line per chunk."""
-        known, between = self.known, f" {self.mark} "
-        texts = [form(joined.replace("\n", between)) for _, joined in groups]
-        encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for (group, _), found in zip(groups, encoded, strict=True):
+        self._join_parts(simple)
+        between = f" {self.mark} "
+        texts = [joined.replace("\n", between) for _, joined in other]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for (group, _), found in zip(other, encoded, strict=True):
+            ids = np.array(found.ids, "<u4")
+            _cut(ids, np.append(np.flatnonzero(ids == self.mark_id), len(ids)), 1, group, self.known)
+
+    def _join_parts(self, groups: list[tuple[list[bytes], str]]) -> None:
+        """Ids of groups of simple chunks, each also as one text with a line per chunk."""
+        if len(self.parts) > CACHED_PARTS:
+            self.parts.clear()
+        self.parts["\n"] = np.array([self.END], "<u4").tobytes()
+        split = [_PARTS_AND_ENDS.findall(f"{joined.lower()}\n") for _, joined in groups]
+        new = list(set().union(*split).difference(self.parts))
+        together = [new[i : i + self.TOGETHER] for i in range(0, len(new), self.TOGETHER)]
+        encoded = self.prepared.encode_batch_fast(
+            [_prepared(" ".join(some)) for some in together], add_special_tokens=False
+        )
+        for some, found in zip(together, encoded, strict=True):
             ids = np.array(found.ids, "<u4")
-            raw, at = ids.tobytes(), 0
-            ends = (4 * np.append(np.flatnonzero(ids == self.mark_id), len(ids))).tolist()
-            for chunk, end in zip(group, ends, strict=True):
-                known[chunk] = raw[at:end]
-                at = end + 4
+            _cut(ids, np.flatnonzero(self.ends[ids]) + 1, 0, some, self.parts)
+        for (group, _), parts in zip(groups, split, strict=True):
+            ids = np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), "<u4")
+            _cut(ids, np.flatnonzero(ids == self.END), 1, group, self.known)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        # bytes.lower() changes A-Z alone, which the tokenizer would do; special tokens are told by case.
-        split = [
-            (raw if _SPECIAL in text else raw.lower()).split()
-            for text in (t or "" for t in texts)
-            for raw in [text.encode("utf-8")]
-        ]
-        chunks = list(chain.from_iterable(split))
-        known = self.known
-        found = list(map(known.get, chunks))
-        missing = list(compress(range(len(chunks)), map(is_, found, repeat(None))))
+            self.known = {b"": b""}
+        whole = pa.array([t or "" for t in texts], pa.large_string())
+        # ascii_lower() changes A-Z alone, which the tokenizer would do; special tokens are told by case.
+        lower = pc.if_else(pc.match_substring(whole, _SPECIAL), whole, pc.ascii_lower(whole))
+        split = pc.ascii_split_whitespace(lower)
+        # Each chunk is looked up once for all its places in the batch.
+        chunks = split.values.dictionary_encode()
+        distinct = chunks.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, distinct))
+        missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            self._learn(list({chunks[i] for i in missing}))
+            self._learn([distinct[i] for i in missing])
             for i in missing:
-                found[i] = known[chunks[i]]
-        ends = list(accumulate(map(len, split), initial=0))
-        return [b"".join(found[a:b]) for a, b in pairwise(ends)]
+                found[i] = self.known[distinct[i]]
+        placed = pa.array(found, pa.large_binary()).take(chunks.indices)
+        _, bounds, ids = placed.buffers()
+        ends = np.frombuffer(bounds, np.int64)[split.offsets.to_numpy()].tolist()
+        raw = memoryview(ids or b"")
+        return [bytes(raw[a:b]) for a, b in pairwise(ends)]
 
 
 def token_pieces(
